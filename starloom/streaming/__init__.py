@@ -1,0 +1 @@
+"""Intentionally empty: every load in this library is a batch job."""
