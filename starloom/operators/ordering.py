@@ -136,31 +136,53 @@ def rank_measures(
     *,
     scratch: Workspace,
     keep: Sequence[str],
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Order the same rows by several measures in one pass.
 
     ``orders`` maps a prefix to (measure, descending). The measures are stacked, so
     that one range partitioning serves all of them, and folded back to one row per
-    entity. ``keep`` names the columns of ``rank_rows`` to return, as prefix_column.
+    entity. ``keep`` names the columns of ``rank_rows`` to return, as prefix_column;
+    'value' is the measure itself. Further numeric columns in ``carry`` come along.
     """
     signed = {
         name: (F.col(m) if desc else -F.col(m)).cast("decimal(28,2)")
         for name, (m, desc) in orders.items()
     }
-    stacked = df.select(
-        *entity,
-        F.explode(
-            F.array(*[F.struct(F.lit(n).alias("name"), v.alias("v")) for n, v in signed.items()])
-        ).alias("m"),
-    ).select(*entity, F.col("m.name").alias("_measure"), F.col("m.v").alias("_value"))
+    pairs = [F.struct(F.lit(n).alias("name"), v.alias("v")) for n, v in signed.items()]
+    stacked = df.select(*entity, *carry, F.explode(F.array(*pairs)).alias("m")).select(
+        *entity, *carry, F.col("m.name").alias("_measure"), F.col("m.v").alias("_value")
+    )
     ranked = rank_rows(stacked, "_value", by=["_measure"], ties=entity, scratch=scratch)
 
     def folded(name: str, column: str) -> Column:
-        picked = F.max(F.when(F.col("_measure") == name, F.col(column)))
-        flipped = column in ("running_total", "group_total") and not orders[name][1]
+        source = "_value" if column == "value" else column
+        picked = F.max(F.when(F.col("_measure") == name, F.col(source)))
+        flipped = column in ("value", "running_total", "group_total") and not orders[name][1]
         return (-picked if flipped else picked).alias(f"{name}_{column}")
 
-    return ranked.groupBy(*entity).agg(*[folded(n, c) for n in orders for c in keep])
+    return ranked.groupBy(*entity).agg(
+        *[F.first(c).alias(c) for c in carry], *[folded(n, c) for n in orders for c in keep]
+    )
+
+
+def rank_few_rows(
+    df: DataFrame, value: str, *, ties: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """``rank_rows`` in descending order with plain windows.
+
+    For rows whose number is bounded by something fixed, such as the calendar.
+    """
+    group = Window.partitionBy(*by)
+    by_value = group.orderBy(F.desc(value))
+    return df.select(
+        "*",
+        F.row_number().over(group.orderBy(F.desc(value), *ties)).alias("row_number"),
+        F.rank().over(by_value).alias("rank"),
+        F.sum(value).over(by_value).alias("running_total"),
+        F.sum(value).over(group).alias("group_total"),
+        F.count("*").over(group).alias("group_rows"),
+    )
 
 
 def ntile(row_number: Column, rows: Column, buckets: int) -> Column:
