@@ -93,23 +93,22 @@ def reconcile(
 
 
 def report_rows(
-    probe: DataFrame, dimension: str, checks: Sequence[tuple[int, str, Column, Column]]
+    probe: DataFrame, checks: Sequence[tuple[int, str, str, Column, Column]]
 ) -> DataFrame:
-    """Turn a one-row probe into report rows of (ord, check name, expected, actual)."""
+    """Turn a one-row probe into rows of ord, dimension, check_name, expected, actual."""
     rows = F.array(
         *[
             F.struct(
-                F.lit(ord_).alias("ord"),
+                F.lit(number).alias("ord"),
+                F.lit(dimension).alias("dimension"),
                 F.lit(name).alias("check_name"),
                 expected.cast("string").alias("expected"),
                 actual.cast("string").alias("actual"),
             )
-            for ord_, name, expected, actual in checks
+            for number, dimension, name, expected, actual in checks
         ]
     )
-    return probe.select(F.explode(rows).alias("c")).select(
-        "c.ord", F.lit(dimension).alias("dimension"), "c.check_name", "c.expected", "c.actual"
-    )
+    return probe.select(F.explode(rows).alias("c")).select("c.*")
 
 
 def with_verdict(report: DataFrame) -> DataFrame:

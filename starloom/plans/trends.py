@@ -154,14 +154,15 @@ def cagr_ttm(star: Star) -> DataFrame:
         "num_years",
     )
 
-    # The bounds are one row; as a scalar subquery they become constants of the filter.
-    bound = {c: windows.select(c).scalar() for c in windows.columns}
+    # The bounds are one row, and one scalar subquery holds all of them.
+    packed = windows.select(F.struct("*").alias("x")).scalar()
+    daily = daily.withColumn("b", packed)
+    bound = {c: F.col(f"b.{c}") for c in windows.columns}
     within = lambda a, b: F.when((F.col("day") >= a) & (F.col("day") < b), F.col("net"))
-    totals = daily.agg(
+    df = daily.groupBy(*[bound[c].alias(c) for c in windows.columns]).agg(
         F.sum(within(bound["start_from"], bound["start_to"])).alias("start_revenue"),
         F.sum(within(bound["end_from"], bound["end_to"])).alias("end_revenue"),
     )
-    df = totals.select(*[bound[c].alias(c) for c in windows.columns], "start_revenue", "end_revenue")
     return df.withColumn(
         "cagr_pct",
         _annual_growth(F.col("end_revenue"), F.col("start_revenue"), F.col("num_years")),
