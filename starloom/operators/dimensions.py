@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom.functions import calendar, labels
 from starloom.functions.exprs import any_changed, date_key
@@ -46,8 +46,18 @@ def build_dim_date(
     return WAREHOUSE_TABLES["dim_date"].conform(df)
 
 
+def constant_rows(spark: SparkSession, schema: T.StructType, rows: Sequence[dict]) -> DataFrame:
+    """A few literal rows, planned as constants; missing columns are NULL."""
+    made = [
+        F.struct(*[F.lit(r.get(f.name)).cast(f.dataType).alias(f.name) for f in schema])
+        for r in rows or [{}]
+    ]
+    df = spark.range(1).select(F.explode(F.array(*made)).alias("r")).select("r.*")
+    return df if rows else df.filter(F.lit(False))
+
+
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], WAREHOUSE_TABLES[table].schema)
+    return constant_rows(spark, WAREHOUSE_TABLES[table].schema, [])
 
 
 def assign_keys(
@@ -97,9 +107,7 @@ def upsert_type1(
 
 def with_unknown_member(dim: DataFrame, key: str, member: dict[str, object]) -> DataFrame:
     """Add one constant row unless a row with its key is present."""
-    row = dim.sparkSession.createDataFrame(
-        [tuple(member.get(c) for c in dim.columns)], dim.schema
-    )
+    row = constant_rows(dim.sparkSession, dim.schema, [member])
     return dim.unionByName(row.join(dim.select(key), key, "left_anti").select(*dim.columns))
 
 

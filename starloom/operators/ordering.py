@@ -9,6 +9,7 @@ split is ordered on its own, and the few per-split totals are carried over.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -38,96 +39,90 @@ def rank_rows(
     """
     ordered = F.desc(value) if descending else F.asc(value)
     sort_key = [F.asc(c) for c in by] + [ordered] + [F.asc(c) for c in ties]
-    # Split ids are only stable once written: a second sampling may cut elsewhere.
-    cut = scratch.save(
-        df.repartitionByRange(_splits(df), *sort_key).withColumn("_split", F.spark_partition_id()),
+    by_value = Window.partitionBy("_split", *by).orderBy(ordered)
+    by_row = Window.partitionBy("_split", *by).orderBy(ordered, *ties)
+    # Written once: a second sampling may cut the splits elsewhere, and what follows
+    # reads the rows without another shuffle.
+    local = scratch.save(
+        df.repartitionByRange(_splits(df), *sort_key)
+        .withColumn("_split", F.spark_partition_id())
+        .select(
+            "*",
+            F.row_number().over(by_row).alias("_row"),
+            F.rank().over(by_value).alias("_rank"),
+            F.sum(value).over(by_value).alias("_total"),
+        ),
         "ranked",
     )
-
-    part = Window.partitionBy("_split", *by)
-    by_value = part.orderBy(ordered)
-    local = cut.select(
-        "*",
-        F.row_number().over(part.orderBy(ordered, *ties)).alias("_row"),
-        F.rank().over(by_value).alias("_rank"),
-        F.sum(value).over(by_value).alias("_total"),
+    # Small beside the rows: one per split and group. Written, so that its true size
+    # decides whether the join below broadcasts it.
+    offsets = scratch.save(_split_offsets(local, value, by, descending), "offsets")
+    at_edge = (
+        f"CASE {value} WHEN _first THEN _first_{{0}} WHEN _last THEN _last_{{0}} ELSE {{1}} END"
+    )
+    return local.join(offsets, ["_split", *by]).selectExpr(
+        *df.columns,
+        "_before_n + _row AS row_number",
+        at_edge.format("start", "_before_n + _rank - 1") + " + 1 AS rank",
+        at_edge.format("end_total", "_before_total + _total") + " AS running_total",
+        "group_total",
+        "group_rows",
     )
 
-    low, high = F.min(value), F.max(value)
+
+def _split_offsets(
+    local: DataFrame, value: str, by: Sequence[str], descending: bool
+) -> DataFrame:
+    """Per split and group: what lies before it, the group's totals, and its edge values.
+
+    A value at the edge of a split may continue in the next one, so its start and its
+    end are taken over all splits that hold it.
+    """
+    first, last = ("max", "min") if descending else ("min", "max")
     sizes = local.groupBy("_split", *by).agg(
-        F.count("*").alias("n"),
-        F.sum(value).alias("total"),
-        (high if descending else low).alias("first"),
-        (low if descending else high).alias("last"),
-        F.sum(F.when(F.col("_rank") == 1, 1).otherwise(0)).alias("first_n"),
-        F.sum(F.when(F.col("_rank") == 1, F.col(value))).alias("first_total"),
-        (F.max("_rank") - 1).alias("last_offset"),
+        F.expr("count(*) AS n"),
+        F.expr(f"sum({value}) AS total"),
+        F.expr(f"{first}({value}) AS first"),
+        F.expr(f"{last}({value}) AS last"),
+        F.expr("count_if(_rank = 1) AS first_n"),
+        F.expr(f"sum({value}) FILTER (WHERE _rank = 1) AS first_total"),
+        F.expr("max(_rank) - 1 AS last_offset"),
     )
-    group = Window.partitionBy(*by)
-    before = group.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    carried = sizes.select(
+    group = f"PARTITION BY {', '.join(by)}" if by else ""
+    before = f"({group} ORDER BY _split ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    carried = sizes.selectExpr(
         "*",
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before_n"),
-        F.coalesce(F.sum("total").over(before), F.lit(0)).alias("_before_total"),
-        F.sum("n").over(group).alias("group_rows"),
-        F.sum("total").over(group).alias("group_total"),
+        f"coalesce(sum(n) OVER {before}, 0) AS before_n",
+        f"coalesce(sum(total) OVER {before}, 0) AS before_total",
+        f"sum(n) OVER ({group}) AS group_rows",
+        f"sum(total) OVER ({group}) AS group_total",
     )
-
-    # A value at the edge of a split may continue in the next one. Its start and end
-    # are those over all splits that hold it.
-    edges = carried.select(
+    edges = carried.selectExpr(
         "*",
-        F.explode(
-            F.array(
-                F.struct(
-                    F.lit(0).alias("side"),
-                    F.col("first").alias("v"),
-                    F.col("_before_n").alias("start"),
-                    (F.col("_before_n") + F.col("first_n")).alias("end"),
-                    (F.col("_before_total") + F.col("first_total")).alias("end_total"),
-                ),
-                F.struct(
-                    F.lit(1).alias("side"),
-                    F.col("last").alias("v"),
-                    (F.col("_before_n") + F.col("last_offset")).alias("start"),
-                    (F.col("_before_n") + F.col("n")).alias("end"),
-                    (F.col("_before_total") + F.col("total")).alias("end_total"),
-                ),
-            )
-        ).alias("edge"),
+        """inline(array(
+            struct('first' AS side, first AS v, before_n AS at, before_n + first_n AS till,
+                   before_total + first_total AS sum_till),
+            struct('last' AS side, last AS v, before_n + last_offset AS at, before_n + n AS till,
+                   before_total + total AS sum_till)))""",
     )
-    same_value = Window.partitionBy(*by, "edge.v")
-    edges = edges.select(
-        "*",
-        F.min("edge.start").over(same_value).alias("start"),
-        F.max_by("edge.end_total", "edge.end").over(same_value).alias("end_total"),
+    same = f"({group}{',' if by else 'PARTITION BY'} v)"
+    spread = edges.selectExpr(
+        "*", f"min(at) OVER {same} AS start", f"max_by(sum_till, till) OVER {same} AS end_total"
     )
-    kept = ["_before_n", "_before_total", "group_rows", "group_total", "first", "last"]
-    offsets = edges.groupBy("_split", *by).agg(
-        *[F.first(c).alias(f"_{c}" if c in ("first", "last") else c) for c in kept],
+    return spread.groupBy("_split", *by).agg(
+        F.expr("first(before_n) AS _before_n"),
+        F.expr("first(before_total) AS _before_total"),
+        F.expr("first(group_rows) AS group_rows"),
+        F.expr("first(group_total) AS group_total"),
+        F.expr("first(first) AS _first"),
+        F.expr("first(last) AS _last"),
         *[
-            F.max(F.when(F.col("edge.side") == side, F.col(c))).alias(f"_{name}_{c}")
-            for side, name in ((0, "first"), (1, "last"))
+            F.expr(f"max({c}) FILTER (WHERE side = '{side}') AS _{side}_{c}")
+            for side in ("first", "last")
             for c in ("start", "end_total")
         ],
     )
 
-    def at_edge(column: str, inside: Column) -> Column:
-        return (
-            F.when(F.col(value) == F.col("_first"), F.col(f"_first_{column}"))
-            .when(F.col(value) == F.col("_last"), F.col(f"_last_{column}"))
-            .otherwise(inside)
-        )
-
-    return local.join(offsets, ["_split", *by]).select(
-        *df.columns,
-        (F.col("_before_n") + F.col("_row")).alias("row_number"),
-        (at_edge("start", F.col("_before_n") + F.col("_rank") - 1) + 1).alias("rank"),
-        at_edge("end_total", F.col("_before_total") + F.col("_total")).alias("running_total"),
-        "group_total",
-        "group_rows",
-    )
-
 
 def rank_measures(
     df: DataFrame,
@@ -210,16 +205,15 @@ def number_rows(
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    placed = scratch.save(sorted_rows, "numbered").withColumn("_split", F.shiftright("_place", 33))
-    earlier = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per split: bounded by the number of shuffle partitions. Written, so that
-    # later uses of the numbered rows do not count them again.
-    sizes = placed.groupBy("_split").agg(F.count("*").alias("n"))
-    offsets = scratch.save(
-        sizes.select("_split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_offset")),
-        "offsets",
+    placed = scratch.save(sorted_rows, "numbered").withColumn(
+        "_split", F.shiftright("_place", 33).cast("int")
     )
+    # One row per split reaches the driver: bounded by the number of shuffle partitions.
+    sizes = {r["_split"]: r["count"] for r in placed.groupBy("_split").count().collect()}
+    counts = [sizes.get(i, 0) for i in range(max(sizes, default=0) + 1)]
+    offsets = F.array(*[F.lit(n) for n in accumulate(counts, initial=start)])
     position = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.join(F.broadcast(offsets), "_split").select(
-        (F.lit(start) + F.col("_offset") + position + 1).cast("long").alias(key), *df.columns
+    return placed.select(
+        (F.element_at(offsets, F.col("_split") + 1) + position + 1).cast("long").alias(key),
+        *df.columns,
     )

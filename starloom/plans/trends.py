@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from starloom.functions.exprs import growth_pct, month_of, pct, rounded_ratio
 from starloom.plans.star import Star, day_of_key, month_of_key, sales
 
-# Windows in this module run over months or years, whose number the calendar bounds.
-BY_MONTH = Window.orderBy("month_start")
+
+def _by_month() -> WindowSpec:
+    """All months in order: their number is bounded by the calendar."""
+    return Window.orderBy("month_start")
 
 
 def monthly_trend(star: Star) -> DataFrame:
@@ -35,7 +37,8 @@ def monthly_trend(star: Star) -> DataFrame:
         )
     )
     to_date = Window.partitionBy("year").orderBy("month_start")
-    last_three = BY_MONTH.rowsBetween(-2, Window.currentRow)
+    by_month = _by_month()
+    last_three = by_month.rowsBetween(-2, Window.currentRow)
     net, gross = F.col("net_revenue"), F.col("gross_revenue")
     return monthly.select(
         "month_start",
@@ -52,8 +55,8 @@ def monthly_trend(star: Star) -> DataFrame:
         F.sum(net).over(to_date).alias("ytd_revenue"),
         F.sum("profit").over(to_date).alias("ytd_profit"),
         F.sum("orders").over(to_date).alias("ytd_orders"),
-        growth_pct(net, F.lag(net).over(BY_MONTH)).alias("mom_pct"),
-        growth_pct(net, F.lag(net, 12).over(BY_MONTH)).alias("yoy_pct"),
+        growth_pct(net, F.lag(net).over(by_month)).alias("mom_pct"),
+        growth_pct(net, F.lag(net, 12).over(by_month)).alias("yoy_pct"),
         rounded_ratio(
             F.sum(net).over(last_three), F.count(net).over(last_three), 2
         ).alias("moving_avg_3mo"),
@@ -73,7 +76,7 @@ def same_store_sales(star: Star, as_of: date) -> DataFrame:
         F.sum("net").alias("comp_revenue"),
         F.countDistinct("store_key").alias("comp_store_count"),
     )
-    year_ago = F.lag("comp_revenue", 12).over(BY_MONTH)
+    year_ago = F.lag("comp_revenue", 12).over(_by_month())
     return monthly.select(
         "*",
         year_ago.alias("comp_revenue_ly"),
