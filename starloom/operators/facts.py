@@ -25,10 +25,18 @@ def resolve_order_keys(
     valid = (F.col("o.order_date") >= F.col("v.valid_from")) & (
         F.col("v.valid_to").isNull() | (F.col("o.order_date") < F.col("v.valid_to"))
     )
+    # Online orders have no employee. A key of their own for each spreads them over the
+    # tasks; equal NULL keys would all meet in one.
+    staff = employee.select(
+        F.struct("employee_id", F.lit(None).cast("bigint").alias("order_id")).alias("_staff"),
+        "employee_key",
+    ).filter("_staff.employee_id IS NOT NULL")
+    alone = F.when(F.col("employee_id").isNull(), F.col("order_id"))
     return (
         o.join(version, (F.col("o.customer_id") == F.col("v.customer_id")) & valid)
         .join(store.select("store_id", "store_key"), "store_id")
-        .join(employee.select("employee_id", "employee_key"), "employee_id", "left")
+        .withColumn("_staff", F.struct("employee_id", alone.alias("order_id")))
+        .join(staff, "_staff", "left")
         .select(
             "order_id",
             date_key(F.col("order_date")).alias("date_key"),
@@ -83,9 +91,8 @@ def by_month(fact: DataFrame) -> DataFrame:
 
     The hint lets adaptive execution split a month that holds much of the data.
     """
-    return fact.withColumn(MONTH, F.floor(F.col("date_key") / 100).cast("int")).hint(
-        "rebalance", MONTH
-    )
+    month = F.call_function("div", F.col("date_key"), F.lit(100)).cast("int")
+    return fact.withColumn(MONTH, month).hint("rebalance", MONTH)
 
 
 def touched_months(current: DataFrame, incoming: DataFrame) -> list[int]:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions import labels
 from starloom.functions.exprs import pct, whole_months
 from starloom.operators.ordering import ntile, rank_measures
-from starloom.plans.star import Star, day_of_key, month_of_key, sales
+from starloom.plans.star import Star, day_of_key, month_key, month_of_month_key, sales
 
 
 def rfm(star: Star, as_of: date) -> DataFrame:
@@ -86,27 +86,28 @@ def cohort_retention(star: Star) -> DataFrame:
     so the first month and all later ones come out of one shuffle. A customer is
     active in its first month, so period 0 is the size of the cohort.
     """
-    versions = (
-        sales(star)
-        .groupBy("customer_key")
-        .agg(F.collect_set(month_of_key(F.col("date_key"))).alias("months"))
+    versions = sales(star).groupBy("customer_key").agg(
+        F.collect_set(month_key(F.col("date_key"))).alias("months")
     )
     months = (
         versions.join(star.dim_customer.select("customer_key", "customer_id"), "customer_key")
         .groupBy("customer_id")
         .agg(F.array_distinct(F.flatten(F.collect_list("months"))).alias("months"))
     )
-    active = months.select(
-        F.array_min("months").alias("cohort_month"), F.explode("months").alias("month")
+    active = months.select(F.array_min("months").alias("first"), F.explode("months").alias("month"))
+    active = active.groupBy("first", "month").agg(F.count("*").alias("active_customers")).select(
+        month_of_month_key(F.col("first")).alias("cohort_month"),
+        month_of_month_key(F.col("month")).alias("month"),
+        "active_customers",
     )
-    counts = active.groupBy(
-        "cohort_month", whole_months(F.col("month"), F.col("cohort_month")).alias("period_number")
-    ).agg(F.count("*").alias("active_customers"))
-    sizes = counts.filter("period_number = 0").select(
-        "cohort_month", F.col("active_customers").alias("cohort_size")
+    counts = active.withColumn(
+        "period_number", whole_months(F.col("month"), F.col("cohort_month"))
     )
+    # At most one row per pair of months.
+    cohort = Window.partitionBy("cohort_month")
+    size = F.max(F.when(F.col("period_number") == 0, F.col("active_customers"))).over(cohort)
     return (
-        counts.join(sizes, "cohort_month")
+        counts.withColumn("cohort_size", size)
         .select(
             "cohort_month",
             "cohort_size",

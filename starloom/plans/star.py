@@ -39,14 +39,22 @@ def sales(star: Star) -> DataFrame:
     return star.fact_sales.filter(F.col("order_status") != CANCELLED)
 
 
-def day_of_key(key: Column) -> Column:
-    """The date of a YYYYMMDD key, without a join."""
-    return F.make_date(
-        F.floor(key / 10000).cast("int"),
-        (F.floor(key / 100) % 100).cast("int"),
-        (key % 100).cast("int"),
-    )
+def month_key(key: Column) -> Column:
+    """YYYYMM of a YYYYMMDD key."""
+    return F.call_function("div", key, F.lit(100)).cast("int")
+
+
+def month_of_month_key(key: Column) -> Column:
+    """First day of a YYYYMM month."""
+    return F.make_date(F.call_function("div", key, F.lit(100)).cast("int"), key % 100, F.lit(1))
 
 
 def month_of_key(key: Column) -> Column:
-    return F.trunc(day_of_key(key), "month")
+    """First day of the month of a YYYYMMDD key, without a join."""
+    return month_of_month_key(month_key(key))
+
+
+def day_of_key(key: Column) -> Column:
+    """The date of a YYYYMMDD key, without a join."""
+    month = month_key(key)
+    return F.make_date(F.call_function("div", month, F.lit(100)).cast("int"), month % 100, key % 100)

@@ -110,7 +110,7 @@ def cagr(star: Star) -> DataFrame:
     """Growth per year between the first and the last calendar year."""
     annual = (
         sales(star)
-        .groupBy(F.floor(F.col("date_key") / 10000).cast("int").alias("year"))
+        .groupBy(F.year(day_of_key(F.col("date_key"))).alias("year"))
         .agg(F.sum("net_amount").alias("revenue"))
     )
     bounds = annual.agg(
