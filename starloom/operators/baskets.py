@@ -11,39 +11,68 @@ from starloom.workspace import Workspace
 WIDE_BASKET = 1000
 
 
+def item_counts(baskets: DataFrame) -> DataFrame:
+    return baskets.groupBy("item").agg(F.count("*").alias("n"))
+
+
+def _wide_sizes(baskets: DataFrame, wide: int) -> DataFrame:
+    return baskets.groupBy("basket").agg(F.count("*").alias("n")).filter(F.col("n") > wide)
+
+
+def _self_pairs(baskets: DataFrame, sizes: DataFrame | None, wide: int) -> DataFrame:
+    """Every pair of items of every basket, item_a < item_b.
+
+    With ``sizes``, the baskets listed there are cut into parts of about ``wide`` items.
+    Each part meets the whole basket under a key of its own, so the pairs of one basket
+    are made by many tasks.
+    """
+    left = baskets.select("basket", F.col("item").alias("item_a"))
+    right = baskets.select("basket", F.col("item").alias("item_b"))
+    keys = ["basket"]
+    if sizes is not None:
+        parts = sizes.select("basket", F.ceil(F.col("n") / wide).cast("int").alias("parts"))
+        count = F.coalesce("parts", F.lit(1))
+        left = left.join(parts, "basket", "left").select(
+            "basket", "item_a", F.pmod(F.xxhash64("item_a"), count).cast("int").alias("part")
+        )
+        right = right.join(parts, "basket", "left").select(
+            "basket", "item_b", F.explode(F.sequence(F.lit(0), count - 1)).alias("part")
+        )
+        keys = ["basket", "part"]
+    return left.join(right, keys).filter(F.col("item_a") < F.col("item_b"))
+
+
 def pair_counts(
-    baskets: DataFrame, min_pair: int, *, scratch: Workspace, wide: int = WIDE_BASKET
+    baskets: DataFrame,
+    frequency: DataFrame,
+    min_pair: int,
+    *,
+    wide_baskets: int,
+    wide: int = WIDE_BASKET,
 ) -> DataFrame:
     """Pairs (item_a < item_b) that share at least ``min_pair`` baskets, with counts.
 
-    ``baskets`` holds distinct (basket, item) rows. Two exact reductions keep the
-    pairs few:
+    ``baskets`` holds distinct (basket, item) rows, ``frequency`` the baskets per item,
+    ``wide_baskets`` the number of baskets with more than ``wide`` items. Two exact
+    reductions keep the pairs few:
 
     * an item in fewer than ``min_pair`` baskets is in no such pair;
     * a pair in ``min_pair`` baskets is in at least one that is not among the
       ``min_pair - 1`` widest. These widest baskets therefore never have their pairs
       listed: the pairs of the other baskets are looked up in them.
+
+    Wide baskets beyond that number are cut into parts.
     """
-    frequent = baskets.groupBy("item").count().filter(F.col("count") >= min_pair).select("item")
-    kept = scratch.save(baskets.join(frequent, "item"), "baskets")
-
-    # At most min_pair - 1 rows reach the driver.
-    widest = (
-        kept.groupBy("basket")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > wide)
-        .orderBy(F.desc("n"), "basket")
-        .limit(min_pair - 1)
-        .collect()
-    )
-    huge = [r["basket"] for r in widest]
+    frequent = frequency.filter(F.col("n") >= min_pair).select("item")
+    kept = baskets.join(frequent, "item")
+    sizes = _wide_sizes(baskets, wide)
+    huge = []
+    if wide_baskets and min_pair > 1:
+        widest = sizes.orderBy(F.desc("n"), "basket").limit(min_pair - 1)
+        huge = [r["basket"] for r in widest.collect()]  # fewer than min_pair rows
     normal = kept.filter(~F.col("basket").isin(*huge)) if huge else kept
-
-    left = normal.select("basket", F.col("item").alias("item_a"))
-    right = normal.select("basket", F.col("item").alias("item_b"))
     pairs = (
-        left.join(right, "basket")
-        .filter(F.col("item_a") < F.col("item_b"))
+        _self_pairs(normal, sizes if wide_baskets > len(huge) else None, wide)
         .groupBy("item_a", "item_b")
         .agg(F.count("*").alias("n_pair"))
     )
@@ -73,16 +102,18 @@ def association_rules(
     wide: int = WIDE_BASKET,
 ) -> DataFrame:
     """Support, confidence in both directions and lift of the pairs above ``min_pair``."""
-    baskets = scratch.save(baskets.select("basket", "item").distinct(), "all-baskets")
-    pairs = pair_counts(baskets, min_pair, scratch=scratch, wide=wide)
-    frequency = baskets.groupBy("item").agg(F.count("*").alias("n"))
-    # One value: a scalar subquery takes the place of a join with a one-row table.
-    total = baskets.agg(F.countDistinct("basket").alias("n")).scalar()
+    baskets = scratch.save(baskets.select("basket", "item").distinct(), "baskets")
+    frequency = scratch.save(item_counts(baskets), "items")
+    sizes = baskets.groupBy("basket").agg(F.count("*").alias("n"))
+    total = sizes.agg(
+        F.count("*").alias("baskets"), F.count(F.when(F.col("n") > wide, 1)).alias("wide")
+    ).first()
+    pairs = pair_counts(baskets, frequency, min_pair, wide_baskets=total.wide, wide=wide)
     pair, a, b = F.col("n_pair"), F.col("n_a"), F.col("n_b")
     joined = (
         pairs.join(frequency.select(F.col("item").alias("item_a"), F.col("n").alias("n_a")), "item_a")
         .join(frequency.select(F.col("item").alias("item_b"), F.col("n").alias("n_b")), "item_b")
-        .withColumn("n_baskets", total)
+        .withColumn("n_baskets", F.lit(total.baskets))
     )
     hundred = pair * F.lit(100)
     return joined.select(
