@@ -29,33 +29,29 @@ def any_changed(left: str, right: str, columns: list[str]) -> Column:
     )
 
 
-def _whole_cents(col: Column) -> Column:
-    return (col.cast(TOTAL) * F.lit(100)).cast("decimal(30,0)")
-
-
-def rounded_ratio(num: Column, den: Column, digits: int) -> Column:
+def rounded_ratio(num: str, den: str, digits: int) -> Column:
     """num / den rounded half away from zero, NULL for a zero divisor.
 
-    The division is done on whole cents, so no intermediate quotient is cut to a
-    smaller scale before it is rounded.
+    Both are SQL expressions with at most two decimals. The division is done on whole
+    cents, so no intermediate quotient is cut to a smaller scale before it is rounded.
     """
-    n, d = _whole_cents(num), _whole_cents(den)
-    scaled = F.abs(n) * F.lit(2 * 10**digits) + F.abs(d)
-    doubled = F.nullif(F.abs(d) * F.lit(2), F.lit(0).cast("decimal(32,0)"))
-    quotient = F.call_function("div", scaled.cast("decimal(38,0)"), doubled.cast("decimal(38,0)"))
-    signed = F.when((n < 0) != (d < 0), -quotient).otherwise(quotient)
-    return (signed.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(
-        f"decimal(20,{digits})"
+    n, d = (f"CAST(CAST(({x}) AS {TOTAL}) * 100 AS decimal(30,0))" for x in (num, den))
+    quotient = (
+        f"CAST({2 * 10**digits} * abs({n}) + abs({d}) AS decimal(38,0))"
+        f" DIV nullif(2 * abs({d}), 0)"
     )
+    signed = f"CAST(IF(sign({n}) = sign({d}), 1, -1) * ({quotient}) AS decimal(20,0))"
+    unit = format(Decimal(1).scaleb(-digits), "f")
+    return F.expr(f"CAST({signed} * {unit}BD AS decimal(20,{digits}))")
 
 
-def pct(num: Column, den: Column, digits: int = 1) -> Column:
+def pct(num: str, den: str, digits: int = 1) -> Column:
     """Share of num in den, in percent."""
-    return rounded_ratio(num.cast("decimal(26,2)") * F.lit(100), den, digits)
+    return rounded_ratio(f"CAST(({num}) AS decimal(26,2)) * 100", den, digits)
 
 
-def growth_pct(now: Column, before: Column, digits: int = 1) -> Column:
-    return pct(now - before, before, digits)
+def growth_pct(now: str, before: str, digits: int = 1) -> Column:
+    return pct(f"{now} - {before}", before, digits)
 
 
 def month_of(day: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.functions.exprs import rounded_ratio
+from starloom.functions.exprs import pct, rounded_ratio
 from starloom.workspace import Workspace
 
 # A basket with more items than this is a candidate for the lookup path.
@@ -109,21 +109,20 @@ def association_rules(
         F.count("*").alias("baskets"), F.count(F.when(F.col("n") > wide, 1)).alias("wide")
     ).first()
     pairs = pair_counts(baskets, frequency, min_pair, wide_baskets=total.wide, wide=wide)
-    pair, a, b = F.col("n_pair"), F.col("n_a"), F.col("n_b")
     joined = (
         pairs.join(frequency.select(F.col("item").alias("item_a"), F.col("n").alias("n_a")), "item_a")
         .join(frequency.select(F.col("item").alias("item_b"), F.col("n").alias("n_b")), "item_b")
         .withColumn("n_baskets", F.lit(total.baskets))
     )
-    hundred = pair * F.lit(100)
+    wide_product = "CAST({} AS decimal(13,0)) * CAST({} AS decimal(13,0))"
     return joined.select(
         "item_a",
         "item_b",
-        pair.alias("pair_baskets"),
-        rounded_ratio(hundred, F.col("n_baskets"), support_digits).alias("support_pct"),
-        rounded_ratio(hundred, a, 2).alias("conf_a_to_b_pct"),
-        rounded_ratio(hundred, b, 2).alias("conf_b_to_a_pct"),
+        F.col("n_pair").alias("pair_baskets"),
+        pct("n_pair", "n_baskets", support_digits).alias("support_pct"),
+        pct("n_pair", "n_a", 2).alias("conf_a_to_b_pct"),
+        pct("n_pair", "n_b", 2).alias("conf_b_to_a_pct"),
         rounded_ratio(
-            pair.cast("decimal(20,0)") * F.col("n_baskets"), a.cast("decimal(20,0)") * b, 3
+            wide_product.format("n_pair", "n_baskets"), wide_product.format("n_a", "n_b"), 3
         ).alias("lift"),
     )

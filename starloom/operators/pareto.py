@@ -10,12 +10,12 @@ from starloom.functions.exprs import TOTAL
 from starloom.functions.labels import ABC_LIMITS
 
 
-def abc_class(running: Column, total: Column, names: Sequence[str]) -> Column:
-    """Class by share of the running total, compared without a division.
+def abc_class(running: str, total: str, names: Sequence[str]) -> Column:
+    """Class by share of the running total, two columns compared without a division.
 
     The item that crosses a limit already belongs to the next class.
     """
-    share, whole = running.cast(TOTAL) * F.lit(100), total.cast(TOTAL)
+    share, whole = (F.expr(f"CAST({c} AS {TOTAL}) * {n}") for c, n in ((running, 100), (total, 1)))
     first, second = ABC_LIMITS
     return (
         F.when(share <= whole * F.lit(first), names[0])

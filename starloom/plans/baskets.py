@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions.exprs import pct
 from starloom.operators.baskets import association_rules
@@ -75,10 +75,10 @@ def basket_sizes(star: Star) -> DataFrame:
     sizes = sales(star).groupBy("order_id").agg(F.count("*").alias("items_in_basket"))
     n = F.col("items_in_basket")
     counted = sizes.groupBy("items_in_basket").agg(F.count("*").alias("baskets"))
-    whole = Window.partitionBy()  # one row per basket size
+    # The window runs over one row per basket size.
     return counted.select(
         "items_in_basket",
         "baskets",
-        pct(F.col("baskets"), F.sum("baskets").over(whole), 2).alias("pct_of_baskets"),
+        pct("baskets", "sum(baskets) OVER ()", 2).alias("pct_of_baskets"),
         (F.col("baskets") * F.call_function("div", n * (n - 1), F.lit(2))).alias("pair_instances"),
     ).orderBy("items_in_basket")

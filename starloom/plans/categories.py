@@ -78,8 +78,8 @@ def category_margin(star: Star) -> DataFrame:
             "category",
             "net_revenue",
             "profit",
-            pct(F.col("profit"), F.col("net_revenue")).alias("margin_pct"),
-            pct(F.col("_gross") - F.col("net_revenue"), F.col("_gross")).alias("discount_pct"),
+            pct("profit", "net_revenue").alias("margin_pct"),
+            pct("_gross - net_revenue", "_gross").alias("discount_pct"),
             "revenue_rank",
             "profit_rank",
             (F.col("profit_rank") - F.col("revenue_rank")).alias("rank_gap"),
@@ -105,8 +105,8 @@ def cancellation(star: Star) -> DataFrame:
     )
     return totals.select(
         "*",
-        pct(F.col("cancelled_orders"), F.col("orders"), 2).alias("cancelled_order_pct"),
-        pct(F.col("overstatement"), F.col("revenue_with_cancelled"), 2).alias("overstatement_pct"),
+        pct("cancelled_orders", "orders", 2).alias("cancelled_order_pct"),
+        pct("overstatement", "revenue_with_cancelled", 2).alias("overstatement_pct"),
     )
 
 

@@ -113,7 +113,7 @@ def cohort_retention(star: Star) -> DataFrame:
             "cohort_size",
             "period_number",
             "active_customers",
-            pct(F.col("active_customers"), F.col("cohort_size")).alias("retention_pct"),
+            pct("active_customers", "cohort_size").alias("retention_pct"),
         )
         .orderBy("cohort_month", "period_number")
     )

@@ -34,11 +34,9 @@ def product_abc(star: Star, measure: str = "revenue") -> DataFrame:
         "category_name",
         measure,
         F.col("row_number").alias("rank_position"),
-        pct(F.col("running_total"), F.col("group_total")).alias("cumulative_pct"),
-        pct(F.col("row_number"), F.col("group_rows")).alias("pct_of_products"),
-        abc_class(
-            F.col("running_total"), F.col("group_total"), labels.ABC_PRODUCT_LABELS
-        ).alias("abc_class"),
+        pct("running_total", "group_total").alias("cumulative_pct"),
+        pct("row_number", "group_rows").alias("pct_of_products"),
+        abc_class("running_total", "group_total", labels.ABC_PRODUCT_LABELS).alias("abc_class"),
     ).orderBy(F.desc(measure), "product_id")
 
 
@@ -47,13 +45,13 @@ def abc_summary(star: Star) -> DataFrame:
     classes = product_abc(star).groupBy("abc_class").agg(
         F.count("*").alias("products"), F.sum("revenue").alias("revenue")
     )
-    whole = Window.partitionBy()  # three rows
+    # Windows over three rows.
     return classes.select(
         "abc_class",
         "products",
-        pct(F.col("products"), F.sum("products").over(whole)).alias("pct_of_catalogue"),
+        pct("products", "sum(products) OVER ()").alias("pct_of_catalogue"),
         "revenue",
-        pct(F.col("revenue"), F.sum("revenue").over(whole)).alias("pct_of_revenue"),
+        pct("revenue", "sum(revenue) OVER ()").alias("pct_of_revenue"),
     ).orderBy(F.upper("abc_class"))
 
 
@@ -86,7 +84,7 @@ def customer_pareto(star: Star) -> DataFrame:
     )
 
     def running(m: str):
-        return F.col(f"{m}_running_total"), F.col(f"{m}_group_total")
+        return f"{m}_running_total", f"{m}_group_total"
 
     return (
         ranked.join(current, "customer_id")
@@ -127,9 +125,9 @@ def _calendar_pareto(
             *kept,
             "revenue",
             F.col("row_number").alias("rank_position"),
-            pct(F.col("running_total"), F.col("group_total")).alias("cum_pct_revenue"),
-            pct(F.col("row_number"), F.col("group_rows")).alias(f"pct_of_{unit}s"),
-            abc_class(F.col("running_total"), F.col("group_total"), labels.ABC_LABELS).alias(
+            pct("running_total", "group_total").alias("cum_pct_revenue"),
+            pct("row_number", "group_rows").alias(f"pct_of_{unit}s"),
+            abc_class("running_total", "group_total", labels.ABC_LABELS).alias(
                 f"{unit}_class"
             ),
         )
@@ -177,7 +175,7 @@ def abc_movement(star: Star) -> DataFrame:
         "product_key",
         "revenue",
         (F.col("fiscal_year") * 4 + F.col("fiscal_quarter")).alias("_quarter"),
-        abc_class(F.col("running_total"), F.col("group_total"), labels.ABC_LABELS).alias("now"),
+        abc_class("running_total", "group_total", labels.ABC_LABELS).alias("now"),
     )
     history = Window.partitionBy("product_key").orderBy("_quarter")
     adjacent = F.lag("_quarter").over(history) == F.col("_quarter") - 1

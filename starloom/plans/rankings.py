@@ -174,7 +174,7 @@ def sales_gaps(star: Star) -> DataFrame:
             F.col("days").alias("sale_days"),
             F.col("longest_value").cast("long").alias("longest_gap_days"),
             F.col("shortest_value").cast("long").alias("shortest_gap_days"),
-            rounded_ratio(F.col("total"), F.col("days"), 1).alias("avg_gap_days"),
+            rounded_ratio("total", "days", 1).alias("avg_gap_days"),
             F.col("longest_rank").alias("longest_gap_rank"),
             F.col("shortest_rank").alias("shortest_gap_rank"),
         )

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.exprs import growth_pct, month_of, pct, rounded_ratio
 from starloom.plans.star import Star, day_of_key, month_of_key, sales
 
-
-def _by_month() -> WindowSpec:
-    """All months in order: their number is bounded by the calendar."""
-    return Window.orderBy("month_start")
+# Windows over all months or years are bounded by the calendar.
 
 
 def monthly_trend(star: Star) -> DataFrame:
@@ -37,9 +34,8 @@ def monthly_trend(star: Star) -> DataFrame:
         )
     )
     to_date = Window.partitionBy("year").orderBy("month_start")
-    by_month = _by_month()
-    last_three = by_month.rowsBetween(-2, Window.currentRow)
-    net, gross = F.col("net_revenue"), F.col("gross_revenue")
+    before, year_ago = (f"lag(net_revenue, {n}) OVER (ORDER BY month_start)" for n in (1, 12))
+    last_three = "OVER (ORDER BY month_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"
     return monthly.select(
         "month_start",
         "month_name",
@@ -48,17 +44,17 @@ def monthly_trend(star: Star) -> DataFrame:
         "gross_revenue",
         "orders",
         "quantity",
-        rounded_ratio(net, F.col("orders"), 2).alias("avg_order_value"),
+        rounded_ratio("net_revenue", "orders", 2).alias("avg_order_value"),
         "profit",
-        pct(F.col("profit"), net).alias("profit_margin_pct"),
-        pct(gross - net, gross).alias("discount_pct"),
-        F.sum(net).over(to_date).alias("ytd_revenue"),
+        pct("profit", "net_revenue").alias("profit_margin_pct"),
+        pct("gross_revenue - net_revenue", "gross_revenue").alias("discount_pct"),
+        F.sum("net_revenue").over(to_date).alias("ytd_revenue"),
         F.sum("profit").over(to_date).alias("ytd_profit"),
         F.sum("orders").over(to_date).alias("ytd_orders"),
-        growth_pct(net, F.lag(net).over(by_month)).alias("mom_pct"),
-        growth_pct(net, F.lag(net, 12).over(by_month)).alias("yoy_pct"),
+        growth_pct("net_revenue", before).alias("mom_pct"),
+        growth_pct("net_revenue", year_ago).alias("yoy_pct"),
         rounded_ratio(
-            F.sum(net).over(last_three), F.count(net).over(last_three), 2
+            f"sum(net_revenue) {last_three}", f"count(net_revenue) {last_three}", 2
         ).alias("moving_avg_3mo"),
     ).orderBy("month_start")
 
@@ -76,11 +72,11 @@ def same_store_sales(star: Star, as_of: date) -> DataFrame:
         F.sum("net").alias("comp_revenue"),
         F.countDistinct("store_key").alias("comp_store_count"),
     )
-    year_ago = F.lag("comp_revenue", 12).over(_by_month())
+    year_ago = "lag(comp_revenue, 12) OVER (ORDER BY month_start)"
     return monthly.select(
         "*",
-        year_ago.alias("comp_revenue_ly"),
-        growth_pct(F.col("comp_revenue"), year_ago).alias("sss_growth_pct"),
+        F.expr(year_ago).alias("comp_revenue_ly"),
+        growth_pct("comp_revenue", year_ago).alias("sss_growth_pct"),
     ).orderBy("month_start")
 
 

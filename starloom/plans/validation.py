@@ -548,9 +548,9 @@ def distribution_sanity(star: Star, source: Source, year: int) -> DataFrame:
     metrics = {
         "orders in October": F.col("october"),
         "orders in November": F.col("november"),
-        "November lift": rounded_ratio(F.col("november"), F.col("october"), 2),
-        "revenue share of the top fifth of products": pct(F.col("top"), F.col("whole"), 1),
-        "orders per buyer, mean": rounded_ratio(F.col("orders"), F.col("buyers"), 2),
+        "November lift": rounded_ratio("november", "october", 2),
+        "revenue share of the top fifth of products": pct("top", "whole", 1),
+        "orders per buyer, mean": rounded_ratio("orders", "buyers", 2),
         "orders per buyer, median": F.col("median"),
         "orders per buyer, maximum": F.col("most"),
         "customers without orders": F.col("silent"),

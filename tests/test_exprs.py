@@ -19,14 +19,14 @@ def test_rounded_ratio_is_exact(spark):
     ]
     for num, den, digits, want in cases:
         got = spark.range(1).select(
-            exprs.rounded_ratio(F.lit(Decimal(num)), F.lit(Decimal(den)), digits)
+            exprs.rounded_ratio(f"{num}BD", f"{den}BD", digits)
         ).first()[0]
         assert got == Decimal(want), (num, den, got)
 
 
 def test_zero_divisor_is_null(spark):
     row = spark.range(1).select(
-        exprs.pct(F.lit(1), F.lit(0)), exprs.growth_pct(F.lit(5), F.lit(None).cast("int"))
+        exprs.pct("1", "0"), exprs.growth_pct("5", "CAST(NULL AS int)")
     ).first()
     assert tuple(row) == (None, None)
 

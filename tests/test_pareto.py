@@ -24,6 +24,6 @@ def test_crossing_and_ties(spark, scratch, values, classes, distributed):
         else rank_few_rows(df, "v", ties=["id"])
     )
     got = ranked.select(
-        "row_number", abc_class(F.col("running_total"), F.col("group_total"), ABC_LABELS).alias("c")
+        "row_number", abc_class("running_total", "group_total", ABC_LABELS).alias("c")
     ).orderBy("row_number")
     assert "".join(r.c for r in got.collect()) == classes
