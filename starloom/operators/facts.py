@@ -86,13 +86,17 @@ def build_fact_sales(
     return by_month(WAREHOUSE_TABLES["fact_sales"].conform(df))
 
 
+def with_month(fact: DataFrame) -> DataFrame:
+    """Add the partition column, YYYYMM."""
+    return fact.withColumn(MONTH, F.call_function("div", F.col("date_key"), F.lit(100)).cast("int"))
+
+
 def by_month(fact: DataFrame) -> DataFrame:
     """Add the partition column and gather each month into well-sized files.
 
     The hint lets adaptive execution split a month that holds much of the data.
     """
-    month = F.call_function("div", F.col("date_key"), F.lit(100)).cast("int")
-    return fact.withColumn(MONTH, month).hint("rebalance", MONTH)
+    return with_month(fact).hint("rebalance", MONTH)
 
 
 def touched_months(current: DataFrame, incoming: DataFrame) -> list[int]:
@@ -105,19 +109,21 @@ def touched_months(current: DataFrame, incoming: DataFrame) -> list[int]:
     return sorted(r[0] for r in months.collect())
 
 
-def upsert_fact(current: DataFrame, incoming: DataFrame) -> tuple[DataFrame, list[int]]:
-    """The new content of the touched months, and the list of these months.
+def merge_months(affected: DataFrame, incoming: DataFrame) -> DataFrame:
+    """New content of the touched months, from their present content and the new rows.
 
-    A row with a known (order_id, product_key) is replaced, keeping its sales key, and
-    a new one is added. Months outside the list need no rewrite: write the result with
-    ``partitionOverwriteMode=dynamic``, or to a new path beside the others.
+    A row with a known (order_id, product_key) is replaced, keeping its sales key, and a
+    new one is added. The join works on the touched months and not on the whole fact.
     """
-    months = touched_months(current, incoming)
-    affected = current.filter(F.col(MONTH).isin(*months))
     known = affected.select(*GRAIN, F.col("sales_key").alias("_known_key"))
-    kept_keys = incoming.join(known, list(GRAIN), "left").withColumn(
+    keyed = incoming.join(known, list(GRAIN), "left").withColumn(
         "sales_key", F.coalesce("_known_key", "sales_key")
     )
     untouched = affected.join(incoming.select(*GRAIN), list(GRAIN), "left_anti")
-    merged = untouched.unionByName(kept_keys.select(*current.columns))
-    return merged, months
+    return untouched.unionByName(keyed.select(*affected.columns))
+
+
+def upsert_fact(current: DataFrame, incoming: DataFrame) -> tuple[DataFrame, list[int]]:
+    """The new content of the touched months, and the list of these months."""
+    months = touched_months(current, incoming)
+    return merge_months(current.filter(F.col(MONTH).isin(*months)), incoming), months

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
@@ -106,14 +107,11 @@ def fact_upsert(w: Warehouse) -> DataFrame:
     corrected = late.withColumn(
         "status", F.when(F.col("status") == "pending", "completed").otherwise(F.col("status"))
     )
-    current = w.scratch.save(
-        w.facts_of(w.order_items, w.orders.filter(before)), "fact-first", (facts.MONTH,)
-    )
-    incoming = w.scratch.save(w.facts_of(w.order_items, corrected), "fact-late", (facts.MONTH,))
-    merged, months = facts.upsert_fact(current, incoming)
-    untouched = current.filter(~F.col(facts.MONTH).isin(*months))
-    columns = [f.name for f in WAREHOUSE_TABLES["fact_sales"].schema]
-    return untouched.unionByName(merged).select(*columns)
+    store = SnapshotStore(w.spark, f"{w.scratch.root}/upsert-{uuid.uuid4().hex[:8]}")
+    store.write_full("fact_sales", w.facts_of(w.order_items, w.orders.filter(before)))
+    incoming = w.scratch.save(w.facts_of(w.order_items, corrected), "late-facts")
+    store.upsert_fact(incoming.drop(facts.MONTH))
+    return store.read("fact_sales")
 
 
 def load_summary(w: Warehouse) -> DataFrame:

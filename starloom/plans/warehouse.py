@@ -6,16 +6,20 @@ there by every query after that.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
-from functools import cached_property
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.util import inheritable_thread_target
 
 from starloom.operators import dimensions as dims, facts, history
 from starloom.operators.ordering import number_rows
 from starloom.sources import orderdata
 from starloom.sources.contracts import LOAD_ORDER, SOURCE_TABLES
+from starloom.sources.snapshot import SnapshotStore
 from starloom.workspace import Workspace
 
 
@@ -33,6 +37,23 @@ MOVE_EVERY, MAIL_EVERY = 10, 25
 NATIONS = 25
 
 
+class built_once:
+    """A table attribute that is built on first use, by one thread only."""
+
+    def __init__(self, make: Callable[[Warehouse], DataFrame]):
+        self.make = make
+        self.name = make.__name__
+        self.__doc__ = make.__doc__
+
+    def __get__(self, owner: Warehouse | None, kind: type | None = None):
+        if owner is None:
+            return self
+        with owner.locks.setdefault(self.name, RLock()):
+            if self.name not in owner.__dict__:
+                owner.__dict__[self.name] = self.make(owner)
+        return owner.__dict__[self.name]
+
+
 class Warehouse:
     """Source and star tables of one folder of order data."""
 
@@ -47,48 +68,55 @@ class Warehouse:
         self.folder = folder
         self.dates = dates or WarehouseDates()
         self.scratch = scratch or Workspace(spark)
+        self.locks: dict[str, RLock] = {}
+
+    def together(self, *tables: str) -> None:
+        """Build tables side by side, so that small ones fill the gaps of large ones."""
+        build = inheritable_thread_target(self.spark)(lambda table: getattr(self, table))
+        with ThreadPoolExecutor(len(tables)) as pool:
+            list(pool.map(build, tables))
 
     def raw(self, table: str) -> DataFrame:
         return orderdata.read_raw(self.spark, self.folder, table)
 
     # Source tables
 
-    @cached_property
+    @built_once
     def categories(self) -> DataFrame:
         return self.scratch.save(orderdata.categories(self.raw("part"), self.scratch), "categories")
 
-    @cached_property
+    @built_once
     def products(self) -> DataFrame:
         return self.scratch.save(
             orderdata.products(self.raw("part"), self.categories), "products"
         )
 
-    @cached_property
+    @built_once
     def stores(self) -> DataFrame:
         return orderdata.stores(self.raw("nation"), self.raw("region"))
 
-    @cached_property
+    @built_once
     def employees(self) -> DataFrame:
         return orderdata.employees(self.raw("supplier"))
 
-    @cached_property
+    @built_once
     def _lines(self) -> DataFrame:
         lines = orderdata.order_lines(self.raw("lineitem"), self.products)
         return number_rows(
             lines, "order_item_id", ["order_id", "product_id"], scratch=self.scratch
         )
 
-    @cached_property
+    @built_once
     def order_items(self) -> DataFrame:
         return orderdata.order_items(self._lines)
 
-    @cached_property
+    @built_once
     def orders(self) -> DataFrame:
         return self.scratch.save(
             orderdata.orders(self.raw("orders"), self.raw("customer"), self._lines), "orders"
         )
 
-    @cached_property
+    @built_once
     def customers_at_signup(self) -> DataFrame:
         return self.scratch.save(
             orderdata.customers(
@@ -97,7 +125,7 @@ class Warehouse:
             "customers",
         )
 
-    @cached_property
+    @built_once
     def customers(self) -> DataFrame:
         """The source after some customers moved or changed their e-mail."""
         home = self.raw("nation").join(
@@ -119,7 +147,7 @@ class Warehouse:
             before=self.dates.relocation,
         )
 
-    @cached_property
+    @built_once
     def payments(self) -> DataFrame:
         return orderdata.payments(self.orders, self.scratch)
 
@@ -130,7 +158,7 @@ class Warehouse:
 
     # Star tables
 
-    @cached_property
+    @built_once
     def dim_date(self) -> DataFrame:
         return self.scratch.save(
             dims.build_dim_date(self.spark, self.dates.calendar_start, self.dates.calendar_end),
@@ -147,13 +175,13 @@ class Warehouse:
         )
         return merged.drop("change")
 
-    @cached_property
+    @built_once
     def dim_store(self) -> DataFrame:
         return self.scratch.save(
             self._first_load("dim_store", self.stores, "store_id", "store_key"), "dim_store"
         )
 
-    @cached_property
+    @built_once
     def dim_employee(self) -> DataFrame:
         incoming = dims.employee_attributes(self.employees, self.stores)
         loaded = self._first_load("dim_employee", incoming, "employee_id", "employee_key")
@@ -162,7 +190,7 @@ class Warehouse:
             "dim_employee",
         )
 
-    @cached_property
+    @built_once
     def category_tree(self) -> DataFrame:
         return dims.flatten_hierarchy(
             self.categories,
@@ -172,7 +200,7 @@ class Warehouse:
             scratch=self.scratch,
         )
 
-    @cached_property
+    @built_once
     def dim_product(self) -> DataFrame:
         incoming = dims.product_attributes(self.products, self.category_tree)
         return self.scratch.save(
@@ -193,17 +221,17 @@ class Warehouse:
         )
         return self.scratch.save(merged, "dim_customer")
 
-    @cached_property
+    @built_once
     def customer_first_load(self) -> DataFrame:
         return self.merge_customers(
             dims.empty_table(self.spark, "dim_customer"), self.customers_at_signup
         )
 
-    @cached_property
+    @built_once
     def customer_second_load(self) -> DataFrame:
         return self.merge_customers(self.customer_first_load.drop("change"), self.customers)
 
-    @cached_property
+    @built_once
     def dim_customer(self) -> DataFrame:
         return self.customer_second_load.drop("change")
 
@@ -212,15 +240,21 @@ class Warehouse:
             items, orders, self.dim_customer, self.dim_product, self.dim_store, self.dim_employee
         )
 
-    @cached_property
+    @built_once
     def fact_sales(self) -> DataFrame:
+        self.together("orders", "dim_product", "dim_customer", "dim_store", "dim_employee")
         return self.scratch.save(
             self.facts_of(self.order_items, self.orders), "fact_sales", (facts.MONTH,)
         )
 
     def star(self) -> dict[str, DataFrame]:
-        names = ["dim_date", "dim_store", "dim_employee", "dim_product", "dim_customer"]
-        return {**{n: getattr(self, n) for n in names}, "fact_sales": self.fact_sales}
+        names = ["dim_date", "dim_store", "dim_employee", "dim_product", "dim_customer", "fact_sales"]
+        self.together(*names)
+        return {n: getattr(self, n) for n in names}
+
+    def publish(self, store: SnapshotStore) -> None:
+        """Show the six star tables in a store, all at once."""
+        store.publish({t: store.stage(t, df) for t, df in self.star().items()}, replace=True)
 
 
 _open: dict[tuple[str, str], Warehouse] = {}

@@ -46,11 +46,8 @@ class TableContract:
     @property
     def schema(self) -> T.StructType:
         """Spark types; text widths are left to the length check."""
-        out = T.StructType()
-        for name, kind, _ in self._parsed():
-            kind = "string" if kind.startswith("varchar") or kind == "text" else kind
-            out = out.add(name, T._parse_datatype_string(kind))
-        return out
+        text = lambda kind: "string" if kind.startswith(("varchar", "text")) else kind
+        return T.StructType.fromDDL(", ".join(f"{n} {text(k)}" for n, k, _ in self._parsed()))
 
     def fill_defaults(self, df: DataFrame) -> DataFrame:
         """Give columns that are NULL or missing their declared default."""

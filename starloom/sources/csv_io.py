@@ -63,7 +63,7 @@ def ingest_all(
     staged = {
         table: store.stage(table, read_source_csv(spark, source, table)) for table in LOAD_ORDER
     }
-    fresh = {t: spark.read.schema(SOURCE_TABLES[t].schema).parquet(p) for t, p in staged.items()}
+    fresh = {t: spark.read.schema(SOURCE_TABLES[t].schema).parquet(*p) for t, p in staged.items()}
     complete = fresh if truncate else {t: store.read(t).unionByName(fresh[t]) for t in LOAD_ORDER}
     broken = constraint_report(complete, SOURCE_TABLES).filter("violations > 0")
     problems = [f"{r.table_name}: {r.rule} ({r.violations})" for r in broken.collect()]

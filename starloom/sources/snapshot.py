@@ -12,9 +12,15 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from starloom.operators import facts
 from starloom.sources.contracts import SOURCE_TABLES, WAREHOUSE_TABLES
 
 LOG_SCHEMA = "version bigint, table string, paths array<string>"
+MONTHLY = {"fact_sales"}
+
+
+def _month(path: str) -> int:
+    return int(path.rsplit("=", 1)[1])
 
 
 class SnapshotStore:
@@ -41,25 +47,50 @@ class SnapshotStore:
         return sorted(self._latest()[1])
 
     def read(self, table: str) -> DataFrame:
-        paths = self._latest()[1].get(table)
+        return self._scan(table, self._latest()[1].get(table, []))
+
+    def _scan(self, table: str, paths: list[str]) -> DataFrame:
         schema = self.contracts[table].schema
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def stage(self, table: str, df: DataFrame) -> str:
-        """Write a table to a folder that no reader sees yet."""
+    def stage(self, table: str, df: DataFrame) -> list[str]:
+        """Write a table to folders that no reader sees yet; the fact gets one per month."""
         path = f"{self.root}/{table}/{uuid.uuid4().hex}"
-        self.contracts[table].conform(df).write.parquet(path)
-        return path
-
-    def publish(self, staged: dict[str, str], *, replace: bool) -> None:
+        df = self.contracts[table].conform(df)
+        if table not in MONTHLY:
+            df.write.parquet(path)
+            return [path]
+        facts.by_month(df).write.partitionBy(facts.MONTH).parquet(path)
+        months = self.spark.read.parquet(path).select(facts.MONTH).distinct().collect()
+        return sorted(f"{path}/{facts.MONTH}={r[0]}" for r in months)
+
+    def publish(self, staged: dict[str, list[str]], *, replace: bool) -> None:
         """Show the staged folders, in place of or in addition to the present ones."""
         version, paths = self._latest()
-        for table, path in staged.items():
-            paths[table] = [path] if replace else [*paths.get(table, []), path]
+        for table, added in staged.items():
+            paths[table] = [*([] if replace else paths.get(table, [])), *added]
         self._append(version + 1, paths)
 
+    def read_months(self, table: str, months: list[int]) -> DataFrame:
+        """The rows of some months; no other folder is listed or opened."""
+        chosen = [p for p in self._latest()[1].get(table, []) if _month(p) in months]
+        return self._scan(table, chosen)
+
+    def upsert_fact(self, incoming: DataFrame) -> list[int]:
+        """Merge rows into the fact, rewrite the months they touch, and list these."""
+        table = "fact_sales"
+        current = facts.with_month(self.read(table))
+        incoming = facts.with_month(incoming)
+        months = facts.touched_months(current, incoming)
+        affected = facts.with_month(self.read_months(table, months))
+        added = self.stage(table, facts.merge_months(affected, incoming))
+        version, paths = self._latest()
+        kept = [p for p in paths.get(table, []) if _month(p) not in months]
+        self._append(version + 1, {**paths, table: kept + added})
+        return months
+
     def reset(self) -> None:
         """Show an empty store; the folders of earlier versions are left in place."""
         self._append(self._latest()[0] + 1, {})

@@ -8,6 +8,7 @@ executor, so a lost executor costs a re-read and not a recomputation.
 from __future__ import annotations
 
 import atexit
+import itertools
 import shutil
 import tempfile
 import uuid
@@ -38,10 +39,9 @@ class Workspace:
         self.spark = spark
         run = f"starloom-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
         self.root = f"{root or shared_root(spark)}/{run}"
-        self._written = 0
+        self._numbers = itertools.count(1)
 
     def save(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        self._written += 1
-        path = f"{self.root}/{name}-{self._written}"
+        path = f"{self.root}/{name}-{next(self._numbers)}"
         df.write.partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

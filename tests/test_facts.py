@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 
 from starloom.operators import facts
+from starloom.sources.snapshot import SnapshotStore
 
 D = date
 
@@ -87,3 +88,22 @@ def test_fact_upsert_twice_changes_nothing(spark, scratch, star):
     same = merged.select(*current.columns)
     assert months == [202006, 202007, 202008]
     assert same.exceptAll(current).count() == current.exceptAll(same).count() == 0
+
+
+def test_store_rewrites_only_touched_months(spark, scratch, star, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    store.write_full("fact_sales", facts.build_fact_sales(*star))
+    before = store._latest()[1]["fact_sales"]
+    assert [p[-6:] for p in before] == ["202006", "202007", "202008"]
+    items, orders, *dimensions = star
+    late = orders.filter("order_id = 2").withColumn("order_date", orders.order_date + 62)
+    incoming = scratch.save(
+        facts.build_fact_sales(items, late, *dimensions).drop(facts.MONTH), "late"
+    )
+    assert store.upsert_fact(incoming) == [202007, 202009]
+    after = store._latest()[1]["fact_sales"]
+    # July is empty now; June and August are the same folders as before.
+    assert sorted(p[-6:] for p in after) == ["202006", "202008", "202009"]
+    assert set(before) & set(after) == {before[0], before[2]}
+    rows = {r.sales_key: r.date_key for r in store.read("fact_sales").collect()}
+    assert rows == {11: 20200630, 12: 20200901, 13: 20200901, 14: 20200801}

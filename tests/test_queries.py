@@ -4,6 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import differences, duck
+from starloom.plans import customers, trends
+from starloom.plans.star import StoredStar
+from starloom.plans.warehouse import open_warehouse
+from starloom.sources.snapshot import SnapshotStore
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
@@ -56,3 +60,13 @@ def test_rollup_puts_subtotals_first_and_the_total_last(spark):
     assert (rows[-1].parent_category, rows[-1].category) == ("ALL_CATEGORIES", "subtotal")
     assert rows[0].category == "subtotal" and rows[0].is_grand_total == 0
     assert sum(r.net_revenue for r in rows[:-1] if r.is_subtotal) == pytest.approx(rows[-1].net_revenue)
+
+
+def test_published_star_gives_the_same_results(spark, tmp_path):
+    w = open_warehouse(spark, FOLDER)
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    w.publish(store)
+    assert store.tables() == sorted(w.star())
+    stored = StoredStar(store)
+    assert trends.monthly_trend(stored).collect() == trends.monthly_trend(w).collect()
+    assert customers.cohort_triangle(stored).collect() == customers.cohort_triangle(w).collect()
