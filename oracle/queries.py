@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.prelude import AS_OF, CHANGE_DAY, day, money, pct, ratio, statement
+from oracle.prelude import AS_OF, day, money, pct, ratio, statement
 from starloom.plans.validation import CHECKS
 from starloom.sources.contracts import SOURCE_TABLES
 

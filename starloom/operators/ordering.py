@@ -211,7 +211,9 @@ def number_rows(
     # One row per split reaches the driver: bounded by the number of shuffle partitions.
     sizes = {r["_split"]: r["count"] for r in placed.groupBy("_split").count().collect()}
     counts = [sizes.get(i, 0) for i in range(max(sizes, default=0) + 1)]
-    offsets = F.array(*[F.lit(n) for n in accumulate(counts, initial=start)])
+    # One text literal, which Spark folds to a constant array, also for very many splits.
+    starts = ",".join(map(str, accumulate(counts, initial=start)))
+    offsets = F.split(F.lit(starts), ",").cast("array<bigint>")
     position = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     return placed.select(
         (F.element_at(offsets, F.col("_split") + 1) + position + 1).cast("long").alias(key),

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from starloom.functions.labels import ABC_LABELS
 from starloom.operators.ordering import rank_few_rows, rank_rows
