@@ -64,7 +64,7 @@ def _rule_cte(n: int) -> str:
 e{n} AS (SELECT doc_id, a, b, c, unnest(range(1, len(b) + 1)) AS i FROM m{n}),
 f{n} AS (
   SELECT doc_id, {n} AS k, length(b[i]) AS n,
-         list_sum(list_transform(a[1:i], x -> length(x))) + coalesce(list_sum(list_transform(b[1:i-1], x -> length(x))), 0) AS s
+         list_sum([length(x) for x in a[1:i]]) + coalesce(list_sum([length(x) for x in b[1:i-1]]), 0) AS s
   FROM e{n} WHERE length(c[i]) >= {r.least})"""
 
 
