@@ -37,10 +37,13 @@ def op8_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_index.find_secrets(table(spark, sf_dir, "documents"), Workspace(spark))
     spans = secret_index.as_text(F.col("found"))
-    count = {r.kind: F.size(F.filter("found", lambda x, n=n: x["kind"] == n)) for n, r in enumerate(secret_index.RULES)}
+    counts = [
+        F.expr(f"cast(size(filter(found, x -> x.kind = {n})) AS bigint) AS n_{rule.kind}")
+        for n, rule in enumerate(secret_index.RULES)
+    ]
     return found.select(
         F.col("id").alias("doc_id"),
-        *[n.cast("long").alias(f"n_{kind}") for kind, n in count.items()],
+        *counts,
         F.sha2(spans, 256).alias("base_sha256"),
         spans.alias("spans"),
     )
