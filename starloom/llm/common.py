@@ -53,12 +53,12 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def in_steps(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, list[bytes]]]:
-    """Consecutive texts as UTF-8, about STEP_BYTES together; with the place of the first."""
+def in_steps(column: pa.Array, most: int = STEP_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Consecutive texts as UTF-8, about ``most`` bytes together; with the place of the first. Nulls are empty."""
     first, size, out = 0, 0, []
     texts = column.cast(pa.binary()).to_pylist()
     for i, text in enumerate(texts):
-        if out and size + len(text or b"") > STEP_BYTES:
+        if out and size + len(text or b"") > most:
             yield first, out
             first, size, out = i, 0, []
         out.append(text or b"")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import fair_mix, fuse_dedup, secret_index
+from starloom.llm import fair_mix, fm_quality, fuse_dedup, piece_sampling, secret_index, token_attribution
 from starloom.llm.common import table
 from starloom.workspace import Workspace
 
@@ -17,6 +17,13 @@ def later_half(id_col: str = "doc_id"):
     return F.expr(f"pmod(xxhash64({id_col}), 2) = 1")
 
 
+def op5_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fm_quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = fm_quality.score(docs, model)
+    return scored.select(F.col("id").alias("doc_id"), fm_quality.is_held_out("id").alias("held_out"), "score", "predicted")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = fuse_dedup.exact_groups(docs, Workspace(spark), later_half())
@@ -29,11 +36,29 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each field, and of each paragraph of the text."""
+    docs = table(spark, sf_dir, "documents")
+    counts = token_attribution.section_tokens(docs, ["source", "lang", "text"], sectioned=["text"])
+    return counts.withColumnRenamed("id", "doc_id")
+
+
 def op8_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = fair_mix.fair_mix(table(spark, sf_dir, "documents"), Workspace(spark), WEIGHTS)
     return mix.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text cut into sampled pieces, and whether decoding them gives it back."""
+    coded = piece_sampling.encode(table(spark, sf_dir, "documents"))
+    return piece_sampling.decode(coded).select(
+        "row.doc_id",
+        "pieces",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.col("decoded").eqNullSafe(F.col("row.text")).alias("lossless"),
+    )
+
+
 def op10_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_index.find_secrets(table(spark, sf_dir, "documents"), Workspace(spark))
     spans = secret_index.as_text(F.col("found"))
@@ -49,4 +74,14 @@ def op10_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_dedup, op8_fair_mix, op10_secret_index)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op5_fm_quality,
+        op6_exact_dedup,
+        op7_token_attribution,
+        op8_fair_mix,
+        op9_piece_sampling,
+        op10_secret_index,
+    )
+}
