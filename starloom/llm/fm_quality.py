@@ -224,7 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     # At most ``rows`` pairs of whole numbers are broadcast. Ids that repeat add at most as many rows again.
     found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), _declared(docs)).join(F.broadcast(first), "_id")
     sample = found.select("quality", "text", "declared").mapInArrow(_extract, "quality int, index array<int>, value array<float>")
-    data = sample.limit(2 * rows).toPandas()
+    data = sample.limit(2 * rows).toArrow().to_pandas()
     order = sorted(range(len(data)), key=lambda i: (data["index"][i].tobytes(), int(data["quality"][i])))
     pairs = [(data["index"][i].astype(np.int64), data["value"][i].astype(float)) for i in order]
     return fit(pairs, data["quality"].to_numpy(float)[order])
