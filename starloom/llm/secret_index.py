@@ -216,7 +216,8 @@ def find_secrets(
     if trigrams:
         postings = write_postings(docs, trigrams, scratch, id_col, text_col)
         maybe = candidates(postings, queries).withColumnRenamed("id", "_id")
-        rows = rows.join(maybe, F.col("id").eqNullSafe(F.col("_id")), "left")
+        # One plan at every size: the candidates grow with the documents and are never broadcast.
+        rows = rows.join(maybe.hint("merge"), F.col("id").eqNullSafe(F.col("_id")), "left")
     else:
         rows = rows.withColumn("rules", F.lit(None).cast("array<int>"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
