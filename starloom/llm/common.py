@@ -96,3 +96,29 @@ def word_hashes(texts: list[bytes], fold: bool = True) -> tuple[np.ndarray, np.n
     hashes = np.empty_like(h)
     hashes[order] = mix64(h)
     return hashes, offsets, starts, lengths
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Sorted rows in parts that hold whole groups, with where the groups begin and the last one ends.
+
+    Groups are runs of equal keys; nulls are equal. A part is a batch and what the batch before left over, so
+    memory follows the batch and the largest group.
+    """
+    rest: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        cuts = _group_starts(rows, keys)
+        if len(cuts) > 1:
+            yield rows.slice(0, cuts[-1]).combine_chunks(), cuts
+        rest = rows.slice(cuts[-1])
+    if rest is not None:
+        yield rest.combine_chunks(), [0, rest.num_rows]
+
+
+def _group_starts(rows: pa.Table, keys: list[str]) -> list[int]:
+    columns = [rows.column(k).to_pylist() for k in keys]
+    values = list(zip(*columns))
+    return [0, *(i for i in range(1, len(values)) if values[i] != values[i - 1])]

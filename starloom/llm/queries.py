@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import fair_mix, fm_quality, fuse_dedup, piece_sampling, secret_index, token_attribution
+from starloom.llm import fair_mix, fm_quality, fuse_dedup, piece_sampling, secret_index, signature_join, token_attribution
 from starloom.llm.common import table
 from starloom.workspace import Workspace
 
@@ -17,6 +17,12 @@ def later_half(id_col: str = "doc_id"):
     return F.expr(f"pmod(xxhash64({id_col}), 2) = 1")
 
 
+def op3_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three words and 90 of 100, as this query's contract has them."""
+    rows = signature_join.components(table(spark, sf_dir, "documents"), Workspace(spark), words=3, percent=90)
+    return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
 def op5_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fm_quality.train(docs, table(spark, sf_dir, "labels"))
@@ -77,6 +83,7 @@ def op10_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op3_signature_join,
         op5_fm_quality,
         op6_exact_dedup,
         op7_token_attribution,

@@ -81,4 +81,25 @@ SELECT d.doc_id, {', '.join(f'coalesce(n_{r.kind}, 0) AS n_{r.kind}' for r in RU
 FROM d LEFT JOIN h ON d.doc_id = h.doc_id
 """
 
-STATEMENTS = {"op6_exact_dedup": OP6, "op8_fair_mix": OP8, "op10_secret_index": OP10}
+OP3 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+g AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+         ELSE list_distinct([words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] for i in range(1, len(words) - 1)]) END AS s
+  FROM w),
+n AS MATERIALIZED (SELECT doc_id, len(s)::BIGINT AS n_shingles FROM g),
+t AS MATERIALIZED (SELECT doc_id, unnest(s) AS t FROM g),
+l AS MATERIALIZED (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS n_both
+        FROM t p JOIN t q ON p.t = q.t AND p.doc_id <> q.doc_id GROUP BY ALL) o
+  JOIN n x ON x.doc_id = o.a JOIN n y ON y.doc_id = o.b
+  WHERE 100 * n_both >= 90 * (x.n_shingles + y.n_shingles - n_both)),
+r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.c = l.a)
+SELECT n.doc_id, n_shingles, min(c) AS component_id FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY ALL
+"""
+
+STATEMENTS = {"op3_signature_join": OP3, "op6_exact_dedup": OP6, "op8_fair_mix": OP8, "op10_secret_index": OP10}
