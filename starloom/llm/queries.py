@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import fair_mix, fm_quality, fuse_dedup, piece_sampling, secret_index, signature_join, token_attribution
+from starloom.llm import (
+    arc_convert,
+    fair_mix,
+    fm_quality,
+    fuse_dedup,
+    piece_sampling,
+    pivot_topk,
+    secret_index,
+    signature_join,
+    token_attribution,
+)
 from starloom.llm.common import table
 from starloom.workspace import Workspace
 
@@ -17,12 +27,33 @@ def later_half(id_col: str = "doc_id"):
     return F.expr(f"pmod(xxhash64({id_col}), 2) = 1")
 
 
+def op2_arc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as ARC volumes of both versions, converted to WARC and read back."""
+    scratch = Workspace(spark)
+    arc, warc = f"{scratch.root}/arc", f"{scratch.root}/warc"
+    pages = table(spark, sf_dir, "pages")
+    arc_convert.write_arc(pages, arc, id_col="page_id", url_col="url", text_col="html", date="20000101000000")
+    arc_convert.convert(spark, arc, warc, scratch, least=0)
+    return arc_convert.read_warc(spark, warc, scratch).select(
+        F.col("number").alias("page_id"),
+        F.col("size").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op3_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three words and 90 of 100, as this query's contract has them."""
     rows = signature_join.components(table(spark, sf_dir, "documents"), Workspace(spark), words=3, percent=90)
     return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
 
 
+def op4_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return pivot_topk.top_k(vectors, Workspace(spark), F.col("vec_id") % 100 == 0, 10)
+
+
 def op5_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fm_quality.train(docs, table(spark, sf_dir, "labels"))
@@ -83,7 +114,9 @@ def op10_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_arc_convert,
         op3_signature_join,
+        op4_pivot_topk,
         op5_fm_quality,
         op6_exact_dedup,
         op7_token_attribution,

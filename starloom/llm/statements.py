@@ -102,4 +102,37 @@ r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT r.doc_id, l.b FROM r JOIN l
 SELECT n.doc_id, n_shingles, min(c) AS component_id FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY ALL
 """
 
-STATEMENTS = {"op3_signature_join": OP3, "op6_exact_dedup": OP6, "op8_fair_mix": OP8, "op10_secret_index": OP10}
+OP2 = """
+WITH d AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+e AS (
+  SELECT page_id, payload_bytes, array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, (i // 4 * 5 + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)
+    for i in range(32)], '') AS payload_digest
+  FROM d),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM e)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+OP4 = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM p)
+SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 10
+"""
+
+STATEMENTS = {
+    "op2_arc_convert": OP2,
+    "op3_signature_join": OP3,
+    "op4_pivot_topk": OP4,
+    "op6_exact_dedup": OP6,
+    "op8_fair_mix": OP8,
+    "op10_secret_index": OP10,
+}
