@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.llm import (
     arc_convert,
+    chat_hmm,
     fair_mix,
     fm_quality,
     fuse_dedup,
@@ -27,6 +28,27 @@ def later_half(id_col: str = "doc_id"):
     return F.expr(f"pmod(xxhash64({id_col}), 2) = 1")
 
 
+def op1_chat_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as transcripts that lack a quarter of their markers, parsed and rendered.
+
+    Roles are learned where crc32(conv_id) mod 3 is not 1.
+    """
+    scratch = Workspace(spark)
+    turns = chat_hmm.as_transcript(table(spark, sf_dir, "conversations"))
+    found = scratch.save(chat_hmm.segments(turns, "conv_id", "turn", "text", "role"), "segments")
+    learned = found.where(~fm_quality.is_held_out("id"))
+    parsed = chat_hmm.parse(found, chat_hmm.train(learned), scratch)
+    return parsed.select(
+        F.col("id").alias("conv_id"),
+        F.col("pos").alias("turn"),
+        fm_quality.is_held_out("id").alias("held_out"),
+        F.get("roles", 0).alias("role"),
+        F.get("begins", 0).alias("begins"),
+        F.size("roles").cast("long").alias("n_lines"),
+        "rendered",
+    )
+
+
 def op2_arc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as ARC volumes of both versions, converted to WARC and read back."""
     scratch = Workspace(spark)
@@ -114,6 +136,7 @@ def op10_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_chat_hmm,
         op2_arc_convert,
         op3_signature_join,
         op4_pivot_topk,
