@@ -19,11 +19,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.llm.common import as_row, in_steps, word_hashes
+from starloom.llm.common import in_steps, word_hashes
 
 #: Labelled rows that the model is fitted on, at most; with their features they take a few tens of MB.
 FIT_ROWS = 8_192
@@ -256,15 +255,19 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", id_col: str
 
 def keep_good(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
     """The rows with a score of 0.5 or more, with their columns as they are."""
-
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series, declared: pd.Series) -> pd.Series:
-        out = np.zeros(len(texts))
-        known = declared.fillna(-1).to_numpy(np.int64)
-        for first, part in in_steps(pa.array(texts, pa.string())):
-            out[first : first + len(part)] = shared.value.score(*features(part, known[first : first + len(part)]))
-        return pd.Series(out)
-
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(as_row(docs), F.col(text_col).alias("_text"), _declared(docs))
-    return rows.where(scored("_text", "declared") >= 0.5).select("_row.*")
+    text, known = docs.columns.index(text_col), "n_chars" in docs.columns
+    chars = docs.columns.index("n_chars") if known else -1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            declared = np.full(batch.num_rows, -1)
+            if known:
+                declared = batch.column(chars).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
+            for first, texts in in_steps(batch.column(text)):
+                part = slice(first, first + len(texts))
+                good = model.score(*features(texts, declared[part])) >= 0.5
+                yield batch.slice(first, len(texts)).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
