@@ -15,9 +15,10 @@ when 100 times the size of the intersection is at least ``percent`` times the si
    bitmaps of the sets below it, the range of their sizes, and by how much a set can exceed its bits. The dual
    traversal drops a pair of tree nodes when its largest possible overlap is too small for its smallest sizes,
    or when all sets below are already in one component. What remains is compared exactly.
-4. A component meets others first through one block of its own choice, in parts of bounded size, represented by one of
-   its nodes; that joins most of what is alike in linear time, in a few rounds. Then all blocks that still hold
-   several components are joined in full, pairs of parts at a time, so that no link between components is lost.
+4. A component meets others first through one block of its own choice, in parts of bounded size, represented by
+   one of its nodes; that joins most of what is alike in linear time, in a few rounds. Then all blocks that still hold
+   several components are traversed in full, pairs of parts at a time, by bitmaps alone, which are small; pairs that
+   these leave are compared by their sets, so that no link between components is lost.
 
 Components are right whatever the order; links within a component are not listed. Hash collisions of 64 bits
 are neglected. Null texts are empty; rows that repeat an id or a text are rows like others. A null id takes part,
@@ -26,7 +27,8 @@ but never names a component, unless it has no other id: then the component is nu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -42,7 +44,7 @@ PART = 512
 #: Tree nodes with at most so many sets are leaves.
 LEAF = 16
 FAN_OUT = 4
-ROUNDS = 2
+ROUNDS, FEW_PAIRS = 2, 3
 
 _ONE = np.uint64(1)
 _SALT = mix64(np.arange(1, 64, dtype=np.uint64))
@@ -227,9 +229,11 @@ def _sets(words: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([wanted[first + i] for i in keep], pa.binary()),
+                        pa.array([len(found[i]) for i in keep], pa.int64()),
+                        pa.array([bitmap(found[i], bitmap_width(len(found[i]))).tobytes() for i in keep], pa.binary()),
                         pa.array([found[i].tobytes() for i in keep], pa.binary()),
                     ],
-                    ["node", "tokens"],
+                    ["node", "n", "bits", "tokens"],
                 )
 
     return run
@@ -238,20 +242,34 @@ def _sets(words: int):
 # Trees.
 
 
+def bitmap_width(n: int) -> int:
+    """Bits for a set of n elements: a power of two, about eight for each."""
+    return 1 << int(np.clip(np.ceil(np.log2(8 * max(n, 1))), 8, 16))
+
+
+def bitmap(tokens: np.ndarray, width: int) -> np.ndarray:
+    """A bit for each element, by the low bits of its hash, packed into 64-bit words."""
+    bits = np.zeros(width, bool)
+    bits[(tokens & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """A wider bitmap as one of this width."""
+    return np.bitwise_or.reduce(bits.reshape(-1, width // 64), 0)
+
+
 class Tree:
-    """Signature tree over sets in order of size; levels[0] are the sets, each level above ORs FAN_OUT (leaves: LEAF) below."""
-
-    def __init__(self, sets: list[np.ndarray], width: int):
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        bits = np.zeros((len(sets), width), bool)
-        mask = np.uint64(width - 1)
-        for row, tokens in enumerate(sets):
-            bits[row, (tokens & mask).astype(np.int64)] = True
-        packed = np.packbits(bits, axis=1)
-        packed = np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8))).view(np.uint64)
-        excess = self.sizes - bits.sum(1)
-        self.spans = [[(i, i + 1) for i in range(len(sets))]]
-        self.bits, self.low, self.high, self.excess = [packed], [self.sizes], [self.sizes], [excess]
+    """Signature tree over sets in order of size.
+
+    levels[0] are the sets. Each node above has the OR of the bitmaps below it, the range of their sizes, and the
+    most by which one of these sets exceeds its bits; leaves are level 1.
+    """
+
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray):
+        excess = sizes - np.bitwise_count(bits).sum(1, dtype=np.int64)
+        self.bits, self.low, self.high, self.excess = [bits], [sizes], [sizes], [excess]
+        self.spans = [[(i, i + 1) for i in range(len(sizes))]]
         fan = LEAF
         while len(self.spans[-1]) > 1 or len(self.spans) == 1:
             starts = np.arange(0, len(self.spans[-1]), fan)
@@ -270,84 +288,71 @@ class Tree:
         return low, high
 
 
-def _roots(parent: np.ndarray, at: np.ndarray) -> np.ndarray:
-    out = parent[at]
-    while True:
-        up = parent[out]
-        if (up == out).all():
-            return out
-        out = up
+def _root(parent: list[int], at: int) -> int:
+    while parent[at] != at:
+        parent[at] = parent[parent[at]]
+        at = parent[at]
+    return at
 
 
-def tree_components(sets: list[np.ndarray], group: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
-    """For each set a number of its component, after all links between components of ``group`` are found.
+def traverse(
+    bits: np.ndarray, sizes: np.ndarray, group: list[int], side: np.ndarray, percent: int, same: Callable[[int, int], bool]
+) -> list[int]:
+    """Dual traversal: asks ``same`` of each pair that may link, unless its sets are in one group by then.
 
-    With both sides 0 and 1 present, only pairs across are tried.
+    Where it says yes, the groups become one. With both sides 0 and 1 present, only pairs across are tried.
+    Returns for each set a number of its group.
     """
-    order = np.argsort([len(s) for s in sets], kind="stable")
-    longest = max((len(s) for s in sets), default=1)
-    width = 1 << int(np.clip(np.ceil(np.log2(4 * longest)), 8, 16))
-    _, parent = np.unique(group, return_inverse=True)
-    # Components are told by their first set.
-    first = np.full(len(sets), len(sets))
-    np.minimum.at(first, parent, np.arange(len(sets)))
-    parent = first[parent]
-    sides = [order[side[order] == s] for s in (0, 1)]
-    sides = [s for s in sides if len(s)]
-    trees = [Tree([sets[i] for i in s], width) for s in sides]
-    left, right = trees[0], trees[-1]
-    at_left, at_right = sides[0], sides[-1]
-
-    def may(lb, rb, l_low, l_high, r_low, r_high, l_exc, r_exc):
-        """Whether the largest possible overlap reaches what the smallest sizes need."""
-        common = np.bitwise_count(lb & rb).sum(-1, dtype=np.int64) + np.minimum(l_exc, r_exc)
-        most = np.minimum(np.minimum(l_high, r_high), common)
-        need = percent * (l_low + r_low)
-        sizes = (100 * r_high >= percent * l_low) & (100 * l_high >= percent * r_low)
-        return sizes & ((100 + percent) * most >= need)
-
-    def compare(a: tuple[int, int], b: tuple[int, int], same: bool) -> None:
-        la, rb = slice(*a), slice(*b)
-        ok = may(
-            left.bits[0][la][:, None], right.bits[0][rb][None, :],
-            left.sizes[la][:, None], left.sizes[la][:, None], right.sizes[rb][None, :], right.sizes[rb][None, :],
-            left.excess[0][la][:, None], right.excess[0][rb][None, :],
+    first: dict[int, int] = {}
+    parent = [first.setdefault(g, i) for i, g in enumerate(group)]
+    order = np.argsort(sizes, kind="stable")
+    places = [p for p in (order[side[order] == s] for s in (0, 1)) if len(p)]
+    trees = [Tree(bits[p], sizes[p]) for p in places]
+    left, right, at_left, at_right = trees[0], trees[-1], places[0].tolist(), places[-1].tolist()
+    one = len(trees) == 1
+
+    def may(level: int, x: int, r_level: int, y: int) -> bool:
+        """Whether the largest possible overlap below two nodes reaches what their smallest sizes need."""
+        l_low, l_high = int(left.low[level][x]), int(left.high[level][x])
+        r_low, r_high = int(right.low[r_level][y]), int(right.high[r_level][y])
+        if 100 * r_high < percent * l_low or 100 * l_high < percent * r_low:
+            return False
+        common = int(np.bitwise_count(left.bits[level][x] & right.bits[r_level][y]).sum(dtype=np.int64))
+        most = min(l_high, r_high, common + min(int(left.excess[level][x]), int(right.excess[r_level][y])))
+        return (100 + percent) * most >= percent * (l_low + r_low)
+
+    def compare(a: tuple[int, int], b: tuple[int, int], within: bool) -> None:
+        """Bits that only one set has are elements that only it has."""
+        x, y = left.bits[0][slice(*a)][:, None], right.bits[0][slice(*b)][None, :]
+        n, m = left.low[0][slice(*a)][:, None], right.low[0][slice(*b)][None, :]
+        most = np.minimum(
+            n - np.bitwise_count(x & ~y).sum(-1, dtype=np.int64), m - np.bitwise_count(y & ~x).sum(-1, dtype=np.int64)
         )
-        if same:
-            ok = np.triu(ok, 1)
-        for i, j in zip(*np.nonzero(ok)):
-            x, y = int(at_left[a[0] + i]), int(at_right[b[0] + j])
-            rx, ry = (int(_roots(parent, np.array([z]))[0]) for z in (x, y))
-            if rx == ry:
-                continue
-            s, t = sets[x], sets[y]
-            both = len(np.intersect1d(s, t, assume_unique=True))
-            if 100 * both >= percent * (len(s) + len(t) - both):
-                parent[max(rx, ry)] = min(rx, ry)
+        fits = (100 + percent) * most >= percent * (n + m)
+        for i, j in zip(*np.nonzero(np.triu(fits, 1) if within else fits)):
+            u, v = at_left[a[0] + i], at_right[b[0] + j]
+            ru, rv = _root(parent, u), _root(parent, v)
+            if ru != rv and same(u, v):
+                parent[max(ru, rv)] = min(ru, rv)
 
     def joined(a: tuple[int, int], b: tuple[int, int]) -> bool:
-        places = np.concatenate((at_left[a[0] : a[1]], at_right[b[0] : b[1]]))
-        roots = _roots(parent, places)
-        return bool((roots == roots[0]).all())
+        root = _root(parent, at_left[a[0]])
+        return all(_root(parent, p) == root for p in at_left[slice(*a)]) and all(
+            _root(parent, p) == root for p in at_right[slice(*b)]
+        )
 
-    one = len(trees) == 1
     stack = [(len(left.spans) - 1, 0, len(right.spans) - 1, 0)]
     while stack:
         level, x, r_level, y = stack.pop()
         a, b = left.below(level, x), right.below(r_level, y)
-        same = one and (level, x) == (r_level, y)
-        if not same and not may(
-            left.bits[level][x], right.bits[r_level][y], left.low[level][x], left.high[level][x],
-            right.low[r_level][y], right.high[r_level][y], left.excess[level][x], right.excess[r_level][y],
-        ):
-            continue
-        if joined(a, b):
+        within = one and (level, x) == (r_level, y)
+        if (not within and not may(level, x, r_level, y)) or joined(a, b):
             continue
         if level == 1 and r_level == 1:
-            compare(a, b, same)
+            compare(a, b, within)
         elif level >= r_level:
             low, high = left.spans[level][x]
-            if same:
+            if within:
                 # Pairs within first, as they join what the others then need not try.
                 stack += [(level - 1, i, level - 1, j) for i in range(low, high) for j in range(i + 1, high)]
                 stack += [(level - 1, i, level - 1, i) for i in range(low, high)]
@@ -355,29 +360,95 @@ def tree_components(sets: list[np.ndarray], group: np.ndarray, side: np.ndarray,
                 stack += [(level - 1, i, r_level, y) for i in range(low, high)]
         else:
             stack += [(level, x, r_level - 1, j) for j in range(*right.spans[r_level][y])]
-    return _roots(parent, np.arange(len(sets)))
+    return [_root(parent, i) for i in range(len(group))]
+
+
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def tree_components(sets: list[np.ndarray], group: list[int], percent: int) -> list[int]:
+    """For each set a number of its group, after all links between groups are found and their groups joined."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    width = bitmap_width(int(sizes.max(initial=1)))
+    bits = np.stack([bitmap(s, width) for s in sets])
+    return traverse(bits, sizes, group, np.zeros(len(sets), int), percent, lambda x, y: linked(sets[x], sets[y], percent))
+
+
+def tree_candidates(
+    bitmaps: list[bytes], sizes: np.ndarray, group: list[int], side: np.ndarray, percent: int, most: int | None
+) -> list[tuple[int, int]]:
+    """The pairs of different groups that may link by their bitmaps; at most ``most`` for each two groups, if given."""
+    bits = [np.frombuffer(b, np.uint64) for b in bitmaps]
+    width = 64 * min(map(len, bits))
+    pairs: list[tuple[int, int]] = []
+    times: Counter = Counter()
 
+    def keep(x: int, y: int) -> bool:
+        key = (group[x], group[y]) if group[x] < group[y] else (group[y], group[x])
+        times[key] += 1
+        if most is None or times[key] <= most:
+            pairs.append((x, y))
+        return False
 
-def _tasks(percent: int):
+    traverse(np.stack([folded(b, width) for b in bits]), sizes, group, side, percent, keep)
+    return pairs
+
+
+def _joining(percent: int):
     """For each component of a task that joined another, the smallest name of those it joined."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, cuts in whole_groups(batches, ["task"]):
             tokens, names = rows.column("tokens").to_pylist(), rows.column("component").to_pylist()
-            sides = rows.column("side").to_numpy()
-            pairs: list[tuple[bytes, bytes]] = []
+            pairs: set[tuple[bytes, bytes]] = set()
             for low, high in zip(cuts, cuts[1:]):
-                numbers: dict[bytes, int] = {}
-                group = np.array([numbers.setdefault(c, len(numbers)) for c in names[low:high]])
-                if len(numbers) < 2:
+                if high - low < 2:
                     continue
                 sets = [np.frombuffer(t, np.uint64) for t in tokens[low:high]]
-                roots = tree_components(sets, group, sides[low:high], percent).tolist()
+                roots = tree_components(sets, list(range(high - low)), percent)
                 least: dict[int, bytes] = {}
                 for name, root in zip(names[low:high], roots):
                     least[root] = min(name, least.get(root, name))
-                pairs += {(n, least[r]) for n, r in zip(names[low:high], roots) if n != least[r]}
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
+                pairs |= {(n, least[r]) for n, r in zip(names[low:high], roots) if n != least[r]}
+            ordered = sorted(pairs)
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in ordered], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    return run
+
+
+def _proposing(percent: int, most: int | None):
+    """Pairs of nodes of different components that may link: nodes and components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, cuts in whole_groups(batches, ["task"]):
+            bits, names, nodes = (rows.column(c).to_pylist() for c in ("bits", "component", "node"))
+            sizes, sides = rows.column("n").to_numpy(), rows.column("side").to_numpy()
+            found: set[tuple[int, int]] = set()
+            for low, high in zip(cuts, cuts[1:]):
+                numbers: dict[bytes, int] = {}
+                group = [numbers.setdefault(c, len(numbers)) for c in names[low:high]]
+                if len(numbers) > 1:
+                    part = slice(low, high)
+                    pairs = tree_candidates(bits[part], sizes[part], group, sides[part], percent, most)
+                    # In one order, so that a pair of several blocks is one.
+                    found |= {(low + x, low + y) if nodes[low + x] < nodes[low + y] else (low + y, low + x) for x, y in pairs}
+            ordered = sorted(found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([of[p[k]] for p in ordered], pa.binary()) for of in (nodes, names) for k in (0, 1)],
+                ["x", "y", "a", "b"],
+            )
+
+    return run
+
+
+def _verifying(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
+            fits = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(left, right)]
+            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
     return run
 
@@ -385,11 +456,8 @@ def _tasks(percent: int):
 # The join.
 
 
-def _joined(tasks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """tasks: task, side, component, node."""
-    rows = tasks.join(sets, "node").select("task", "side", "component", "tokens")
-    ordered = rows.repartition("task").sortWithinPartitions("task")
-    return ordered.mapInArrow(_tasks(percent), "a binary, b binary")
+def _by_task(rows: DataFrame) -> DataFrame:
+    return rows.repartition("task").sortWithinPartitions("task")
 
 
 def _part_of(name: str, size: str) -> str:
@@ -403,11 +471,15 @@ def _contracted(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     best = F.max(F.struct("size", "block", "node")).alias("best")
     chosen = present.join(several, "block").groupBy("component").agg(best).select("component", "best.*")
     task = F.expr(f"concat(hex(block), '-', {_part_of('component', 'size')})")
-    return _joined(chosen.select(task.alias("task"), F.lit(0).alias("side"), "component", "node"), sets, percent)
+    rows = chosen.select(task.alias("task"), "component", "node").join(sets, "node").select("task", "component", "tokens")
+    return _by_task(rows).mapInArrow(_joining(percent), "a binary, b binary")
+
 
+def _completed(members: DataFrame, sets: DataFrame, percent: int, most: int | None, scratch: Workspace) -> DataFrame:
+    """Links between components in all blocks: each pair of parts of a block is a task.
 
-def _completed(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs of components in all blocks: each pair of parts of a block is a task."""
+    Tasks hold bitmaps; what these cannot rule out, once for each two nodes, is compared by the sets.
+    """
     several = (
         members.groupBy("block")
         .agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
@@ -420,7 +492,12 @@ def _completed(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     paired = placed.selectExpr("*", "explode(sequence(CAST(0 AS bigint), parts - 1)) AS other")
     task = F.expr("concat(hex(block), '-', least(part, other), '-', greatest(part, other))")
     side = F.expr("CAST(part > other AS int)")
-    return _joined(paired.select(task.alias("task"), side.alias("side"), "component", "node"), sets, percent)
+    rows = paired.select(task.alias("task"), side.alias("side"), "component", "node").join(sets.drop("tokens"), "node")
+    proposed = _by_task(rows).mapInArrow(_proposing(percent, most), "x binary, y binary, a binary, b binary")
+    pairs = scratch.save(proposed.distinct(), "pairs")
+    x, y = (sets.select(F.col("node").alias(c), F.col("tokens").alias(t)) for c, t in (("x", "left"), ("y", "right")))
+    both = pairs.join(x, "x").join(y, "y").select("a", "b", "left", "right")
+    return scratch.save(both.mapInArrow(_verifying(percent), "a binary, b binary"), "links")
 
 
 def connected(edges: DataFrame, scratch: Workspace) -> DataFrame:
@@ -482,13 +559,15 @@ def components(
     )
     of_row = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
     found = texts.join(wanted.hint("merge"), of_row).select("node", "text")
-    sets = scratch.save(found.mapInArrow(_sets(words), "node binary, tokens binary"), "sets")
+    sets = scratch.save(found.mapInArrow(_sets(words), "node binary, n long, bits binary, tokens binary"), "sets")
     for _ in range(ROUNDS):
         names = scratch.save(_contracted(members, sets, percent), "names")
         members = scratch.save(_renamed(members, names), "members")
-    edges = scratch.save(_completed(members, sets, percent), "links")
-    names = connected(edges, scratch)
-    of_node = _renamed(members, names).select("node", "component").distinct()
+    # A few pairs of each two components join nearly all that is left; then every pair that remains.
+    for most in (FEW_PAIRS, None):
+        names = connected(_completed(members, sets, percent, most, scratch), scratch)
+        members = scratch.save(_renamed(members, names), "members")
+    of_node = members.select("node", "component").distinct()
     named = rows.join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
     whole = named.join(least.withColumnRenamed("component", "_c"), F.col("component") == F.col("_c"), "left")
