@@ -82,7 +82,7 @@ class ArcRecord:
 def _header(line: bytes, version: int) -> tuple[dict[str, str], int] | None:
     """The fields of a header line, and the declared length; a content type may hold spaces."""
     names, words = FIELDS[version].split(" "), line.decode("utf-8", "replace").split(" ")
-    if len(words) < len(names) or not words[-1].isdecimal() or not words[2].isdecimal():
+    if len(words) < len(names) or not words[0] or not words[-1].isdecimal() or not words[2].isdecimal():
         return None
     behind = len(names) - 4
     values = [*words[:3], " ".join(words[3 : len(words) - behind]), *words[len(words) - behind :]]

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: White space between words: space and the control characters from tab to carriage return.
@@ -55,16 +56,14 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 
 def in_steps(column: pa.Array, most: int = STEP_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive texts as UTF-8, about ``most`` bytes together; with the place of the first. Nulls are empty."""
-    first, size, out = 0, 0, []
-    texts = column.cast(pa.binary()).to_pylist()
-    for i, text in enumerate(texts):
-        if out and size + len(text or b"") > most:
-            yield first, out
-            first, size, out = i, 0, []
-        out.append(text or b"")
-        size += len(text or b"")
-    if out:
-        yield first, out
+    ends = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(column):
+        before = ends[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
+        part = column.slice(first, end - first).cast(pa.binary())
+        yield first, [text or b"" for text in part.to_pylist()]
+        first = end
 
 
 def word_hashes(texts: list[bytes], fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

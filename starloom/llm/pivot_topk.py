@@ -44,7 +44,8 @@ def choose_pivots(sample: list[np.ndarray], count: int = PIVOTS) -> dict[int, np
     """By dimension, vectors of the sample that lie far from each other."""
     out = {}
     for dim in {len(v) for v in sample}:
-        vectors = np.array([v for v in sample if len(v) == dim]).reshape(-1, dim)
+        same = [v for v in sample if len(v) == dim]
+        vectors = np.array(same).reshape(len(same), dim)
         picked = [0]
         nearest = ((vectors - vectors[0]) ** 2).sum(1)
         while len(picked) < min(count, len(vectors)) and nearest.max() > 0:
