@@ -7,90 +7,39 @@ from pyspark.sql import DataFrame, functions as F
 from starloom.functions.exprs import pct, rounded_ratio
 from starloom.workspace import Workspace
 
-# A basket with more items than this is a candidate for the lookup path.
-WIDE_BASKET = 1000
+# Items of a basket that one task pairs with the whole basket, about.
+PART_ITEMS = 200
 
 
 def item_counts(baskets: DataFrame) -> DataFrame:
     return baskets.groupBy("item").agg(F.count("*").alias("n"))
 
 
-def _wide_sizes(baskets: DataFrame, wide: int) -> DataFrame:
-    return baskets.groupBy("basket").agg(F.count("*").alias("n")).filter(F.col("n") > wide)
-
-
-def _self_pairs(baskets: DataFrame, sizes: DataFrame | None, wide: int) -> DataFrame:
-    """Every pair of items of every basket, item_a < item_b.
-
-    With ``sizes``, the baskets listed there are cut into parts of about ``wide`` items.
-    Each part meets the whole basket under a key of its own, so the pairs of one basket
-    are made by many tasks.
-    """
-    left = baskets.select("basket", F.col("item").alias("item_a"))
-    right = baskets.select("basket", F.col("item").alias("item_b"))
-    keys = ["basket"]
-    if sizes is not None:
-        parts = sizes.select("basket", F.ceil(F.col("n") / wide).cast("int").alias("parts"))
-        count = F.coalesce("parts", F.lit(1))
-        left = left.join(parts, "basket", "left").select(
-            "basket", "item_a", F.pmod(F.xxhash64("item_a"), count).cast("int").alias("part")
-        )
-        right = right.join(parts, "basket", "left").select(
-            "basket", "item_b", F.explode(F.sequence(F.lit(0), count - 1)).alias("part")
-        )
-        keys = ["basket", "part"]
-    return left.join(right, keys).filter(F.col("item_a") < F.col("item_b"))
-
-
 def pair_counts(
-    baskets: DataFrame,
-    frequency: DataFrame,
-    min_pair: int,
-    *,
-    wide_baskets: int,
-    wide: int = WIDE_BASKET,
+    baskets: DataFrame, frequency: DataFrame, min_pair: int, *, part_items: int = PART_ITEMS
 ) -> DataFrame:
     """Pairs (item_a < item_b) that share at least ``min_pair`` baskets, with counts.
 
-    ``baskets`` holds distinct (basket, item) rows, ``frequency`` the baskets per item,
-    ``wide_baskets`` the number of baskets with more than ``wide`` items. Two exact
-    reductions keep the pairs few:
-
-    * an item in fewer than ``min_pair`` baskets is in no such pair;
-    * a pair in ``min_pair`` baskets is in at least one that is not among the
-      ``min_pair - 1`` widest. These widest baskets therefore never have their pairs
-      listed: the pairs of the other baskets are looked up in them.
+    ``baskets`` holds distinct (basket, item) rows of any type, ``frequency`` the baskets
+    per item. An item in fewer than ``min_pair`` baskets is in no such pair and is left out.
 
-    Wide baskets beyond that number are cut into parts.
+    Each basket is cut into as many parts as its size asks for, one if it is small. Each part
+    meets the whole basket under a key of its own, so the pairs of one basket are made
+    by as many tasks, and no task holds more than a part's share of them.
     """
     frequent = frequency.filter(F.col("n") >= min_pair).select("item")
     kept = baskets.join(frequent, "item")
-    sizes = _wide_sizes(baskets, wide)
-    huge = []
-    if wide_baskets and min_pair > 1:
-        widest = sizes.orderBy(F.desc("n"), "basket").limit(min_pair - 1)
-        huge = [r["basket"] for r in widest.collect()]  # fewer than min_pair rows
-    normal = kept.filter(~F.col("basket").isin(*huge)) if huge else kept
-    pairs = (
-        _self_pairs(normal, sizes if wide_baskets > len(huge) else None, wide)
-        .groupBy("item_a", "item_b")
-        .agg(F.count("*").alias("n_pair"))
+    sizes = kept.groupBy("basket").agg(F.count("*").alias("n"))
+    sized = kept.join(sizes, "basket").select(
+        "basket", "item", F.ceil(F.col("n") / part_items).cast("int").alias("parts")
     )
-    if huge:
-        hits = (
-            kept.filter(F.col("basket").isin(*huge))
-            .groupBy("item")
-            .agg(F.collect_set("basket").alias("in"))
-        )
-        nowhere = F.array().cast("array<bigint>")
-        shared = F.array_intersect(F.coalesce("in_a", nowhere), F.coalesce("in_b", nowhere))
-        pairs = (
-            pairs.filter(F.col("n_pair") + len(huge) >= min_pair)
-            .join(hits.select(F.col("item").alias("item_a"), F.col("in").alias("in_a")), "item_a", "left")
-            .join(hits.select(F.col("item").alias("item_b"), F.col("in").alias("in_b")), "item_b", "left")
-            .select("item_a", "item_b", (F.col("n_pair") + F.size(shared)).alias("n_pair"))
-        )
-    return pairs.filter(F.col("n_pair") >= min_pair)
+    part = F.pmod(F.xxhash64("item"), F.col("parts")).cast("int").alias("part")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    left = sized.select("basket", part, F.col("item").alias("item_a"))
+    right = sized.select("basket", every, F.col("item").alias("item_b"))
+    pairs = left.join(right, ["basket", "part"]).filter(F.col("item_a") < F.col("item_b"))
+    counted = pairs.groupBy("item_a", "item_b").agg(F.count("*").alias("n_pair"))
+    return counted.filter(F.col("n_pair") >= min_pair)
 
 
 def association_rules(
@@ -99,16 +48,13 @@ def association_rules(
     *,
     scratch: Workspace,
     support_digits: int = 3,
-    wide: int = WIDE_BASKET,
+    part_items: int = PART_ITEMS,
 ) -> DataFrame:
     """Support, confidence in both directions and lift of the pairs above ``min_pair``."""
     baskets = scratch.save(baskets.select("basket", "item").distinct(), "baskets")
     frequency = scratch.save(item_counts(baskets), "items")
-    sizes = baskets.groupBy("basket").agg(F.count("*").alias("n"))
-    total = sizes.agg(
-        F.count("*").alias("baskets"), F.count(F.when(F.col("n") > wide, 1)).alias("wide")
-    ).first()
-    pairs = pair_counts(baskets, frequency, min_pair, wide_baskets=total.wide, wide=wide)
+    total = baskets.agg(F.countDistinct("basket").alias("baskets")).first()
+    pairs = pair_counts(baskets, frequency, min_pair, part_items=part_items)
     joined = (
         pairs.join(frequency.select(F.col("item").alias("item_a"), F.col("n").alias("n_a")), "item_a")
         .join(frequency.select(F.col("item").alias("item_b"), F.col("n").alias("n_b")), "item_b")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from starloom.workspace import Workspace
 
@@ -35,7 +35,9 @@ def rank_rows(
 
     Rows are ordered by ``value`` within ``by``; ``ties`` makes the order total and
     must identify a row within ``by``. ``rank`` and ``running_total`` treat equal
-    values as one step, also where equal values lie in several splits.
+    values as one step, also where equal values lie in several splits. NULL is a group,
+    and a value that comes last in descending order and first in ascending; as in a plain
+    window, it adds nothing to a total.
     """
     ordered = F.desc(value) if descending else F.asc(value)
     sort_key = [F.asc(c) for c in by] + [ordered] + [F.asc(c) for c in ties]
@@ -56,36 +58,43 @@ def rank_rows(
     )
     # Small beside the rows: one per split and group. Written, so that its true size
     # decides whether the join below broadcasts it.
-    offsets = scratch.save(_split_offsets(local, value, by, descending), "offsets")
+    offsets = scratch.save(_split_offsets(local, value, by), "offsets")
     at_edge = (
-        f"CASE {value} WHEN _first THEN _first_{{0}} WHEN _last THEN _last_{{0}} ELSE {{1}} END"
+        f"CASE WHEN {value} <=> _first THEN _first_{{0}} WHEN {value} <=> _last THEN _last_{{0}} ELSE {{1}} END"
     )
-    return local.join(offsets, ["_split", *by]).selectExpr(
+    running = at_edge.format("end_total", "_before_total + coalesce(_total, 0)")
+    # A total over nothing but NULL is NULL.
+    nothing = f"{value} IS NULL AND {'group_total IS NULL' if descending else 'true'}"
+    placed = offsets.select("_split", *[F.col(c).alias(f"_of_{c}") for c in by], *offsets.columns[1 + len(by):])
+    same = F.lit(True)
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    joined = local.withColumnRenamed("_split", "_own").join(placed, (F.col("_own") == F.col("_split")) & same)
+    return joined.selectExpr(
         *df.columns,
         "_before_n + _row AS row_number",
         at_edge.format("start", "_before_n + _rank - 1") + " + 1 AS rank",
-        at_edge.format("end_total", "_before_total + _total") + " AS running_total",
+        f"CASE WHEN {nothing} THEN NULL ELSE {running} END AS running_total",
         "group_total",
         "group_rows",
     )
 
 
 def _split_offsets(
-    local: DataFrame, value: str, by: Sequence[str], descending: bool
+    local: DataFrame, value: str, by: Sequence[str]
 ) -> DataFrame:
     """Per split and group: what lies before it, the group's totals, and its edge values.
 
     A value at the edge of a split may continue in the next one, so its start and its
     end are taken over all splits that hold it.
     """
-    first, last = ("max", "min") if descending else ("min", "max")
     sizes = local.groupBy("_split", *by).agg(
         F.expr("count(*) AS n"),
         F.expr(f"sum({value}) AS total"),
-        F.expr(f"{first}({value}) AS first"),
-        F.expr(f"{last}({value}) AS last"),
+        F.expr(f"min_by({value}, _row) AS first"),
+        F.expr(f"max_by({value}, _row) AS last"),
         F.expr("count_if(_rank = 1) AS first_n"),
-        F.expr(f"sum({value}) FILTER (WHERE _rank = 1) AS first_total"),
+        F.expr(f"coalesce(sum({value}) FILTER (WHERE _rank = 1), 0) AS first_total"),
         F.expr("max(_rank) - 1 AS last_offset"),
     )
     group = f"PARTITION BY {', '.join(by)}" if by else ""
@@ -103,7 +112,7 @@ def _split_offsets(
             struct('first' AS side, first AS v, before_n AS at, before_n + first_n AS till,
                    before_total + first_total AS sum_till),
             struct('last' AS side, last AS v, before_n + last_offset AS at, before_n + n AS till,
-                   before_total + total AS sum_till)))""",
+                   before_total + coalesce(total, 0) AS sum_till)))""",
     )
     same = f"({group}{',' if by else 'PARTITION BY'} v)"
     spread = edges.selectExpr(
@@ -124,6 +133,20 @@ def _split_offsets(
     )
 
 
+def _common_decimal(kinds: Sequence[T.DataType]) -> T.DecimalType:
+    """A decimal that holds values of all these types, and sums of many of them."""
+    whole = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+    digits, scale = 18, 0
+    for kind in kinds:
+        if isinstance(kind, T.DecimalType):
+            digits, scale = max(digits, kind.precision - kind.scale), max(scale, kind.scale)
+        elif kind.simpleString() in whole:
+            digits = max(digits, whole[kind.simpleString()])
+        else:
+            raise TypeError(f"measures must be whole numbers or decimals, not {kind.simpleString()}")
+    return T.DecimalType(min(38, digits + scale), scale)
+
+
 def rank_measures(
     df: DataFrame,
     entity: Sequence[str],
@@ -137,11 +160,13 @@ def rank_measures(
 
     ``orders`` maps a prefix to (measure, descending). The measures are stacked, so
     that one range partitioning serves all of them, and folded back to one row per
-    entity. ``keep`` names the columns of ``rank_rows`` to return, as prefix_column;
+    entity. Measures are whole numbers or decimals and share the decimal type that holds
+    them all; doubles are refused, as their sums depend on the order. ``keep`` names the columns of ``rank_rows`` to return, as prefix_column;
     'value' is the measure itself. Further numeric columns in ``carry`` come along.
     """
+    kind = _common_decimal([df.schema[m].dataType for m, _ in orders.values()])
     signed = {
-        name: (F.col(m) if desc else -F.col(m)).cast("decimal(28,2)")
+        name: (F.col(m) if desc else -F.col(m)).cast(kind)
         for name, (m, desc) in orders.items()
     }
     pairs = [F.struct(F.lit(n).alias("name"), v.alias("v")) for n, v in signed.items()]

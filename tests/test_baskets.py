@@ -27,14 +27,23 @@ def brute_force(rows, least):
 
 
 @pytest.mark.parametrize("least", [1, 2, 4])
-@pytest.mark.parametrize("wide", [10, 1000])
-def test_pairs_equal_brute_force(spark, least, wide):
+@pytest.mark.parametrize("part_items", [10, 1000])
+def test_pairs_equal_brute_force(spark, least, part_items):
     rows = baskets_with_huge_ones()
     df = spark.createDataFrame(rows, SCHEMA)
-    got = pair_counts(df, item_counts(df), least, wide_baskets=3, wide=wide).collect()
+    got = pair_counts(df, item_counts(df), least, part_items=part_items).collect()
     assert {(r.item_a, r.item_b): r.n_pair for r in got} == brute_force(rows, least)
 
 
+def test_text_ids_and_a_basket_of_5000_items(spark, scratch):
+    rows = [("huge", f"i{k:04}") for k in range(5000)]
+    rows += [(f"b{b}", f"i{(b * k) % 5003:04}") for b in range(40) for k in (1, 7, 30)]
+    rows = sorted(set(rows))
+    df = spark.createDataFrame(rows, "basket string, item string")
+    rules = association_rules(df, 2, scratch=scratch).collect()
+    assert {(r.item_a, r.item_b): r.pair_baskets for r in rules} == brute_force(rows, 2)
+
+
 def test_rule_measures(spark, scratch):
     df = spark.createDataFrame([(1, 10), (1, 20), (2, 10), (3, 20), (4, 30), (1, 10)], SCHEMA)
     rule = association_rules(df, 1, scratch=scratch).first()

@@ -47,6 +47,31 @@ def test_rank_rows_equals_plain_window(spark, scratch, by, descending):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.parametrize("by", [(), ("g",)])
+@pytest.mark.parametrize("descending", [True, False])
+def test_null_groups_and_null_values(spark, scratch, by, descending):
+    df = spark.range(400).select(
+        F.col("id"),
+        F.when(F.col("id") % 4 < 3, F.col("id") % 4).alias("g"),
+        F.when((F.col("id") % 2 == 0) & (F.col("id") % 4 != 2), (F.col("id") * 31) % 17).alias("v"),
+    )
+    got = rank_rows(df, "v", by=by, ties=["id"], descending=descending, scratch=scratch)
+    key = lambda r: r[0]
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(
+        map(tuple, plain(df, "v", by, ["id"], descending).collect()), key=key
+    )
+
+
+def test_measures_finer_than_cents_keep_their_order(spark, scratch):
+    df = spark.createDataFrame([(1, Decimal("1.001"), 5), (2, Decimal("1.004"), 2**40)], "id long, a decimal(9,3), b long")
+    got = rank_measures(df, ["id"], {"a": ("a", True), "b": ("b", False)}, scratch=scratch, keep=["rank", "value"])
+    assert sorted(map(tuple, got.select("id", "a_rank", "a_value", "b_rank", "b_value").collect())) == [
+        (1, 2, Decimal("1.001"), 1, 5), (2, 1, Decimal("1.004"), 2, 2**40)
+    ]
+    with pytest.raises(TypeError):
+        rank_measures(df.withColumn("a", F.col("a").cast("double")), ["id"], {"a": ("a", True)}, scratch=scratch, keep=["rank"])
+
+
 def test_one_value_everywhere(spark, scratch):
     df = spark.range(200).withColumn("v", F.lit(Decimal("1.50")))
     got = rank_rows(df, "v", ties=["id"], scratch=scratch)
