@@ -209,12 +209,14 @@ SQL["top_brands_per_category"] = f"""
 
 SQL["rank_movement"] = f"""
     with t as (select month_start as m, product_id, name, sum(net) as r from sale group by all),
-    k as (select m, product_id, name, rank() over (partition by m order by r desc) as pos from t)
-    select {day('now.m')} as month_start, now.product_id, now.name, now.pos as rank_this_month,
-           old.pos as rank_last_month,
-           coalesce((old.pos - now.pos)::varchar, 'New / Re-entered') as rank_improvement
-    from k now left join k old on old.product_id = now.product_id
-         and date_diff('month', old.m, now.m) = 1"""
+    k as (select m, product_id, name, rank() over (partition by m order by r desc) as pos from t),
+    p as (select *, lag(m) over w as old_m, lag(pos) over w as old_pos
+          from k window w as (partition by product_id order by m)),
+    q as (select *, case when date_diff('month', old_m, m) = 1 then old_pos end as old from p)
+    select {day('m')} as month_start, product_id, name, pos as rank_this_month,
+           old as rank_last_month,
+           coalesce((old - pos)::varchar, 'New / Re-entered') as rank_improvement
+    from q"""
 
 SQL["sales_gaps"] = f"""
     with d as (select distinct product_id, name, category_name, full_date from sale),

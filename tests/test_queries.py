@@ -4,13 +4,14 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import differences, duck
-from starloom.plans import customers, trends
+from starloom.plans import catalog, customers, trends
 from starloom.plans.star import StoredStar
 from starloom.plans.warehouse import open_warehouse
 from starloom.sources.snapshot import SnapshotStore
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = {name: query for name, query in entry.queries().items() if name in catalog.QUERIES}
+ORACLE = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
