@@ -21,7 +21,7 @@ keys with equal texts are cut alike; a null key is a key. Texts are cut whole, w
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from pathlib import Path
 
@@ -40,8 +40,11 @@ _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIER = np.uint64(0x9FB21C651E98DF25)
 #: Stands for a space-mark character of the text itself, which is no space. No UTF-8 text holds it.
 _TRUE_MARK = "\udfff"
-#: Text that one step filters and draws, about; its lattice takes some fifty times as much.
-LATTICE_BYTES = 3_000_000
+#: Text whose units are told apart together, and characters of distinct units that are filtered together, about.
+#: A lattice takes some 200 bytes for each of its characters.
+CUT_BYTES, LATTICE_CHARS = 3_000_000, 400_000
+#: Ids that one step decodes, about.
+DECODE_IDS = 500_000
 
 
 class Pieces:
@@ -156,22 +159,21 @@ class Lattice:
             for t in range(1, self.deepest + 1):
                 n, most = int(self.n[t]), min(t, p.longest)
                 h = np.zeros(n, np.uint64)
-                found = np.empty((n, most), np.int32)
-                ways = np.empty((n, most))
+                found = np.empty((most, n), np.int32)
                 for l in range(1, most + 1):
                     # The piece's first character is multiplied most.
                     back = self.first[t - l + 1]
-                    h = h + (self.codes[back : back + n] + np.uint64(1)) * powers[l]
-                    found[:, l - 1] = p.find(h)
-                    ways[:, l - 1] = alpha[self.first[t - l] : self.first[t - l] + n]
+                    h += (self.codes[back : back + n] + np.uint64(1)) * powers[l]
+                    found[l - 1] = p.find(h)
                 # A character without a piece of its own is spelt in bytes.
                 fits = found >= 0
-                spelt = ~fits[:, 0]
-                fits[:, 0] = True
-                row, back = np.nonzero(fits)
-                piece = found[row, back]
-                log_p = np.where(piece >= 0, p.log_p[piece], 0.0) + ways[row, back]
-                starts = np.flatnonzero(np.diff(row, prepend=-1))
+                spelt = ~fits[0]
+                fits[0] = True
+                row, back = np.nonzero(np.ascontiguousarray(fits.T))
+                piece = found[back, row]
+                log_p = np.where(piece >= 0, p.log_p[piece], 0.0) + alpha[self.first[t - 1 - back] + row]
+                starts = np.flatnonzero(row[1:] != row[:-1]) + 1
+                starts = np.concatenate((np.zeros(1, np.int64), starts))
                 code = self.codes[self.first[t] : self.first[t] + n][spelt]
                 log_p[starts[spelt]] += utf8_length(code) * p.byte_log_p
                 count = np.diff(starts, append=len(row))
@@ -195,73 +197,90 @@ class Lattice:
         # Place number plus probability so far: one ascending array to look draws up in.
         self.edge_at = row + np.minimum(so_far, 1.0) * (1 - 1e-9)
 
-    def draw(self, unit: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Backward sampling for all occurrences of units together: piece ids, and each occurrence's number of ids."""
-        # In order of units, so that neighbouring draws look at neighbouring places.
-        order = np.argsort(unit, kind="stable")
-        rank, depth, seed = self.rank[unit[order]], self.sizes[unit[order]], seed[order]
-        who = order
-        drawn = []
-        with np.errstate(over="ignore"):
-            while len(who):
-                u = (mix64(seed + np.uint64(len(drawn)) * _GOLDEN) >> np.uint64(11)).astype(float) / (1 << 53)
-                place = self.first[depth] + rank
-                edge = np.searchsorted(self.edge_at, place + u * (1 - 2e-9), side="left")
-                edge = np.clip(edge, self.edge_first[place], self.edge_last[place])
-                drawn.append((who, edge, place))
-                depth = depth - self.length[edge]
-                on = depth > 0
-                who, depth, rank, seed = who[on], depth[on], rank[on], seed[on]
-        return self._ids(len(unit), drawn)
-
-    def _ids(self, n: int, drawn: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        """The pieces, which were drawn from the end, in order; spelt characters as their bytes."""
-        count = np.zeros(n, np.int64)
-        for owner, _, _ in drawn:
-            count[owner] += 1
-        last = np.cumsum(count) - 1
-        ids, places = np.empty((2, int(count.sum())), np.int64)
-        for step, (owner, edge, place) in enumerate(drawn):
-            at = last[owner] - step
-            ids[at] = self.id[edge]
-            places[at] = place
-        spelt = np.flatnonzero(ids < 0)
-        if not len(spelt):
-            return ids, count
-        codes = self.codes[places[spelt]]
-        times = np.ones(len(ids), np.int64)
-        times[spelt] = utf8_length(codes)
-        out = np.repeat(ids, times)
-        text = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").replace(_TRUE_MARK, MARK)
-        out[out < 0] = self.pieces.byte_ids[np.frombuffer(text.encode(), np.uint8)]
-        owner = np.repeat(np.arange(n), count)
-        return out, np.bincount(owner, weights=times, minlength=n).astype(np.int64)
+    def draw(self, unit: np.ndarray, seed: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Backward sampling for all occurrences of units together.
+
+        Yields for one step after the other, from the ends of the units, which occurrences still draw, and their
+        pieces: an id, or minus one more than a character that is spelt in bytes.
+        """
+        # In order of places, so that neighbouring draws look at neighbouring numbers.
+        rank = self.rank[unit]
+        who = np.argsort(rank, kind="stable")
+        rank, depth, seed, step = rank[who], self.sizes[unit[who]], seed[who], 0
+        while len(who):
+            salt = np.uint64(step * int(_GOLDEN) % 2**64)
+            u = (mix64(seed + salt) >> np.uint64(11)).astype(float) / (1 << 53)
+            place = self.first[depth] + rank
+            edge = np.searchsorted(self.edge_at, place + u * (1 - 2e-9), side="left")
+            edge = np.clip(edge, self.edge_first[place], self.edge_last[place])
+            piece = self.id[edge].astype(np.int64)
+            spelt = np.flatnonzero(piece < 0)
+            piece[spelt] = -1 - self.codes[place[spelt]].astype(np.int64)
+            yield who, piece
+            depth = depth - self.length[edge]
+            on = depth > 0
+            who, depth, rank, seed, step = who[on], depth[on], rank[on], seed[on], step + 1
+
+
+def _in_order(pieces: Pieces, n: int, drawn: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of n occurrences, whose pieces were drawn from the end, and each one's number of ids."""
+    count = np.zeros(n, np.int64)
+    for _, who, _ in drawn:
+        count[who] += 1
+    last = np.cumsum(count) - 1
+    ids = np.empty(int(count.sum()), np.int64)
+    for step, who, piece in drawn:
+        ids[last[who] - step] = piece
+    spelt = np.flatnonzero(ids < 0)
+    if not len(spelt):
+        return ids, count
+    codes = (-1 - ids[spelt]).astype(np.uint64)
+    times = np.ones(len(ids), np.int64)
+    times[spelt] = utf8_length(codes)
+    out = np.repeat(ids, times)
+    text = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").replace(_TRUE_MARK, MARK)
+    out[out < 0] = pieces.byte_ids[np.frombuffer(text.encode(), np.uint8)]
+    return out, np.bincount(np.repeat(np.arange(n), count), weights=times, minlength=n).astype(np.int64)
 
 
 def utf8_length(codes: np.ndarray) -> np.ndarray:
     return 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
 
 
+class _Numbers(dict):
+    """Units in order of their first appearance, with their numbers."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        return number
+
+
 def cut(pieces: Pieces, texts: list[bytes], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all texts, and where each text's begin (one more than texts)."""
-    units: list[str] = []
+    numbered, found = _Numbers(), []
     counts = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         if text:
             marked = (" " + text.decode().replace(MARK, _TRUE_MARK)).replace(" ", MARK)
-            found = _UNIT.findall(marked)
-            counts[i] = len(found)
-            units += found
-    if not units:
+            found.append(np.array(list(map(numbered.__getitem__, _UNIT.findall(marked))), np.int32))
+            counts[i] = len(found[-1])
+    if not found:
         return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
-    distinct = dict.fromkeys(units)
-    number = dict(zip(distinct, range(len(distinct))))
-    numbers = np.fromiter(map(number.__getitem__, units), np.int64, len(units))
-    first = np.repeat(np.cumsum(counts) - counts, counts)
-    place = np.arange(len(units)) - first
+    numbers = np.concatenate(found)
+    place = np.arange(len(numbers)) - np.repeat(np.cumsum(counts) - counts, counts)
     with np.errstate(over="ignore"):
         seed = mix64(np.repeat(mix64(seeds.view(np.uint64)), counts) + (place + 1).astype(np.uint64) * _GOLDEN)
-    ids, sizes = Lattice(pieces, list(distinct)).draw(numbers, seed)
+    by_unit = np.argsort(numbers, kind="stable")
+    names, drawn = list(numbered), []
+    ends = np.cumsum([len(u) for u in names])
+    low = 0
+    while low < len(names):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + LATTICE_CHARS, side="right")))
+        some = by_unit[slice(*np.searchsorted(numbers[by_unit], (low, high)))]
+        lattice = Lattice(pieces, names[low:high])
+        drawn += [(step, some[who], piece) for step, (who, piece) in enumerate(lattice.draw(numbers[some] - low, seed[some]))]
+        low = high
+    ids, sizes = _in_order(pieces, len(numbers), drawn)
     of_text = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
     return ids, of_text
 
@@ -294,24 +313,26 @@ def encode(
     key_col: str = "doc_id",
     text_col: str = "text",
     sharpness: float = SHARPNESS,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """row (all columns as they are) and pieces, the ids of a sampled segmentation."""
+    """row (all columns as they are, or those named) and pieces, the ids of a sampled segmentation."""
     # The vocabulary file has a fixed size of half a megabyte; executors need not see its path.
     shared = docs.sparkSession.sparkContext.broadcast(Path(model).read_bytes())
+    kept = docs if keep is None else docs.select(*keep)
+    rows = docs.select(as_row(kept, "row"), F.col(text_col).alias("text"), F.xxhash64(key_col).alias("seed"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _vocabulary(shared.value, sharpness)
         for batch in batches:
             texts = batch.column("text")
             seeds = batch.column("seed").to_numpy(zero_copy_only=False)
-            for first, part in in_steps(texts, LATTICE_BYTES):
+            for first, part in in_steps(texts, CUT_BYTES):
                 n = len(part)
                 ids, at = cut(pieces, part, seeds[first : first + n])
                 nulls = texts.slice(first, n).is_null().to_numpy(zero_copy_only=False)
-                rows = [batch.column("row").slice(first, n), _list_array(ids, at, nulls)]
-                yield pa.RecordBatch.from_arrays(rows, ["row", "pieces"])
+                columns = [batch.column("row").slice(first, n), _list_array(ids, at, nulls)]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "pieces"])
 
-    rows = docs.select(as_row(docs, "row"), F.col(text_col).alias("text"), F.xxhash64(key_col).alias("seed"))
     schema = T.StructType([rows.schema["row"], T.StructField("pieces", T.ArrayType(T.IntegerType()))])
     return rows.mapInArrow(run, schema)
 
@@ -324,10 +345,18 @@ def decode(rows: DataFrame, model: str = MODEL, *, pieces_col: str = "pieces") -
         pieces = _vocabulary(shared.value, SHARPNESS)
         for batch in batches:
             lists = batch.column(pieces_col)
-            at = np.concatenate(([0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
-            texts = joined(pieces, lists.flatten().to_numpy(zero_copy_only=False), at.astype(np.int64))
-            nulls = lists.is_null().to_numpy(zero_copy_only=False)
-            texts = [None if null else t for t, null in zip(texts, nulls)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            first = 0
+            while first < len(lists):
+                before = ends[first - 1] if first else 0
+                end = max(first + 1, int(np.searchsorted(ends, before + DECODE_IDS, side="right")))
+                part = lists.slice(first, end - first)
+                at = np.concatenate((np.zeros(1, np.int64), ends[first:end] - before))
+                texts = joined(pieces, part.flatten().to_numpy(zero_copy_only=False), at)
+                nulls = part.is_null().to_numpy(zero_copy_only=False)
+                decoded = pa.array([None if null else t for t, null in zip(texts, nulls)], pa.string())
+                columns = [*batch.slice(first, end - first).columns, decoded]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "decoded"])
+                first = end
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))
