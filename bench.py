@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -58,12 +59,14 @@ HEADLINES = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    shared = tempfile.mkdtemp(prefix="bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", f"file://{shared}")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -95,6 +98,7 @@ def main() -> None:
             }
         )
     )
+    warehouse.scratch.close()
     spark.stop()
 
 

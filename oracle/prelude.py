@@ -120,7 +120,9 @@ TABLES["wh_date"] = """
                 when strftime(d, '%m%d') between '0117' and '0416' then 3
                 when strftime(d, '%m%d') between '0417' and '0716' then 4 else 2 end
                as fiscal_quarter
-    from (select unnest(range(date '1995-01-01', date '2002-01-01', interval 1 day))::date as d)"""
+    from (select unnest(range(date_trunc('year', min(o_orderdate::date)),
+                              date_trunc('year', max(o_orderdate::date)) + interval 1 year,
+                              interval 1 day))::date as d from orders)"""
 
 TABLES["wh_store"] = """
     select row_number() over (order by store_id) as store_key, store_id, name, city, phone,

@@ -65,6 +65,8 @@ _CUSTOMER = f"""
 SQL["scd2_history"] = _CUSTOMER
 SQL["scd2_current"] = _CUSTOMER + " where valid_to is null"
 
+SQL["scd2_probe"] = _CUSTOMER + " where customer_id in (10, 25, 50, 77)"
+
 SQL["scd2_idempotent"] = """
     select 1::bigint as load, 0::bigint as closed, (select count(*) from customer) as inserted
     union all select 2, (select count(*) from moved_ids), (select count(*) from moved_ids)
@@ -80,6 +82,36 @@ SQL["fact_sales"] = f"""
     select sales_key, date_key, customer_key, product_key, store_key, employee_key, order_id,
            order_status, channel, quantity, {_FACT_MONEY} from wh_fact"""
 
+SQL["star_from_csv"] = f"""
+    with single as (select customer_id, row_number() over (order by customer_id) as one_key from src_customers)
+    select f.sales_key, f.date_key, single.one_key as customer_key, f.product_key, f.store_key, f.employee_key,
+           f.order_id, f.order_status, f.channel, f.quantity, {_FACT_MONEY}
+    from wh_fact f join wh_customer c using (customer_key) join single on single.customer_id = c.customer_id"""
+
+_LOADED = [
+    ("dim_store", "wh_store"), ("dim_employee", "src_employees"), ("dim_product", "wh_product"),
+    ("dim_customer", "src_customers"), ("fact_sales", "wh_fact"),
+]
+_MOVED, _REKEYED = (
+    "(select count(*) from moved_ids)",
+    "(select count(*) from wh_fact where customer_key > (select count(*) from src_customers))",
+)
+SQL["warehouse_reload"] = "\nunion all ".join(
+    f"select {n}::bigint as load, '{t}' as table_name, "
+    + (
+        f"(select count(*) from {source})"
+        if n == 1
+        else _MOVED if (n, t) == (2, "dim_customer") else "0::bigint"
+    )
+    + " as inserted, "
+    + (_REKEYED if (n, t) == (2, "fact_sales") else "0::bigint")
+    + " as updated, "
+    + (_MOVED if (n, t) == (2, "dim_customer") else "0::bigint")
+    + " as closed, 0::bigint as gone"
+    for n in (1, 2, 3)
+    for t, source in _LOADED
+)
+
 SQL["fact_upsert"] = f"""
     select sales_key, date_key, customer_key, product_key, store_key, employee_key, order_id,
            if(order_status = 'pending' and date_key >= 20001201, 'completed', order_status)
@@ -622,16 +654,16 @@ SQL["business_rules"] = """
     union all select 'order before the customer signed up', count_if(order_date < signup_date) from t"""
 
 SQL["distribution_sanity"] = f"""
-    with s as (select count_if(strftime(order_date, '%Y-%m') = '2000-10') as o,
-                      count_if(strftime(order_date, '%Y-%m') = '2000-11') as n from src_orders),
+    with s as (select year(order_date) as y, count_if(month(order_date) = 10) as o,
+                      count_if(month(order_date) = 11) as n from src_orders group by all),
     p as (select v, row_number() over (order by v desc, product_key) as pos, count(*) over () as c
           from (select product_key, sum(net_amount)::bigint as v from wh_fact group by all)),
     k as (select sum(v) filter (5 * pos <= c)::bigint as top, sum(v)::bigint as whole from p),
     b as (select customer_id, count(*) as n from src_orders group by all),
     h as (select sum(n)::bigint as total, count(*) as buyers, median(n) as med, max(n) as most from b)
-    select 'orders in October' as metric, o::double as value from s
-    union all select 'orders in November', n::double from s
-    union all select 'November lift', {ratio('n', 'o', 2)} from s
+    select 'orders in October ' || y as metric, o::double as value from s
+    union all select 'orders in November ' || y, n::double from s
+    union all select 'November lift ' || y, {ratio('n', 'o', 2)} from s
     union all select 'revenue share of the top fifth of products', {pct('top', 'whole')} from k
     union all select 'orders per buyer, mean', {ratio('total', 'buyers', 2)} from h
     union all select 'orders per buyer, median', med::double from h

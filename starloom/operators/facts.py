@@ -65,8 +65,9 @@ def build_fact_sales(
     gross = F.col("quantity") * F.col("unit_price")
     cost = F.col("quantity") * F.col("cost")
     keyed = resolve_order_keys(orders, customer, store, employee)
-    lines = items.join(product.select("product_id", "product_key", "cost"), "product_id")
-    df = lines.join(keyed, "order_id").select(
+    # Orders first: an upsert names few of them, and then few lines meet the products.
+    lines = items.join(keyed, "order_id")
+    df = lines.join(product.select("product_id", "product_key", "cost"), "product_id").select(
         F.col("order_item_id").alias("sales_key"),
         "date_key",
         "customer_key",
@@ -99,12 +100,25 @@ def by_month(fact: DataFrame) -> DataFrame:
     return with_month(fact).hint("rebalance", MONTH)
 
 
+def refuse_repeats(incoming: DataFrame) -> None:
+    """An upsert that names one (order_id, product_key) twice has no one result."""
+    twice = incoming.groupBy(*GRAIN).count().filter("count > 1").limit(3).collect()
+    if twice:
+        named = ", ".join(f"order {r.order_id} product {r.product_key}" for r in twice)
+        raise ValueError(f"rows to merge repeat their grain: {named}")
+
+
 def touched_months(current: DataFrame, incoming: DataFrame) -> list[int]:
     """Months that an upsert changes: those of the new rows and of the rows they replace.
 
-    The list is bounded by the calendar.
+    The list is bounded by the calendar. Of the present fact only three columns are read, and
+    of these only the files whose statistics reach into the range of the new order ids.
     """
-    replaced = current.join(incoming.select(*GRAIN), list(GRAIN), "left_semi").select(MONTH)
+    bounds = incoming.agg(F.min("order_id").alias("low"), F.max("order_id").alias("high")).first()
+    if bounds.low is None:
+        return []
+    near = current.filter(F.col("order_id").between(bounds.low, bounds.high))
+    replaced = near.join(incoming.select(*GRAIN), list(GRAIN), "left_semi").select(MONTH)
     months = replaced.unionByName(incoming.select(MONTH)).distinct()
     return sorted(r[0] for r in months.collect())
 
@@ -125,5 +139,6 @@ def merge_months(affected: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def upsert_fact(current: DataFrame, incoming: DataFrame) -> tuple[DataFrame, list[int]]:
     """The new content of the touched months, and the list of these months."""
+    refuse_repeats(incoming)
     months = touched_months(current, incoming)
     return merge_months(current.filter(F.col(MONTH).isin(*months)), incoming), months

@@ -27,20 +27,17 @@ from starloom.workspace import Workspace
 class WarehouseDates:
     """Dates that replace today's date, so that a build can be repeated."""
 
-    calendar_start: date = date(1995, 1, 1)
-    calendar_end: date = date(2001, 12, 31)
     relocation: date = date(1998, 7, 1)
     as_of: date = date(2001, 8, 2)
 
 
 MOVE_EVERY, MAIL_EVERY = 10, 25
-NATIONS = 25
 
 
 class built_once:
-    """A table attribute that is built on first use, by one thread only."""
+    """An attribute, mostly a table, that is built on first use, by one thread only."""
 
-    def __init__(self, make: Callable[[Warehouse], DataFrame]):
+    def __init__(self, make: Callable[[Warehouse], object]):
         self.make = make
         self.name = make.__name__
         self.__doc__ = make.__doc__
@@ -131,17 +128,17 @@ class Warehouse:
         home = self.raw("nation").join(
             self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")
         )
-        after = home.select(
-            F.col("n_nationkey").alias("key"),
-            F.col("n_name").alias("next_city"),
-            F.col("r_name").alias("next_state"),
-        )
-        step = home.select(
-            F.col("n_name").alias("city"), ((F.col("n_nationkey") + 1) % NATIONS).alias("key")
+        # The next nation by key, the first after the last; one row per nation.
+        step = home.selectExpr(
+            "n_name AS city",
+            "coalesce(lead(n_name) OVER (ORDER BY n_nationkey), "
+            "first(n_name) OVER (ORDER BY n_nationkey)) AS next_city",
+            "coalesce(lead(r_name) OVER (ORDER BY n_nationkey), "
+            "first(r_name) OVER (ORDER BY n_nationkey)) AS next_state",
         )
         return history.relocate_customers(
             self.customers_at_signup,
-            step.join(after, "key").drop("key"),
+            step,
             move_every=MOVE_EVERY,
             mail_every=MAIL_EVERY,
             before=self.dates.relocation,
@@ -158,12 +155,18 @@ class Warehouse:
 
     # Star tables
 
+    @built_once
+    def calendar(self) -> tuple[date, date]:
+        """The whole years from the first to the last order, so that no order is off the calendar."""
+        day = F.col("o_orderdate").cast("date")
+        first, last = self.raw("orders").agg(F.min(day), F.max(day)).first()
+        if first is None:
+            raise ValueError("there are no orders to take a calendar from")
+        return date(first.year, 1, 1), date(last.year, 12, 31)
+
     @built_once
     def dim_date(self) -> DataFrame:
-        return self.scratch.save(
-            dims.build_dim_date(self.spark, self.dates.calendar_start, self.dates.calendar_end),
-            "dim_date",
-        )
+        return self.scratch.save(dims.build_dim_date(self.spark, *self.calendar), "dim_date")
 
     def _first_load(self, table: str, incoming: DataFrame, natural: str, key: str) -> DataFrame:
         merged = dims.upsert_type1(
@@ -257,6 +260,30 @@ class Warehouse:
         store.publish({t: store.stage(t, df) for t, df in self.star().items()}, replace=True)
 
 
+class StoredSourceWarehouse(Warehouse):
+    """The sources as they lie in a store of nine tables, for ``reload.refresh``."""
+
+    def __init__(
+        self,
+        store: SnapshotStore,
+        dates: WarehouseDates | None = None,
+        scratch: Workspace | None = None,
+    ):
+        super().__init__(store.spark, store.root, dates, scratch)
+        # What is here already is not built.
+        self.__dict__.update({t: store.read(t) for t in LOAD_ORDER})
+
+    def source(self) -> dict[str, DataFrame]:
+        return {t: self.__dict__[t] for t in LOAD_ORDER}
+
+    @built_once
+    def calendar(self) -> tuple[date, date]:
+        first, last = self.orders.agg(F.min("order_date"), F.max("order_date")).first()
+        if first is None:
+            raise ValueError("there are no orders to take a calendar from")
+        return date(first.year, 1, 1), date(last.year, 12, 31)
+
+
 _open: dict[tuple[str, str], Warehouse] = {}
 
 

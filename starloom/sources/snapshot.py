@@ -1,8 +1,9 @@
 """Parquet tables that are published together.
 
-New data goes to new folders. One small append to the publication log, which Spark
-commits atomically, makes all of it visible at once, so a load that fails half way
-changes nothing for readers.
+New data goes to new folders. The publication log has a folder for each version, written
+once and never changed; it makes all of a load visible at once, so a load that fails half way
+changes nothing for readers. Of two writers that start from the same version, the second
+finds the folder of the next one in place and fails.
 """
 
 from __future__ import annotations
@@ -15,14 +16,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starloom.operators import facts
 from starloom.sources.contracts import SOURCE_TABLES, WAREHOUSE_TABLES
 
-LOG_SCHEMA = "version bigint, table string, paths array<string>"
+LOG_SCHEMA = "table string, paths array<string>, version bigint"
 MONTHLY = {"fact_sales"}
 
 
-def _month(path: str) -> int:
+def month_of(path: str) -> int:
+    """The month of a folder of the fact."""
     return int(path.rsplit("=", 1)[1])
 
 
+class PublishConflict(RuntimeError):
+    """Another load was published since this one read the store."""
+
+
 class SnapshotStore:
     """A set of named tables below one folder, read at their last published version."""
 
@@ -31,14 +37,14 @@ class SnapshotStore:
         self.root = root.rstrip("/")
         self.contracts = {**SOURCE_TABLES, **WAREHOUSE_TABLES}
 
-    def _log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_published")
-        except AnalysisException:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-
     def _latest(self) -> tuple[int, dict[str, list[str]]]:
-        log = self._log()
+        """The last version and its tables; only a log that does not exist is an empty one."""
+        try:
+            log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_published")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0, {}
         version = log.agg(F.max("version")).first()[0] or 0
         rows = log.filter(F.col("version") == version).collect()  # one row per table
         return version, {r["table"]: r["paths"] for r in rows if r["table"]}
@@ -46,10 +52,13 @@ class SnapshotStore:
     def tables(self) -> list[str]:
         return sorted(self._latest()[1])
 
+    def folders(self, table: str) -> list[str]:
+        return self._latest()[1].get(table, [])
+
     def read(self, table: str) -> DataFrame:
-        return self._scan(table, self._latest()[1].get(table, []))
+        return self.scan(table, self.folders(table))
 
-    def _scan(self, table: str, paths: list[str]) -> DataFrame:
+    def scan(self, table: str, paths: list[str]) -> DataFrame:
         schema = self.contracts[table].schema
         if not paths:
             return self.spark.createDataFrame([], schema)
@@ -73,21 +82,22 @@ class SnapshotStore:
             paths[table] = [*([] if replace else paths.get(table, [])), *added]
         self._append(version + 1, paths)
 
-    def read_months(self, table: str, months: list[int]) -> DataFrame:
-        """The rows of some months; no other folder is listed or opened."""
-        chosen = [p for p in self._latest()[1].get(table, []) if _month(p) in months]
-        return self._scan(table, chosen)
-
     def upsert_fact(self, incoming: DataFrame) -> list[int]:
-        """Merge rows into the fact, rewrite the months they touch, and list these."""
+        """Merge rows into the fact, rewrite the months they touch, and list these.
+
+        The log is read once: if another load is published meanwhile, this one fails.
+        """
         table = "fact_sales"
-        current = facts.with_month(self.read(table))
+        version, paths = self._latest()
+        folders = paths.get(table, [])
         incoming = facts.with_month(incoming)
-        months = facts.touched_months(current, incoming)
-        affected = facts.with_month(self.read_months(table, months))
+        facts.refuse_repeats(incoming)
+        months = facts.touched_months(facts.with_month(self.scan(table, folders)), incoming)
+        if not months:
+            return []
+        kept, old = ([p for p in folders if (month_of(p) in months) == hit] for hit in (False, True))
+        affected = facts.with_month(self.scan(table, old))
         added = self.stage(table, facts.merge_months(affected, incoming))
-        version, paths = self._latest()
-        kept = [p for p in paths.get(table, []) if _month(p) not in months]
         self._append(version + 1, {**paths, table: kept + added})
         return months
 
@@ -99,6 +109,11 @@ class SnapshotStore:
         self.publish({table: self.stage(table, df)}, replace=True)
 
     def _append(self, version: int, paths: dict[str, list[str]]) -> None:
-        rows = [(version, t, p) for t, p in paths.items()] or [(version, None, None)]
-        log = self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
-        log.write.mode("append").parquet(f"{self.root}/_published")
+        rows = [(t, p) for t, p in paths.items()] or [(None, None)]
+        log = self.spark.createDataFrame(rows, "table string, paths array<string>").coalesce(1)
+        try:
+            log.write.mode("errorifexists").parquet(f"{self.root}/_published/version={version}")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise PublishConflict(f"version {version} was published by another load") from problem

@@ -45,3 +45,9 @@ class Workspace:
         path = f"{self.root}/{name}-{next(self._numbers)}"
         df.write.partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        """Delete all tables of this run; what reads them must be done by then."""
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -8,13 +8,16 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    # As on a cluster: intermediate tables go to a named folder.
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", f"file://{shared}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -26,4 +29,6 @@ def spark():
 def scratch(spark):
     from starloom.workspace import Workspace
 
-    return Workspace(spark)
+    made = Workspace(spark)
+    yield made
+    made.close()

@@ -107,3 +107,15 @@ def test_store_rewrites_only_touched_months(spark, scratch, star, tmp_path):
     assert set(before) & set(after) == {before[0], before[2]}
     rows = {r.sales_key: r.date_key for r in store.read("fact_sales").collect()}
     assert rows == {11: 20200630, 12: 20200901, 13: 20200901, 14: 20200801}
+
+
+def test_upsert_refuses_rows_that_repeat_their_grain(spark, scratch, star, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    fact = scratch.save(facts.build_fact_sales(*star).drop(facts.MONTH), "fact")
+    store.write_full("fact_sales", fact)
+    with pytest.raises(ValueError, match="repeat their grain"):
+        store.upsert_fact(fact.union(fact))
+    with pytest.raises(ValueError, match="repeat their grain"):
+        facts.upsert_fact(facts.with_month(fact), facts.with_month(fact.union(fact)))
+    assert store.read("fact_sales").count() == fact.count()
+    assert store.upsert_fact(fact.limit(0)) == []

@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 
 from starloom.sources import csv_io
 from starloom.sources.contracts import LOAD_ORDER, SOURCE_TABLES
-from starloom.sources.snapshot import SnapshotStore
+from starloom.sources.snapshot import PublishConflict, SnapshotStore
 
 FILES = {
     "categories": "category_id,name,parent_category_id\n1,Top,\n2,Leaf,1.0\n",
@@ -106,3 +106,19 @@ def test_full_reload_replaces(spark, tmp_path):
     store.write_full("categories", spark.createDataFrame([(1, "a", None), (2, "b", 1)], schema))
     store.write_full("categories", spark.createDataFrame([(3, "c", None)], schema))
     assert [r.category_id for r in store.read("categories").collect()] == [3]
+
+
+def test_second_of_two_writers_fails_and_a_broken_log_is_no_empty_store(spark, tmp_path):
+    root = str(tmp_path / "store")
+    schema = SOURCE_TABLES["categories"].schema
+    rows = [spark.createDataFrame([(n, "x", None)], schema) for n in (1, 2)]
+    store = SnapshotStore(spark, root)
+    version, paths = store._latest()
+    store.write_full("categories", rows[0])
+    with pytest.raises(PublishConflict):
+        store._append(version + 1, {**paths, "categories": store.stage("categories", rows[1])})
+    assert [r.category_id for r in store.read("categories").collect()] == [1]
+    for file in (tmp_path / "store" / "_published").glob("version=*/*.parquet"):
+        file.write_bytes(b"damaged")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        store.tables()

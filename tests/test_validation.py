@@ -18,7 +18,7 @@ def built(spark):
     w = open_warehouse(spark, FOLDER)
     star = {**w.star(), "scratch": w.scratch}
     source = {t: w.scratch.save(df, f"src-{t}") for t, df in w.source().items()}
-    return star, source, (w.dates.calendar_start, w.dates.calendar_end)
+    return star, source, w.calendar
 
 
 def failures(star, source, calendar, check=None):
