@@ -5,12 +5,11 @@ sequence as one shingle, and a text without words has an empty set, which is lik
 when 100 times the size of the intersection is at least ``percent`` times the size of the union.
 
 1. Texts with equal sets are one node, from here on; so groups of copies, however large, do not grow.
-2. Nodes that can link share a block. For sizes a <= b, linked sets differ in at most a * (100 - percent) / percent
-   elements. All elements are split by their hash into more segments than that, so one segment at least is the
-   same in both. Sizes are cut into bands; a node hashes its segments for its own band and for those of smaller
-   partners. Segments that are empty are hashed only where so many are empty that no other might be left, which
-   then holds for both partners. Keys travel packed, some thousand nodes together, and each key that two nodes share names a block; keys with
-   the same nodes are one block.
+2. Nodes that can link share a block. For sizes a <= b, linked sets differ in at most d = a * (100 - percent) / percent
+   elements. All elements are split by their hash into k > d segments, so all but d are the same in both; each set
+   needs to show only its d + 1 best ones, those with most elements. Sizes are cut into bands, and a node hashes its
+   segments for its own band and for those of smaller partners. Keys travel packed, some thousand nodes together;
+   each key that two nodes share names a block, and keys with the same nodes are one block.
 3. Within a block, a signature tree is built over the nodes in order of size: each tree node holds the OR of the
    bitmaps of the sets below it, the range of their sizes, and by how much a set can exceed its bits. The dual
    traversal drops a pair of tree nodes when its largest possible overlap is too small for its smallest sizes,
@@ -90,15 +89,18 @@ def _bands(most: int) -> list[int]:
     return out
 
 
-def _segments(low: int, high: int, percent: int) -> tuple[int, int]:
-    """For the band of smaller sizes low..high: the largest difference, and the number of segments."""
-    differ = high * (100 - percent) // percent
-    spare = 6 + 3 * int(np.ceil(differ * np.exp(-low / differ))) if differ else 1
-    return differ, differ + spare
+def _most_different(n: int, percent: int) -> int:
+    """Elements that only one of two linked sets has, at most, if the smaller one has n."""
+    return n * (100 - percent) // percent
 
 
 def segment_keys(tokens: np.ndarray, percent: int, bands: list[int]) -> np.ndarray:
-    """The keys of a set, for every band in which the smaller of two linked sets may lie."""
+    """The keys of a set, for every band in which the smaller of two linked sets may lie.
+
+    Of k segments, two linked sets have all but d the same, d by the smaller set. In an order that only a
+    segment's content decides, the best of these is behind fewer than d + 1 others in either set: so the d + 1
+    best of each set are enough. Full segments come first, as they say most.
+    """
     n = len(tokens)
     if not n:
         return np.zeros(0, np.uint64)
@@ -108,17 +110,18 @@ def segment_keys(tokens: np.ndarray, percent: int, bands: list[int]) -> np.ndarr
         running = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(tokens))))
     out = []
     for band in range(first, last + 1):
-        differ, k = _segments(bands[band], bands[band + 1] - 1, percent)
+        largest = bands[band + 1] - 1
+        differ = _most_different(largest, percent)
+        k = differ + differ // 4 + 6
         # Ascending like the tokens, so that segments are slices.
         segment = ((tokens >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
         edges = np.searchsorted(segment, np.arange(k + 1, dtype=np.uint64))
-        filled = edges[1:] > edges[:-1]
-        if k - int(filled.sum()) >= k - differ:
-            filled[:] = True
         with np.errstate(over="ignore"):
             sums = running[edges[1:]] - running[edges[:-1]]
             place = (np.uint64(band) << np.uint64(40)) + np.arange(k, dtype=np.uint64)
-            out.append(mix64(sums + mix64(place + _ONE))[filled])
+            keys = mix64(sums + mix64(place + _ONE))
+        best = np.lexsort((keys, edges[:-1] - edges[1:]))
+        out.append(keys[best[: _most_different(min(n, largest), percent) + 1]])
     return np.concatenate(out)
 
 

@@ -66,12 +66,17 @@ def test_linked_sets_share_a_key_and_bitmaps_lose_no_link(percent):
     assert links > 500
 
 
-def test_empty_segments_are_keys_where_few_others_are_left():
-    bands = sj._bands(100)
-    same = np.full(4, 7, np.uint64) + np.arange(4, dtype=np.uint64)  # all in one segment
-    band = int(np.searchsorted(bands, 4, side="right")) - 1
-    differ, segments = sj._segments(bands[band], bands[band + 1] - 1, 80)
-    assert len(sj.segment_keys(same, 80, bands)) >= segments > differ
+def test_each_set_shows_no_more_keys_than_it_must():
+    rng = np.random.default_rng(9)
+    bands = sj._bands(2000)
+    for n in (1, 4, 5, 40, 41, 399, 1500):
+        tokens = np.unique(sj.mix64(rng.integers(1, 2**62, n).astype(np.uint64)))
+        for percent in (80, 90):
+            keys = sj.segment_keys(tokens, percent, bands)
+            assert 0 < len(keys) <= 2 * (sj._most_different(n, percent) + 1)
+    # All elements in one segment: empty ones are keys, so that a partner is not lost.
+    same = np.full(40, 7, np.uint64) + np.arange(40, dtype=np.uint64)
+    assert len(set(sj.segment_keys(same, 80, bands)) & set(sj.segment_keys(same[3:], 80, bands))) > 0
 
 
 def test_one_of_each_component_stays(spark, scratch):
