@@ -110,7 +110,8 @@ def op8_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text cut into sampled pieces, and whether decoding them gives it back."""
     docs = table(spark, sf_dir, "documents").withColumn("told", F.sha2("text", 256))
-    coded = piece_sampling.encode(docs, keep=["doc_id", "told"])
+    # Written in between, so that a task never holds workers of both steps.
+    coded = Workspace(spark).save(piece_sampling.encode(docs, keep=["doc_id", "told"]), "coded")
     return piece_sampling.decode(coded).select(
         "row.doc_id",
         "pieces",
