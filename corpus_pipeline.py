@@ -42,7 +42,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     told = docs.withColumn("told", F.sha2("text", 256))
     coded = piece_sampling.encode(told, keep=["doc_id", "lang", "source", "n_chars", "told"])
-    return piece_sampling.decode(coded).select(
+    # Written in between, so that a task never holds workers of both steps.
+    return piece_sampling.decode(Workspace(spark).save(coded, "coded")).select(
         "row.doc_id",
         "row.lang",
         "row.source",
