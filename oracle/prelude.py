@@ -17,7 +17,7 @@ TABLES["src_categories"] = """
                    from (select distinct p_type from part))
     select id as category_id, p_type as name, null::bigint as parent_category_id from kinds
     union all
-    select distinct id * 100 + (p_size - 1) // 10 + 1,
+    select distinct id * 1000000000 + (p_size - 1) // 10 + 1,
            p_type || ' B' || ((p_size - 1) // 10), id
     from part join kinds using (p_type)"""
 

@@ -150,9 +150,10 @@ def flatten_hierarchy(
 ) -> DataFrame:
     """Walk an adjacency list from its roots: name, parent name, path and depth.
 
-    One equi join per level, each level written before the next one. The walk ends at
-    the first empty level. Nodes that no root reaches, such as a cycle or the
-    children of an unknown parent, are not in the result.
+    One equi join per level, written before the next one, of the nodes that no level
+    holds yet: what is placed leaves the join. The walk ends at the first empty level. Nodes
+    that no root reaches, such as a cycle or the children of an unknown parent, are not in
+    the result; ``unreached`` finds them.
     """
     slim = nodes.select(
         F.col(node).alias("id"), F.col(parent).alias("parent"), F.col(name).alias("label")
@@ -164,7 +165,7 @@ def flatten_hierarchy(
         F.col("label").alias("path"),
         F.lit(1).alias("depth"),
     )
-    children = slim.filter("parent IS NOT NULL")
+    rest = slim.filter("parent IS NOT NULL")
     level = scratch.save(roots, "level")
     levels = [level]
     while not level.isEmpty():
@@ -174,16 +175,15 @@ def flatten_hierarchy(
             F.col("path").alias("parent_path"),
             (F.col("depth") + 1).alias("depth"),
         )
-        level = scratch.save(
-            children.join(above, "parent").select(
-                "id",
-                "label",
-                "parent_name",
-                F.concat("parent_path", F.lit(separator), "label").alias("path"),
-                "depth",
-            ),
-            "level",
+        tried = scratch.save(rest.join(above, "parent", "left"), "level")
+        level = tried.filter("depth IS NOT NULL").select(
+            "id",
+            "label",
+            "parent_name",
+            F.concat("parent_path", F.lit(separator), "label").alias("path"),
+            "depth",
         )
+        rest = tried.filter("depth IS NULL").select("id", "parent", "label")
         levels.append(level)
     walked = levels[0]
     for one in levels[1:-1]:
@@ -193,6 +193,11 @@ def flatten_hierarchy(
     )
 
 
+def unreached(nodes: DataFrame, tree: DataFrame, node: str) -> DataFrame:
+    """The nodes that ``flatten_hierarchy`` found no way to."""
+    return nodes.join(tree.select(node), node, "left_anti")
+
+
 def product_attributes(products: DataFrame, tree: DataFrame) -> DataFrame:
     """Products with their category, its parent and its path."""
     category = tree.select(

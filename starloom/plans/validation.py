@@ -357,7 +357,10 @@ def check_fact(star: Star, source: Source) -> DataFrame:
             (F.col("quantity") <= 0) | (F.col("gross_amount") < 0) | (F.col("discount_amount") < 0)
         ).alias("negative"),
     )
-    # All checks that need a dimension or the source share one joined pass.
+    # Keys and states are those of an order, so its lines are one row in these joins.
+    per_order = fact.groupBy(
+        "order_id", "date_key", "customer_key", "store_key", "employee_key", "order_status", "channel"
+    ).agg(F.count("*").alias("n"))
     o = orders.select(
         "order_id",
         "order_date",
@@ -367,44 +370,57 @@ def check_fact(star: Star, source: Source) -> DataFrame:
         F.col("status").alias("o_status"),
         F.col("channel").alias("o_channel"),
     )
-    p = star.dim_product.select("product_key", "product_id", "cost")
-    line = items.select(
-        "order_id", "product_id", F.col("unit_price").alias("line_price"), F.lit(True).alias("has_line")
-    )
     v = star.dim_customer.select(
         "customer_key", F.col("customer_id").alias("v_customer"), "valid_from", "valid_to"
     )
     st = star.dim_store.select("store_key", F.col("store_id").alias("d_store"))
-    e = star.dim_employee.select("employee_key", F.col("employee_id").alias("d_employee"))
-    joined = (
-        fact.join(p, "product_key", "left")
+    # The unknown member is hot and needs no partner: each order with it has a key of its own.
+    key = lambda alone: F.struct("employee_key", alone.alias("alone")).alias("_staff")
+    e = star.dim_employee.select(
+        key(F.lit(None).cast("bigint")), F.col("employee_id").alias("d_employee")
+    )
+    resolved = (
+        per_order.withColumn("_staff", key(F.when(unknown, F.col("order_id"))))
         .join(o, "order_id", "left")
-        .join(line, ["order_id", "product_id"], "left")
         .join(v, "customer_key", "left")
         .join(st, "store_key", "left")
-        .join(e, "employee_key", "left")
+        .join(e, "_staff", "left")
     )
     day = F.col("order_date")
-    crossed = joined.agg(
-        count_where(F.col("gross_amount") != F.col("quantity") * F.col("line_price")).alias("bad_gross"),
-        count_where(F.col("cost_amount") != F.col("quantity") * F.col("cost")).alias("bad_cost"),
-        count_where(F.col("date_key") != date_key(day)).alias("bad_date"),
-        count_where(F.col("d_store") != F.col("o_store")).alias("bad_store"),
-        count_where(F.col("product_id").isNotNull() & F.col("has_line").isNull()).alias("no_line"),
-        count_where(
+    lines_where = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+    of_orders = resolved.agg(
+        lines_where(F.col("date_key") != date_key(day)).alias("bad_date"),
+        lines_where(F.col("d_store") != F.col("o_store")).alias("bad_store"),
+        lines_where(
             (F.col("v_customer") != F.col("o_customer"))
             | (day < F.col("valid_from"))
             | (F.col("valid_to").isNotNull() & (day >= F.col("valid_to")))
         ).alias("bad_version"),
-        count_where(
+        lines_where(
             ~unknown & day.isNotNull() & ~F.col("d_employee").eqNullSafe(F.col("o_employee"))
         ).alias("bad_employee"),
-        count_where(
+        lines_where(
             (F.col("order_status") != F.col("o_status")) | (F.col("channel") != F.col("o_channel"))
         ).alias("bad_status"),
     )
+    # What is left concerns a line and its product.
+    p = star.dim_product.select("product_key", "product_id", "cost")
+    line = items.select(
+        "order_id", "product_id", F.col("unit_price").alias("line_price"), F.lit(True).alias("has_line")
+    )
+    of_lines = (
+        fact.join(p, "product_key", "left")
+        .join(line, ["order_id", "product_id"], "left")
+        .agg(
+            count_where(F.col("gross_amount") != F.col("quantity") * F.col("line_price")).alias(
+                "bad_gross"
+            ),
+            count_where(F.col("cost_amount") != F.col("quantity") * F.col("cost")).alias("bad_cost"),
+            count_where(F.col("product_id").isNotNull() & F.col("has_line").isNull()).alias("no_line"),
+        )
+    )
     by_store, by_month = reconcile_store(star, source), reconcile_month(star, source)
-    probe = _beside(_beside(local, source_side), crossed).select(
+    probe = _beside(_beside(_beside(local, source_side), of_orders), of_lines).select(
         "*",
         _side(duplicate_keys(fact, ["order_id", "product_key"]), F.count("*")).alias("twice"),
         _side(by_store, count_where(F.col("differs"))).alias("store_differs"),

@@ -19,35 +19,35 @@ class ForeignKey:
 
 
 @dataclass(frozen=True)
-class TableContract:
-    """Columns as 'name type', with a '!' after the type for NOT NULL."""
+class Column:
+    name: str
+    type: str
+    required: bool = False
+    length: int | None = None
+
 
+@dataclass(frozen=True)
+class TableContract:
     name: str
-    columns: str
+    columns: tuple[Column, ...]
     key: str
     unique: tuple[tuple[str, ...], ...] = ()
     foreign: tuple[ForeignKey, ...] = ()
     checks: tuple[str, ...] = ()
     defaults: dict[str, object] = field(default_factory=dict)
 
-    def _parsed(self):
-        for item in self.columns.split(";"):
-            name, kind = item.split()
-            yield name, kind.rstrip("!"), kind.endswith("!")
-
     @property
     def required(self) -> list[str]:
-        return [name for name, _, needed in self._parsed() if needed]
+        return [c.name for c in self.columns if c.required]
 
     @property
     def lengths(self) -> dict[str, int]:
-        return {n: int(k[8:-1]) for n, k, _ in self._parsed() if k.startswith("varchar(")}
+        return {c.name: c.length for c in self.columns if c.length is not None}
 
     @property
     def schema(self) -> T.StructType:
         """Spark types; text widths are left to the length check."""
-        text = lambda kind: "string" if kind.startswith(("varchar", "text")) else kind
-        return T.StructType.fromDDL(", ".join(f"{n} {text(k)}" for n, k, _ in self._parsed()))
+        return T.StructType.fromDDL(", ".join(f"{c.name} {c.type}" for c in self.columns))
 
     def fill_defaults(self, df: DataFrame) -> DataFrame:
         """Give columns that are NULL or missing their declared default."""
@@ -69,38 +69,71 @@ SOURCE_TABLES = {
     for t in [
         TableContract(
             "categories",
-            "category_id bigint!;name varchar(100)!;parent_category_id bigint",
+            (
+                Column("category_id", "bigint", required=True),
+                Column("name", "string", required=True, length=100),
+                Column("parent_category_id", "bigint"),
+            ),
             "category_id",
             unique=(("name",),),
             foreign=(ForeignKey("parent_category_id", "categories", "category_id"),),
         ),
         TableContract(
             "stores",
-            "store_id bigint!;name varchar(150)!;phone varchar(20)!;city varchar(100)!;"
-            "opened_date date!;manager varchar(150)!",
+            (
+                Column("store_id", "bigint", required=True),
+                Column("name", "string", required=True, length=150),
+                Column("phone", "string", required=True, length=20),
+                Column("city", "string", required=True, length=100),
+                Column("opened_date", "date", required=True),
+                Column("manager", "string", required=True, length=150),
+            ),
             "store_id",
         ),
         TableContract(
             "customers",
-            "customer_id bigint!;first_name varchar(100)!;last_name varchar(100)!;"
-            "email varchar(150)!;phone varchar(20)!;address varchar(200)!;city varchar(100)!;"
-            "state varchar(50)!;signup_date date!;age int!;sex varchar(10)!",
+            (
+                Column("customer_id", "bigint", required=True),
+                Column("first_name", "string", required=True, length=100),
+                Column("last_name", "string", required=True, length=100),
+                Column("email", "string", required=True, length=150),
+                Column("phone", "string", required=True, length=20),
+                Column("address", "string", required=True, length=200),
+                Column("city", "string", required=True, length=100),
+                Column("state", "string", required=True, length=50),
+                Column("signup_date", "date", required=True),
+                Column("age", "int", required=True),
+                Column("sex", "string", required=True, length=10),
+            ),
             "customer_id",
             unique=(("email",),),
         ),
         TableContract(
             "products",
-            "product_id bigint!;category_id bigint!;name varchar(150)!;brand varchar(100)!;"
-            "unit_price decimal(10,2)!;cost decimal(10,2)!",
+            (
+                Column("product_id", "bigint", required=True),
+                Column("category_id", "bigint", required=True),
+                Column("name", "string", required=True, length=150),
+                Column("brand", "string", required=True, length=100),
+                Column("unit_price", "decimal(10,2)", required=True),
+                Column("cost", "decimal(10,2)", required=True),
+            ),
             "product_id",
             foreign=(ForeignKey("category_id", "categories", "category_id"),),
             checks=("unit_price >= 0", "cost >= 0"),
         ),
         TableContract(
             "employees",
-            "employee_id bigint!;first_name varchar(100)!;last_name varchar(100)!;"
-            "email varchar(150)!;phone varchar(20)!;hire_date date!;manager_id bigint;"
-            "store_id bigint!",
+            (
+                Column("employee_id", "bigint", required=True),
+                Column("first_name", "string", required=True, length=100),
+                Column("last_name", "string", required=True, length=100),
+                Column("email", "string", required=True, length=150),
+                Column("phone", "string", required=True, length=20),
+                Column("hire_date", "date", required=True),
+                Column("manager_id", "bigint"),
+                Column("store_id", "bigint", required=True),
+            ),
             "employee_id",
             unique=(("email",),),
             foreign=(
@@ -110,8 +143,16 @@ SOURCE_TABLES = {
         ),
         TableContract(
             "orders",
-            "order_id bigint!;customer_id bigint!;store_id bigint!;employee_id bigint;"
-            "order_date date!;channel varchar(50)!;status varchar(50)!;total_amount decimal(10,2)!",
+            (
+                Column("order_id", "bigint", required=True),
+                Column("customer_id", "bigint", required=True),
+                Column("store_id", "bigint", required=True),
+                Column("employee_id", "bigint"),
+                Column("order_date", "date", required=True),
+                Column("channel", "string", required=True, length=50),
+                Column("status", "string", required=True, length=50),
+                Column("total_amount", "decimal(10,2)", required=True),
+            ),
             "order_id",
             foreign=(
                 ForeignKey("customer_id", "customers", "customer_id"),
@@ -127,8 +168,14 @@ SOURCE_TABLES = {
         ),
         TableContract(
             "order_items",
-            "order_item_id bigint!;order_id bigint!;product_id bigint!;quantity int!;"
-            "unit_price decimal(10,2)!;discount decimal(10,2)!",
+            (
+                Column("order_item_id", "bigint", required=True),
+                Column("order_id", "bigint", required=True),
+                Column("product_id", "bigint", required=True),
+                Column("quantity", "int", required=True),
+                Column("unit_price", "decimal(10,2)", required=True),
+                Column("discount", "decimal(10,2)", required=True),
+            ),
             "order_item_id",
             unique=(("order_id", "product_id"),),
             foreign=(
@@ -140,8 +187,13 @@ SOURCE_TABLES = {
         ),
         TableContract(
             "inventory",
-            "inventory_id bigint!;store_id bigint!;product_id bigint!;quantity int!;"
-            "last_restock_date date",
+            (
+                Column("inventory_id", "bigint", required=True),
+                Column("store_id", "bigint", required=True),
+                Column("product_id", "bigint", required=True),
+                Column("quantity", "int", required=True),
+                Column("last_restock_date", "date"),
+            ),
             "inventory_id",
             unique=(("store_id", "product_id"),),
             foreign=(
@@ -153,8 +205,13 @@ SOURCE_TABLES = {
         ),
         TableContract(
             "payments",
-            "payment_id bigint!;order_id bigint!;method varchar(20)!;amount decimal(10,2)!;"
-            "paid_at timestamp_ntz!",
+            (
+                Column("payment_id", "bigint", required=True),
+                Column("order_id", "bigint", required=True),
+                Column("method", "string", required=True, length=20),
+                Column("amount", "decimal(10,2)", required=True),
+                Column("paid_at", "timestamp_ntz", required=True),
+            ),
             "payment_id",
             foreign=(ForeignKey("order_id", "orders", "order_id"),),
             checks=("method IN ('cash', 'card', 'wallet', 'bank_transfer')", "amount > 0"),
@@ -167,50 +224,110 @@ WAREHOUSE_TABLES = {
     for t in [
         TableContract(
             "dim_date",
-            "date_key int!;full_date date!;year int!;quarter int!;month int!;day int!;"
-            "month_name text!;day_name text!;day_of_week int!;day_of_year int!;"
-            "week_of_year int!;is_weekend boolean!;is_leap_year boolean!;fiscal_year int!;"
-            "fiscal_quarter int!",
+            (
+                Column("date_key", "int", required=True),
+                Column("full_date", "date", required=True),
+                Column("year", "int", required=True),
+                Column("quarter", "int", required=True),
+                Column("month", "int", required=True),
+                Column("day", "int", required=True),
+                Column("month_name", "string", required=True),
+                Column("day_name", "string", required=True),
+                Column("day_of_week", "int", required=True),
+                Column("day_of_year", "int", required=True),
+                Column("week_of_year", "int", required=True),
+                Column("is_weekend", "boolean", required=True),
+                Column("is_leap_year", "boolean", required=True),
+                Column("fiscal_year", "int", required=True),
+                Column("fiscal_quarter", "int", required=True),
+            ),
             "date_key",
             unique=(("full_date",),),
         ),
         TableContract(
             "dim_store",
-            "store_key bigint!;store_id bigint!;name text!;city text;phone text;manager text;"
-            "opened_date date",
+            (
+                Column("store_key", "bigint", required=True),
+                Column("store_id", "bigint", required=True),
+                Column("name", "string", required=True),
+                Column("city", "string"),
+                Column("phone", "string"),
+                Column("manager", "string"),
+                Column("opened_date", "date"),
+            ),
             "store_key",
             unique=(("store_id",),),
         ),
         TableContract(
             "dim_employee",
-            "employee_key bigint!;employee_id bigint;full_name text!;email text;hire_date date;"
-            "manager_name text;store_name text",
+            (
+                Column("employee_key", "bigint", required=True),
+                Column("employee_id", "bigint"),
+                Column("full_name", "string", required=True),
+                Column("email", "string"),
+                Column("hire_date", "date"),
+                Column("manager_name", "string"),
+                Column("store_name", "string"),
+            ),
             "employee_key",
             unique=(("employee_id",),),
         ),
         TableContract(
             "dim_product",
-            "product_key bigint!;product_id bigint!;name text!;brand text;category_name text;"
-            "parent_category_name text;category_path text;unit_price decimal(10,2);"
-            "cost decimal(10,2)",
+            (
+                Column("product_key", "bigint", required=True),
+                Column("product_id", "bigint", required=True),
+                Column("name", "string", required=True),
+                Column("brand", "string"),
+                Column("category_name", "string"),
+                Column("parent_category_name", "string"),
+                Column("category_path", "string"),
+                Column("unit_price", "decimal(10,2)"),
+                Column("cost", "decimal(10,2)"),
+            ),
             "product_key",
             unique=(("product_id",),),
         ),
         TableContract(
             "dim_customer",
-            "customer_key bigint!;customer_id bigint!;full_name text!;email text;phone text;"
-            "address text;city text;state text;age int;sex text;signup_date date!;"
-            "valid_from date!;valid_to date;is_current boolean!",
+            (
+                Column("customer_key", "bigint", required=True),
+                Column("customer_id", "bigint", required=True),
+                Column("full_name", "string", required=True),
+                Column("email", "string"),
+                Column("phone", "string"),
+                Column("address", "string"),
+                Column("city", "string"),
+                Column("state", "string"),
+                Column("age", "int"),
+                Column("sex", "string"),
+                Column("signup_date", "date", required=True),
+                Column("valid_from", "date", required=True),
+                Column("valid_to", "date"),
+                Column("is_current", "boolean", required=True),
+            ),
             "customer_key",
             defaults={"is_current": True},
         ),
         TableContract(
             "fact_sales",
-            "sales_key bigint!;date_key int!;customer_key bigint!;product_key bigint!;"
-            "store_key bigint!;employee_key bigint!;order_id bigint!;order_status text!;"
-            "channel text!;quantity int!;gross_amount decimal(12,2)!;"
-            "discount_amount decimal(12,2)!;net_amount decimal(12,2)!;"
-            "cost_amount decimal(12,2)!;profit_amount decimal(12,2)!",
+            (
+                Column("sales_key", "bigint", required=True),
+                Column("date_key", "int", required=True),
+                Column("customer_key", "bigint", required=True),
+                Column("product_key", "bigint", required=True),
+                Column("store_key", "bigint", required=True),
+                Column("employee_key", "bigint", required=True),
+                Column("order_id", "bigint", required=True),
+                Column("order_status", "string", required=True),
+                Column("channel", "string", required=True),
+                Column("quantity", "int", required=True),
+                Column("gross_amount", "decimal(12,2)", required=True),
+                Column("discount_amount", "decimal(12,2)", required=True),
+                Column("net_amount", "decimal(12,2)", required=True),
+                Column("cost_amount", "decimal(12,2)", required=True),
+                Column("profit_amount", "decimal(12,2)", required=True),
+            ),
             "sales_key",
             unique=(("order_id", "product_key"),),
             foreign=(

@@ -42,6 +42,10 @@ def _phone(key: Column, width: int) -> Column:
     return F.concat(F.lit("555-"), F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text))
 
 
+# Ids for the leaves of a top level: more than a whole number has size bands.
+LEAF_IDS = 1_000_000_000
+
+
 def _band(size: Column) -> Column:
     return F.floor((size - 1) / 10).cast("int")
 
@@ -56,7 +60,7 @@ def categories(part: DataFrame, scratch: Workspace) -> DataFrame:
         F.lit(None).cast("bigint").alias("parent_category_id"),
     )
     named_leaves = leaves.join(tops, "p_type").select(
-        (F.col("top_id") * 100 + F.col("band") + 1).alias("category_id"),
+        (F.col("top_id") * LEAF_IDS + F.col("band") + 1).alias("category_id"),
         _leaf_name(F.col("p_type"), F.col("band")).alias("name"),
         F.col("top_id").alias("parent_category_id"),
     )

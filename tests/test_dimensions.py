@@ -65,6 +65,15 @@ def test_hierarchy_of_any_depth(spark, scratch):
     ]
 
 
+def test_nodes_of_a_cycle_are_found_as_unreached(spark, scratch):
+    nodes = spark.createDataFrame(
+        [(1, None, "A"), (2, 1, "B"), (3, 4, "C"), (4, 3, "D"), (5, 99, "E")], "id long, parent long, name string"
+    )
+    tree = dims.flatten_hierarchy(nodes, node="id", parent="parent", name="name", scratch=scratch)
+    assert sorted(r.id for r in tree.collect()) == [1, 2]
+    assert sorted(r.id for r in dims.unreached(nodes, tree, "id").collect()) == [3, 4, 5]
+
+
 def test_employee_names_propagate_null(spark):
     employees = spark.createDataFrame(
         [(1, "Ann", "Bo", "a@x", date(2020, 1, 1), None, 7), (2, "Cy", "Di", "c@x", date(2020, 1, 1), 1, 8)],

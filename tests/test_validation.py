@@ -117,3 +117,26 @@ def test_warehouse_satisfies_its_own_contracts(built):
     tables = {t: star[t] for t in WAREHOUSE_TABLES}
     report = constraint_report(tables, WAREHOUSE_TABLES)
     assert report.filter("violations > 0").collect() == []
+
+
+# What breaks each business rule: the table, and the damage to it.
+RULES = [
+    ("order total differs from its lines", "orders", {"total_amount": "total_amount + 1"}),
+    ("order in a paid status without payment", "payments", None),
+    ("payment of an order in an unpaid status", "orders", {"status": "'pending'"}),
+    ("payments differ from the order total", "payments", {"amount": "amount + 1"}),
+    ("online with employee, or in store without", "orders", {"channel": "if(channel = 'online', 'in-store', 'online')"}),
+    ("order before its store opened", "stores", {"opened_date": "date '2030-01-01'"}),
+    ("order before the customer signed up", "customers", {"signup_date": "date '2030-01-01'"}),
+]
+
+
+@pytest.mark.parametrize("rule, table, damage", RULES)
+def test_each_business_rule_sees_its_damage(built, rule, table, damage):
+    _, source, _ = built
+    sound = {r.rule: r.violations for r in validation.business_rules(source).collect()}
+    rows = source[table].limit(0) if damage is None else source[table].withColumns(
+        {c: F.expr(x).cast(source[table].schema[c].dataType) for c, x in damage.items()}
+    )
+    broken = validation.business_rules({**source, table: rows}).collect()
+    assert {r.rule: r.violations for r in broken}[rule] > sound[rule]
