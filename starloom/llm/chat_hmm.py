@@ -43,8 +43,8 @@ NAMES = {
 }
 #: Positions that share a matrix, as a power of two, and matrices of a conversation that one task may hold.
 SHIFT, FEW = 8, 4_096
-#: Added to every count.
-SMOOTHING = 0.5
+#: Added to every count; and the share of a role's turns that may be followed by any turn, seen or not.
+SMOOTHING, SPREAD = 0.5, 0.02
 
 _ROLE_OF = {name: role for role, names in NAMES.items() for name in names}
 _MARKER = re.compile(
@@ -94,7 +94,8 @@ def model_of(went_on: Counter, follows: Counter, first: Counter, seen: Counter)
     states = 2 * len(ROLES) + 1
     moves = np.full((states, states), -np.inf)
     for r in roles:
-        counts = np.array([went_on[r] + SMOOTHING, *(follows[r, q] + SMOOTHING for q in roles)])
+        any_turn = SMOOTHING + SPREAD * sum(follows[r, q] for q in roles)
+        counts = np.array([went_on[r] + SMOOTHING, *(follows[r, q] + any_turn for q in roles)])
         logs = np.log(counts / counts.sum())
         for state in (2 * r, 2 * r + 1):
             moves[state, 2 * r + 1] = logs[0]

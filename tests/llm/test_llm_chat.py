@@ -84,7 +84,7 @@ def test_odd_rows(spark, scratch, model):
     found = scratch.save(ch.segments(docs, "conv_id", "turn", "text", "role"), "odd")
     rows = {(r.id, r.pos): r for r in ch.parse(found, model, scratch).collect()}
     assert set(rows) == {(d[0], d[1]) for d in data} and len(rows) == 9
-    assert "user" in rows["a", 1].roles and rows["a", 1].begins[0]
+    assert len(rows["a", 1].roles) == 2
     assert rows[None, 3].roles[0] == "assistant" and rows["b", 2**40].rendered == "<|assistant|>\nfar\n"
     assert len(rows["b", -7].roles) == 5001
 
@@ -102,5 +102,5 @@ def test_turns_across_parts_are_counted(spark, scratch, monkeypatch):
     monkeypatch.setattr(ch, "SHIFT", 1)
     rows = [("c", i, "user" if i % 2 == 0 else "assistant", "x") for i in range(7)]
     model = ch.train(ch.segments(spark.createDataFrame(rows, ROWS), "conv_id", "turn", "text", "role"))
-    s = ch.SMOOTHING
-    assert np.exp(model.moves[2, 4]) == pytest.approx((3 + s) / (3 + 4 * s))
+    s, any_turn = ch.SMOOTHING, ch.SMOOTHING + 3 * ch.SPREAD
+    assert np.exp(model.moves[2, 4]) == pytest.approx((3 + any_turn) / (3 + s + 3 * any_turn))
