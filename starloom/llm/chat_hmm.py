@@ -43,8 +43,8 @@ NAMES = {
 }
 #: Positions that share a matrix, as a power of two, and matrices of a conversation that one task may hold.
 SHIFT, FEW = 8, 4_096
-#: Added to every count; and the share of a role's turns that may be followed by any turn, seen or not.
-SMOOTHING, SPREAD = 0.5, 0.02
+#: Added to every count, and to that of a role's name where another role or no turn begins; and the share of a role's turns that may be followed by any turn, seen or not.
+SMOOTHING, WRONG_NAME, SPREAD = 0.5, 0.01, 0.02
 
 _ROLE_OF = {name: role for role, names in NAMES.items() for name in names}
 _MARKER = re.compile(
@@ -104,7 +104,11 @@ def model_of(went_on: Counter, follows: Counter, first: Counter, seen: Counter)
     moves[-1, [2 * q for q in roles]] = np.log(counts / counts.sum())
     tables = []
     for f, size in enumerate(SIZES):
-        counts = np.array([[seen[s, f, v] + SMOOTHING for v in range(size)] for s in range(states - 1)])
+        added = np.full((states - 1, size), SMOOTHING)
+        if f == 0:
+            added[:, : len(ROLES)] = WRONG_NAME
+            added[[2 * r for r in roles], list(roles)] = SMOOTHING
+        counts = added + np.array([[seen[s, f, v] for v in range(size)] for s in range(states - 1)])
         tables.append(np.vstack([np.log(counts / counts.sum(1, keepdims=True)), np.full(size, -np.inf)]))
     return Model(moves, tuple(tables))
 
