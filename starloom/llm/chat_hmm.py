@@ -108,7 +108,11 @@ def model_of(went_on: Counter, follows: Counter, first: Counter, seen: Counter)
         if f == 0:
             added[:, : len(ROLES)] = WRONG_NAME
             added[[2 * r for r in roles], list(roles)] = SMOOTHING
-        counts = added + np.array([[seen[s, f, v] for v in range(size)] for s in range(states - 1)])
+        counts = np.array([[seen[s, f, v] for v in range(size)] for s in range(states - 1)], float)
+        if f > 0:
+            # What no line showed is as unlikely in a common state as in a rare one.
+            added += SPREAD * counts.sum(1, keepdims=True) / size
+        counts += added
         tables.append(np.vstack([np.log(counts / counts.sum(1, keepdims=True)), np.full(size, -np.inf)]))
     return Model(moves, tuple(tables))
 
