@@ -232,7 +232,8 @@ def converted(data: bytes, decided: dict[int, tuple[str, str | None, str | None,
 def _save_volumes(rows: DataFrame, path: str, separator: str) -> None:
     """One file for each row; a volume is bytes, which the text sink writes as they are, and ends with the separator."""
     volumes = rows.select(F.col("volume").cast("string").alias("value"))
-    volumes.write.option("lineSep", separator).option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    packed = volumes.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    packed.option("lineSep", separator).option("maxRecordsPerFile", 1).text(path)
 
 
 def _volumes(spark: SparkSession, path: str) -> DataFrame:
