@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starloom.llm import (
     arc_convert,
     chat_hmm,
+    edit_embedding,
     fair_mix,
     fm_quality,
     fuse_dedup,
+    importance_resample,
     piece_sampling,
     pivot_topk,
+    residue_negatives,
     secret_index,
     signature_join,
     token_attribution,
@@ -135,6 +138,28 @@ def op10_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_residue_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are every hundredth id; every seventh id's label is the next one."""
+    next_label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", next_label)
+    return residue_negatives.hard_negatives(vectors, Workspace(spark), F.col("vec_id") % 100 == 0)
+
+
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents with 20 words or more, drawn towards the benchmark's words and word pairs."""
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    drawn = importance_resample.resample(docs, target, Workspace(spark))
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and near_id, the smallest id of a text found to be like it."""
+    scratch = Workspace(spark)
+    prints = scratch.save(edit_embedding.edited_fingerprints(table(spark, sf_dir, "documents"), scratch), "prints")
+    near = edit_embedding.near_documents(prints, scratch)
+    return near.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -148,5 +173,8 @@ QUERIES = {
         op8_fair_mix,
         op9_piece_sampling,
         op10_secret_index,
+        op11_residue_negatives,
+        op12_importance_resample,
+        op13_edit_embedding,
     )
 }

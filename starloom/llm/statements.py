@@ -128,6 +128,53 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 10
 """
 
+OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) for x in embedding] AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.*, vec_id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS n
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, n::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE n <= 5
+"""
+
+OP12 = r"""
+WITH c AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS tab
+  FROM (SELECT unnest(range(256)) AS i)),
+w AS (
+  SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark)),
+f AS MATERIALIZED (
+  SELECT side, id, unnest(words || [words[i] || ' ' || words[i + 1] for i in range(1, len(words))]) AS f FROM w),
+h AS MATERIALIZED (
+  SELECT f, xor(list_reduce([4294967295] || [('0x' || substr(hex(f), 2 * i + 1, 2))::BIGINT for i in range(strlen(f))],
+                            lambda x, b: xor(x >> 8, tab[(xor(x, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM f), c),
+g AS (
+  SELECT bucket,
+         floor(1000 * ln((count(*) FILTER (WHERE side = 't') + 1)::DOUBLE * ((SELECT count(*) FROM f WHERE side = 'd') + 10000)
+               / ((count(*) FILTER (WHERE side = 'd') + 1)::DOUBLE * ((SELECT count(*) FROM f WHERE side = 't') + 10000))))::BIGINT AS gain
+  FROM f JOIN h USING (f) GROUP BY bucket),
+m AS (SELECT id, floor(sum(gain) / count(*))::BIGINT AS weight FROM f JOIN h USING (f) JOIN g USING (bucket) WHERE side = 'd' GROUP BY id),
+s AS (
+  SELECT id AS doc_id, len(words) AS n, greatest(0, 2 * len(words) - 1)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM w LEFT JOIN m USING (id) WHERE side = 'd'),
+r AS (SELECT *, row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id) AS k, count(*) FILTER (WHERE n >= 20) OVER () AS fit FROM s)
+SELECT doc_id, n_features, weight, score, CASE WHEN n >= 20 AND k <= 25 * fit // 100 THEN k END AS rank FROM r
+"""
+
 STATEMENTS = {
     "op2_arc_convert": OP2,
     "op3_signature_join": OP3,
@@ -135,4 +182,6 @@ STATEMENTS = {
     "op6_exact_dedup": OP6,
     "op8_fair_mix": OP8,
     "op10_secret_index": OP10,
+    "op11_residue_negatives": OP11,
+    "op12_importance_resample": OP12,
 }

@@ -18,6 +18,6 @@ def test_query_equals_statement(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(STATEMENTS) <= set(entry.oracle_sql())
