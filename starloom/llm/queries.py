@@ -155,9 +155,8 @@ def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and near_id, the smallest id of a text found to be like it."""
     scratch = Workspace(spark)
-    prints = scratch.save(edit_embedding.edited_fingerprints(table(spark, sf_dir, "documents"), scratch), "prints")
-    near = edit_embedding.near_documents(prints, scratch)
-    return near.withColumnRenamed("id", "doc_id")
+    prints = edit_embedding.edited_fingerprints(table(spark, sf_dir, "documents"), scratch)
+    return edit_embedding.near_documents(prints, scratch).withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {
