@@ -139,7 +139,10 @@ def employee_attributes(employees: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
-def flatten_hierarchy(
+PLACED, ORPHAN, CYCLE = "placed", "orphan", "cycle"
+
+
+def walk_hierarchy(
     nodes: DataFrame,
     *,
     node: str,
@@ -148,51 +151,89 @@ def flatten_hierarchy(
     scratch: Workspace,
     separator: str = " > ",
 ) -> DataFrame:
-    """Walk an adjacency list from its roots: name, parent name, path and depth.
+    """An adjacency list, walked from every node up: name, parent name, path, depth and state of each node.
 
-    One equi join per level, written before the next one, of the nodes that no level
-    holds yet: what is placed leaves the join. The walk ends at the first empty level. Nodes
-    that no root reaches, such as a cycle or the children of an unknown parent, are not in
-    the result; ``unreached`` finds them.
+    Every node points to an ancestor, at first its parent, and has the path from below it. In each round a
+    node that has not arrived takes over the pointer of the node it points to, and puts that one's path before its own, so
+    that pointers double their reach: the number of joins is the logarithm of the depth. A node has arrived
+    when it points to nothing. One that comes to an unknown parent is an orphan. A round in which none arrives leaves only
+    nodes on a cycle or below one; path, depth and parent name are null for these and for orphans.
+
+    A null parent makes a root. Ids are unique; a null id is nobody's parent.
     """
-    slim = nodes.select(
-        F.col(node).alias("id"), F.col(parent).alias("parent"), F.col(name).alias("label")
-    )
-    roots = slim.filter("parent IS NULL").select(
-        "id",
-        "label",
-        F.lit(None).cast("string").alias("parent_name"),
-        F.col("label").alias("path"),
+    start = nodes.select(
+        F.col(node).alias("id"),
+        F.col(name).alias("label"),
+        F.col(parent).alias("above"),
+        F.col(name).alias("path"),
         F.lit(1).alias("depth"),
+        F.lit(None).cast("string").alias("parent_name"),
+        F.when(F.col(parent).isNull(), PLACED).alias("state"),
     )
-    rest = slim.filter("parent IS NOT NULL")
-    level = scratch.save(roots, "level")
-    levels = [level]
-    while not level.isEmpty():
-        above = level.select(
-            F.col("id").alias("parent"),
-            F.col("label").alias("parent_name"),
-            F.col("path").alias("parent_path"),
-            (F.col("depth") + 1).alias("depth"),
+    state = scratch.save(start, "walk")
+    arrived = [state.filter("state IS NOT NULL")]
+    moving = state.filter("state IS NULL")
+    first = True
+    while not moving.isEmpty():
+        known = moving
+        for done in arrived:
+            known = known.unionByName(done)
+        ahead = known.select(
+            F.col("id").alias("_id"),
+            F.col("label").alias("_label"),
+            F.col("above").alias("_above"),
+            F.col("path").alias("_path"),
+            F.col("depth").alias("_depth"),
+            F.col("state").alias("_state"),
         )
-        tried = scratch.save(rest.join(above, "parent", "left"), "level")
-        level = tried.filter("depth IS NOT NULL").select(
-            "id",
-            "label",
-            "parent_name",
-            F.concat("parent_path", F.lit(separator), "label").alias("path"),
-            "depth",
+        tried = scratch.save(
+            moving.join(ahead, F.col("above") == F.col("_id"), "left").select(
+                "id",
+                "label",
+                F.col("_above").alias("above"),
+                F.concat("_path", F.lit(separator), "path").alias("path"),
+                (F.col("_depth") + F.col("depth")).alias("depth"),
+                # The first step leads to the parent.
+                F.col("_label" if first else "parent_name").alias("parent_name"),
+                F.when(F.col("_id").isNull(), ORPHAN).otherwise(F.col("_state")).alias("state"),
+            ),
+            "walk",
         )
-        rest = tried.filter("depth IS NULL").select("id", "parent", "label")
-        levels.append(level)
-    walked = levels[0]
-    for one in levels[1:-1]:
-        walked = walked.unionByName(one)
+        moved = tried.filter("state IS NOT NULL")
+        if moved.isEmpty():
+            arrived.append(tried.withColumn("state", F.lit(CYCLE)))
+            break
+        arrived.append(moved)
+        moving, first = tried.filter("state IS NULL"), False
+    walked = arrived[0]
+    for done in arrived[1:]:
+        walked = walked.unionByName(done)
+    known_only = lambda c: F.when(F.col("state") == PLACED, F.col(c)).alias(c)
     return walked.select(
-        F.col("id").alias(node), F.col("label").alias(name), "parent_name", "path", "depth"
+        F.col("id").alias(node),
+        F.col("label").alias(name),
+        *map(known_only, ("parent_name", "path", "depth")),
+        "state",
     )
 
 
+def flatten_hierarchy(
+    nodes: DataFrame,
+    *,
+    node: str,
+    parent: str,
+    name: str,
+    scratch: Workspace,
+    separator: str = " > ",
+) -> DataFrame:
+    """The nodes that a root reaches, with name, parent name, path and depth.
+
+    ``walk_hierarchy`` also tells of those that none reaches: a cycle, or the children of an unknown parent.
+    """
+    walked = walk_hierarchy(nodes, node=node, parent=parent, name=name, scratch=scratch, separator=separator)
+    return walked.filter(F.col("state") == PLACED).drop("state")
+
+
 def unreached(nodes: DataFrame, tree: DataFrame, node: str) -> DataFrame:
     """The nodes that ``flatten_hierarchy`` found no way to."""
     return nodes.join(tree.select(node), node, "left_anti")

@@ -6,24 +6,30 @@ from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions.exprs import date_key, money
 from starloom.functions.labels import UNKNOWN_EMPLOYEE_KEY
+from starloom.operators.asof import carry_versions
 from starloom.sources.contracts import WAREHOUSE_TABLES
+from starloom.workspace import Workspace
 
 GRAIN = ("order_id", "product_key")
 MONTH = "order_month"
 
 
 def resolve_order_keys(
-    orders: DataFrame, customer: DataFrame, store: DataFrame, employee: DataFrame
+    orders: DataFrame, customer: DataFrame, store: DataFrame, employee: DataFrame, scratch: Workspace
 ) -> DataFrame:
     """Dimension keys at order level, before the far more numerous lines are joined.
 
-    The customer key is the version valid on the order date, by an equi join on the
-    natural key with the half-open interval as a residual condition.
+    The customer key is that of the version valid on the order date.
     """
-    version = customer.select("customer_key", "customer_id", "valid_from", "valid_to").alias("v")
-    o = orders.alias("o")
-    valid = (F.col("o.order_date") >= F.col("v.valid_from")) & (
-        F.col("v.valid_to").isNull() | (F.col("o.order_date") < F.col("v.valid_to"))
+    placed = carry_versions(
+        customer.select("customer_key", "customer_id", "valid_from", "valid_to"),
+        orders.select("order_id", "customer_id", "store_id", "employee_id", "order_date", "channel", "status"),
+        key="customer_id",
+        valid_from="valid_from",
+        valid_to="valid_to",
+        at="order_date",
+        ties=["order_id"],
+        scratch=scratch,
     )
     # Online orders have no employee. A key of their own for each spreads them over the
     # tasks; equal NULL keys would all meet in one.
@@ -33,7 +39,7 @@ def resolve_order_keys(
     ).filter("_staff.employee_id IS NOT NULL")
     alone = F.when(F.col("employee_id").isNull(), F.col("order_id"))
     return (
-        o.join(version, (F.col("o.customer_id") == F.col("v.customer_id")) & valid)
+        placed.withColumn("customer_key", F.col("version.customer_key"))
         .join(store.select("store_id", "store_key"), "store_id")
         .withColumn("_staff", F.struct("employee_id", alone.alias("order_id")))
         .join(staff, "_staff", "left")
@@ -56,18 +62,22 @@ def build_fact_sales(
     product: DataFrame,
     store: DataFrame,
     employee: DataFrame,
+    *,
+    scratch: Workspace | None = None,
 ) -> DataFrame:
     """One row per product line of an order, with five keys and five measures.
 
     The sales key is the identity of the line, so it is the same in every load and
-    costs no numbering of the fact.
+    costs no numbering of the fact. Lines that come with product_key and cost meet no products again.
     """
     gross = F.col("quantity") * F.col("unit_price")
     cost = F.col("quantity") * F.col("cost")
-    keyed = resolve_order_keys(orders, customer, store, employee)
+    keyed = resolve_order_keys(orders, customer, store, employee, scratch or Workspace(orders.sparkSession))
     # Orders first: an upsert names few of them, and then few lines meet the products.
     lines = items.join(keyed, "order_id")
-    df = lines.join(product.select("product_id", "product_key", "cost"), "product_id").select(
+    if not {"product_key", "cost"} <= set(items.columns):
+        lines = lines.join(product.select("product_id", "product_key", "cost"), "product_id")
+    df = lines.select(
         F.col("order_item_id").alias("sales_key"),
         "date_key",
         "customer_key",
@@ -93,11 +103,12 @@ def with_month(fact: DataFrame) -> DataFrame:
 
 
 def by_month(fact: DataFrame) -> DataFrame:
-    """Add the partition column and gather each month into well-sized files.
+    """Add the partition column and gather each month into well-sized files, in order of the order id.
 
-    The hint lets adaptive execution split a month that holds much of the data.
+    The hint lets adaptive execution split a month that holds much of the data. The order lets a range
+    of order ids skip row groups.
     """
-    return with_month(fact).hint("rebalance", MONTH)
+    return with_month(fact).hint("rebalance", MONTH).sortWithinPartitions(MONTH, "order_id")
 
 
 def refuse_repeats(incoming: DataFrame) -> None:

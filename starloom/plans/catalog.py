@@ -109,8 +109,8 @@ def fact_upsert(w: Warehouse) -> DataFrame:
         "status", F.when(F.col("status") == "pending", "completed").otherwise(F.col("status"))
     )
     store = SnapshotStore(w.spark, f"{w.scratch.root}/upsert-{uuid.uuid4().hex[:8]}")
-    store.write_full("fact_sales", w.facts_of(w.order_items, w.orders.filter(before)))
-    incoming = w.scratch.save(w.facts_of(w.order_items, corrected), "late-facts")
+    store.write_full("fact_sales", w.facts_of(w.keyed_items, w.orders.filter(before)))
+    incoming = w.scratch.save(w.facts_of(w.keyed_items, corrected), "late-facts")
     store.upsert_fact(incoming.drop(facts.MONTH))
     return store.read("fact_sales")
 

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions import labels
 from starloom.functions.exprs import any_changed
-from starloom.operators import dimensions as dims, facts, history
+from starloom.operators import digests, dimensions as dims, facts, history
 from starloom.operators.checks import stack_rows
 from starloom.plans.validation import validate
 from starloom.plans.warehouse import StoredSourceWarehouse
 from starloom.sources.snapshot import SnapshotStore, month_of
+from starloom.workspace import Workspace
 
 NEW_DAY = "dim_date"
 
@@ -26,12 +27,14 @@ def _counts(table: str, df: DataFrame) -> DataFrame:
     )
 
 
-def _changes(old: DataFrame, new: DataFrame) -> DataFrame:
-    """What the fact lacks or has otherwise, and the lines that the source no longer has.
+def _told(fact: DataFrame) -> list[str]:
+    """Surrogate keys of the fact are those of the lines, so all other columns tell a change."""
+    return [c for c in fact.columns if c not in (*facts.GRAIN, "sales_key", facts.MONTH)]
 
-    Surrogate keys of the fact are those of the lines, so all other columns tell a change.
-    """
-    columns = [c for c in new.columns if c not in (*facts.GRAIN, "sales_key", facts.MONTH)]
+
+def _changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """What the fact lacks or has otherwise, and the lines that the source no longer has."""
+    columns = _told(new)
     on = [F.col(f"old.{c}") == F.col(f"new.{c}") for c in facts.GRAIN]
     both = old.alias("old").join(new.alias("new"), on, "full_outer")
     change = (
@@ -42,10 +45,43 @@ def _changes(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.withColumn("change", change).where("change IS NOT NULL").select("new.*", "change")
 
 
+def stored_leaves(store: SnapshotStore, folders: list[str], scratch: Workspace) -> DataFrame:
+    """Leaves of the digest tree of these folders of the fact, with the folder; those without any are read."""
+    known = store.read("fact_digest").filter(F.col("folder").isin(*folders))
+    with_leaves = {r[0] for r in known.select("folder").distinct().collect()}  # a folder is a month
+    missing = [f for f in folders if f not in with_leaves]
+    made = [known]
+    while missing:
+        # Folders of different months, told apart by the month of their rows.
+        by_month = {month_of(f): f for f in reversed(missing)}
+        missing = [f for f in missing if f not in by_month.values()]
+        rows = facts.with_month(store.scan("fact_sales", list(by_month.values())))
+        named = store.spark.createDataFrame(list(by_month.items()), f"{facts.MONTH} int, folder string")
+        found = digests.leaves(rows, [*facts.GRAIN, *_told(rows)]).join(named, facts.MONTH)
+        made.append(found.select("folder", *digests.LEAF, *digests.DIGEST))
+    return scratch.save(stack_rows(made), "leaves")
+
+
+def changed_rows(store: SnapshotStore, new: DataFrame, scratch: Workspace) -> tuple[DataFrame, DataFrame]:
+    """What the stored fact lacks or has otherwise or too much, and its months that hold such rows.
+
+    Digests tell where the two differ. Only these months are read, and only rows of leaves that differ are joined; where
+    nothing differs, no row of the stored fact is read.
+    """
+    folders = store.folders("fact_sales")
+    was = stored_leaves(store, folders, scratch)
+    now = scratch.save(digests.leaves(new, [*facts.GRAIN, *_told(new)]), "leaves")
+    months = digests.differing_months(was, now)
+    old = facts.with_month(store.scan("fact_sales", [p for p in folders if month_of(p) in months]))
+    leaves = scratch.save(digests.differing_leaves(was, now, months), "differing")
+    met = _changes(digests.rows_of(old, leaves), digests.rows_of(new.where(F.col(facts.MONTH).isin(*months)), leaves))
+    return scratch.save(met, "changes"), old
+
+
 def refresh(source: StoredSourceWarehouse, store: SnapshotStore, as_of: date) -> DataFrame:
     """One load on the present content of ``store``: Type 1, Type 2 at ``as_of``, and the fact.
 
-    Only months with a new or other line are written again. The 54 checks run on the staged
+    Only months with a new or other line are written again, and found by their digests. The 54 checks run on the staged
     tables; if one fails, nothing is published. Lines that the source no longer has stay, and
     are counted as gone. Returns table_name, inserted, updated, closed and gone.
     """
@@ -95,13 +131,17 @@ def refresh(source: StoredSourceWarehouse, store: SnapshotStore, as_of: date) ->
     staged = {t: store.stage(t, df) for t, df in star.items()}
     fresh = {t: store.scan(t, p) for t, p in staged.items()}
 
-    old = facts.with_month(store.read("fact_sales"))
-    new = facts.build_fact_sales(
-        source.order_items,
-        source.orders,
-        *(fresh[t] for t in ("dim_customer", "dim_product", "dim_store", "dim_employee")),
+    # Written, as its digests and its changed rows are both taken from it.
+    new = scratch.save(
+        facts.build_fact_sales(
+            source.order_items,
+            source.orders,
+            *(fresh[t] for t in ("dim_customer", "dim_product", "dim_store", "dim_employee")),
+            scratch=scratch,
+        ),
+        "new-fact",
     )
-    changes = scratch.save(_changes(old, new), "changes")
+    changes, old = changed_rows(store, new, scratch)
     incoming = changes.where("change != 'gone'").drop("change")
     months = facts.touched_months(old, incoming)
     folders = store.folders("fact_sales")
@@ -110,6 +150,7 @@ def refresh(source: StoredSourceWarehouse, store: SnapshotStore, as_of: date) ->
     if months:
         staged["fact_sales"] += store.stage("fact_sales", facts.merge_months(affected, incoming))
     fresh["fact_sales"] = store.scan("fact_sales", staged["fact_sales"])
+    staged["fact_digest"] = store.stage("fact_digest", stored_leaves(store, staged["fact_sales"], scratch))
 
     report = validate(SimpleNamespace(**fresh, scratch=scratch), source.source(), first, last)
     failed = report.where(f"result != '{labels.PASS}'").collect()  # 54 rows at most

@@ -98,7 +98,7 @@ class Warehouse:
 
     @built_once
     def _lines(self) -> DataFrame:
-        lines = orderdata.order_lines(self.raw("lineitem"), self.products)
+        lines = orderdata.order_lines(self.raw("lineitem"), self.dim_product)
         return number_rows(
             lines, "order_item_id", ["order_id", "product_id"], scratch=self.scratch
         )
@@ -107,6 +107,11 @@ class Warehouse:
     def order_items(self) -> DataFrame:
         return orderdata.order_items(self._lines)
 
+    @property
+    def keyed_items(self) -> DataFrame:
+        """The order lines with the key and cost of their product."""
+        return self._lines
+
     @built_once
     def orders(self) -> DataFrame:
         return self.scratch.save(
@@ -240,14 +245,20 @@ class Warehouse:
 
     def facts_of(self, items: DataFrame, orders: DataFrame) -> DataFrame:
         return facts.build_fact_sales(
-            items, orders, self.dim_customer, self.dim_product, self.dim_store, self.dim_employee
+            items,
+            orders,
+            self.dim_customer,
+            self.dim_product,
+            self.dim_store,
+            self.dim_employee,
+            scratch=self.scratch,
         )
 
     @built_once
     def fact_sales(self) -> DataFrame:
         self.together("orders", "dim_product", "dim_customer", "dim_store", "dim_employee")
         return self.scratch.save(
-            self.facts_of(self.order_items, self.orders), "fact_sales", (facts.MONTH,)
+            self.facts_of(self.keyed_items, self.orders), "fact_sales", (facts.MONTH,)
         )
 
     def star(self) -> dict[str, DataFrame]:

@@ -345,3 +345,22 @@ WAREHOUSE_TABLES = {
 
 # Parents before children: a table is loaded after the tables it refers to.
 LOAD_ORDER = list(SOURCE_TABLES)
+
+# Kept beside the fact: digests of its rows by folder, for the next load (see operators.digests).
+SIDE_TABLES = {
+    t.name: t
+    for t in [
+        TableContract(
+            "fact_digest",
+            (
+                Column("folder", "string", required=True),
+                Column("order_month", "int", required=True),
+                Column("bucket", "int", required=True),
+                Column("n", "bigint", required=True),
+                Column("one", "bigint", required=True),
+                Column("two", "bigint", required=True),
+            ),
+            "folder",
+        ),
+    ]
+}

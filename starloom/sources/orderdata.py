@@ -151,10 +151,10 @@ def customers(
 
 
 def order_lines(lineitem: DataFrame, product: DataFrame) -> DataFrame:
-    """Lines at the grain (order, product), with the lowest supplier of each.
+    """Lines at the grain (order, product), with the lowest supplier of each, and the product's key and cost.
 
     The grouping comes first: it combines on the map side and leaves fewer rows for
-    the product join.
+    the product join, the only one that lines go through.
     """
     grouped = lineitem.groupBy(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")
@@ -165,7 +165,7 @@ def order_lines(lineitem: DataFrame, product: DataFrame) -> DataFrame:
     )
     markup = (100 + F.col("order_id") % 41).cast("int") * F.lit(Decimal("0.01"))
     priced = grouped.join(
-        product.select("product_id", F.col("unit_price").alias("list_price")), "product_id"
+        product.select("product_id", "product_key", "cost", F.col("unit_price").alias("list_price")), "product_id"
     ).withColumn("unit_price", F.round(F.col("list_price") * markup, 2).cast(PRICE))
     return priced.select(
         "order_id",
@@ -174,6 +174,8 @@ def order_lines(lineitem: DataFrame, product: DataFrame) -> DataFrame:
         "unit_price",
         F.round(F.col("unit_price") * F.col("rate"), 2).cast(PRICE).alias("discount"),
         "supplier",
+        "product_key",
+        "cost",
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.operators import facts
-from starloom.sources.contracts import SOURCE_TABLES, WAREHOUSE_TABLES
+from starloom.sources.contracts import SIDE_TABLES, SOURCE_TABLES, WAREHOUSE_TABLES
 
 LOG_SCHEMA = "table string, paths array<string>, version bigint"
 MONTHLY = {"fact_sales"}
@@ -35,7 +35,7 @@ class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.contracts = {**SOURCE_TABLES, **WAREHOUSE_TABLES}
+        self.contracts = {**SOURCE_TABLES, **WAREHOUSE_TABLES, **SIDE_TABLES}
 
     def _latest(self) -> tuple[int, dict[str, list[str]]]:
         """The last version and its tables; only a log that does not exist is an empty one."""

@@ -162,3 +162,18 @@ def test_scd2_refuses_to_end_a_row_before_its_start(spark, scratch):
     first = step(empty, [(1, "A", "a@x", "P", D2)], D1, spark, scratch).drop("change")
     with pytest.raises(PySparkException, match="starts after the change date"):
         step(first, [(1, "A", "a@x", "Q", D2)], D1, spark, scratch)
+
+
+def test_a_long_chain_takes_few_joins(spark, scratch, monkeypatch):
+    n = 5_000
+    nodes = [(i, i - 1 if i else None, "x") for i in range(n)] + [(9_000, 9_001, "a"), (9_001, 9_000, "b"), (9_002, 9_001, "c"), (9_003, -5, "d"), (9_004, 9_003, "e")]
+    saved = []
+    real = scratch.save
+    monkeypatch.setattr(scratch, "save", lambda df, name, **k: (saved.append(name), real(df, name, **k))[1])
+    frame = spark.createDataFrame(nodes, "id long, parent long, name string").repartition(4)
+    walked = dims.walk_hierarchy(frame, node="id", parent="parent", name="name", scratch=scratch, separator="/")
+    got = {r.id: r for r in walked.selectExpr("id", "depth", "length(path) AS n", "parent_name", "state").collect()}
+    assert len(saved) - 1 <= 15
+    assert all(got[i].depth == i + 1 and got[i].n == 2 * i + 1 and got[i].state == dims.PLACED for i in range(n))
+    assert [got[i].state for i in range(9_000, 9_005)] == [dims.CYCLE] * 3 + [dims.ORPHAN] * 2
+    assert {got[i].depth for i in range(9_000, 9_005)} == {None}
