@@ -14,9 +14,9 @@ Archives are volumes of bounded size, each a row when written and a row when rea
 so any shared folder will do. The payloads meet what is decided about them by volume: only packed volumes are
 shuffled, whatever the number of equal payloads.
 
-A header line that does not parse is skipped up to the next line that does. Content that ends before its declared length is kept
-and marked truncated. A date that is no date becomes that of the version block, or the first of 1970. Null texts are
-empty, null addresses are the address ``-``, white space in an address is escaped.
+A header line that does not parse, or declares a length of more than 18 digits, is skipped up to the next line that does. Content
+that ends before its declared length, also within a damaged gzip member, is kept and marked truncated. A date that is no date, or
+missing (``-``), becomes that of the version block, or the first of 1970. Null texts are empty, null addresses are the address ``-``, white space in an address is escaped.
 """
 
 from __future__ import annotations
@@ -79,19 +79,35 @@ class ArcRecord:
     more: dict[str, str] = field(default_factory=dict)
 
 
+#: A longer length is none. A date may be missing.
+_LENGTH, _DATE = re.compile("[0-9]{1,18}"), re.compile("[0-9]+|-")
+
+
 def _header(line: bytes, version: int) -> tuple[dict[str, str], int] | None:
     """The fields of a header line, and the declared length; a content type may hold spaces."""
     names, words = FIELDS[version].split(" "), line.decode("utf-8", "replace").split(" ")
-    if len(words) < len(names) or not words[0] or not words[-1].isdecimal() or not words[2].isdecimal():
+    if len(words) < len(names) or not words[0] or not _LENGTH.fullmatch(words[-1]) or not _DATE.fullmatch(words[2]):
         return None
     behind = len(names) - 4
     values = [*words[:3], " ".join(words[3 : len(words) - behind]), *words[len(words) - behind :]]
     return dict(zip(names, values)), int(words[-1])
 
 
-def arc_records(data: bytes) -> Iterator[ArcRecord]:
-    """The records of an archive, the version block first; its second line tells the version of what follows."""
-    at, version = 0, 1
+def arc_records(data: bytes | list[bytes]) -> Iterator[ArcRecord]:
+    """The records of an archive, the version block first; its second line tells the version of what follows.
+
+    Between the parts of an archive, something is lost: no record goes on from one to the next.
+    """
+    before, version = 0, 1
+    for part in [data] if isinstance(data, bytes) else data:
+        for record in _records(part, before, version):
+            version = record.version
+            yield record
+        before += len(part)
+
+
+def _records(data: bytes, before: int, version: int) -> Iterator[ArcRecord]:
+    at = 0
     while at < len(data):
         stop = data.find(b"\n", at)
         stop = len(data) if stop < 0 else stop
@@ -110,7 +126,7 @@ def arc_records(data: bytes) -> Iterator[ArcRecord]:
         values, length = found
         content = data[stop + 1 : stop + 1 + length]
         yield ArcRecord(
-            at,
+            before + at,
             version,
             values["URL"],
             values["IP-address"],
@@ -156,16 +172,41 @@ def _number(text: str | None) -> int | None:
     return int(text) if text and re.fullmatch(r"-?[0-9]{1,19}", text) and -(2**63) <= int(text) < 2**63 else None
 
 
-def unzipped(data: bytes) -> bytes:
-    """All members of a gzip file, or the data itself if it is no gzip file."""
+#: The first bytes of a gzip member: deflate, and no flag that is not defined.
+_MEMBER = re.compile(rb"\x1f\x8b\x08[\x00-\x1f]")
+_BYTES_AT_ONCE = 1 << 16
+
+
+def unzipped_parts(data: bytes) -> list[bytes]:
+    """What the members of a gzip file hold, or the data itself if it is no gzip file, in parts without damage.
+
+    Of a damaged member, what comes before the damage ends a part, so that its record ends before its declared length;
+    the next member begins another part.
+    """
     if not data.startswith(b"\x1f\x8b"):
-        return data
-    out = []
-    while data:
-        one = zlib.decompressobj(31)
-        out.append(one.decompress(data))
-        data = one.unused_data
-    return b"".join(out)
+        return [data]
+    parts: list[list[bytes]] = [[]]
+    at = 0
+    while at < len(data):
+        one, now = zlib.decompressobj(31), at
+        try:
+            while not one.eof and now < len(data):
+                parts[-1].append(one.decompress(data[now : now + _BYTES_AT_ONCE]))
+                now += _BYTES_AT_ONCE
+        except zlib.error:
+            pass
+        end = min(now, len(data)) - len(one.unused_data) if one.eof else at + 1
+        if one.eof and (end == len(data) or _MEMBER.match(data, end)):
+            at = end
+            continue
+        following = _MEMBER.search(data, end)
+        at = following.start() if following else len(data)
+        parts.append([])
+    return [b"".join(p) for p in parts]
+
+
+def unzipped(data: bytes) -> bytes:
+    return b"".join(unzipped_parts(data))
 
 
 # WARC.
@@ -191,7 +232,7 @@ def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = data.find(b"WARC/", stop + 4 + length)
 
 
-def converted(data: bytes, decided: dict[int, tuple[str, str | None, str | None, str | None]]) -> bytes:
+def converted(data: bytes | list[bytes], decided: dict[int, tuple[str, str | None, str | None, str | None]]) -> bytes:
     """An ARC archive as WARC; ``decided`` has for an offset the type, and what a revisit refers to."""
     out, name, start = [], "", "1970-01-01T00:00:00Z"
     for r in arc_records(data):
@@ -217,8 +258,7 @@ def converted(data: bytes, decided: dict[int, tuple[str, str | None, str | None,
             block = http[0] if http else b""
             headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", to or "")]
             headers += [("WARC-Refers-To-Target-URI", to_uri or ""), ("WARC-Refers-To-Date", to_date or "")]
-            if not http:
-                headers.append(("X-Payload-Length", str(len(payload))))
+            headers.append(("X-Payload-Length", str(len(payload))))
         headers.append(("WARC-Block-Digest", f"sha1:{digest(block)}"))
         headers += [(f"X-Arc-{k}", v) for k, v in r.more.items()]
         headers.append(("Content-Type", "application/http;msgtype=response" if http else r.kind))
@@ -281,7 +321,7 @@ def _found(order_header: str):
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 rows, name, start = [], "", "1970-01-01T00:00:00Z"
-                for r in arc_records(unzipped(content.as_py())):
+                for r in arc_records(unzipped_parts(content.as_py())):
                     own = iso_date(r.date, start)
                     if r.url.startswith("filedesc:"):
                         name, start = r.url.removeprefix("filedesc://"), own
@@ -308,7 +348,7 @@ def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = {
                 d["offset"]: ("revisit", record_id(d["name"], d["first"]), d["uri"], d["date"]) for d in decided or []
             }
-            yield pa.RecordBatch.from_arrays([pa.array([converted(unzipped(content.as_py()), known)], pa.binary())], ["volume"])
+            yield pa.RecordBatch.from_arrays([pa.array([converted(unzipped_parts(content.as_py()), known)], pa.binary())], ["volume"])
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, scratch: Workspace, *, least: int = 0, order_header: str = ORDER_HEADER) -> None:
@@ -340,7 +380,7 @@ def _read(order_header: str):
                     head, payload = http_parts(block) or (b"", block)
                     told = (fields.get("warc-payload-digest") or "").removeprefix("sha1:")
                     if kind == "revisit":
-                        size = _number(_value(head, "Content-Length") or fields.get("x-payload-length"))
+                        size = _number(fields.get("x-payload-length") or _value(head, "Content-Length"))
                         own = told
                     else:
                         size, own = len(payload), digest(payload)

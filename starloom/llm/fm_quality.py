@@ -104,7 +104,8 @@ def features(texts: list[bytes], declared: np.ndarray) -> tuple[np.ndarray, np.n
             _share(distinct, np.maximum(words, 1)),
             _share(again, words),
             _size(sizes / np.maximum(words, 1)),
-            _size(np.maximum.reduceat(lengths, np.minimum(offsets[:-1], len(lengths) - 1)) * (words > 0) if len(lengths) else words),
+            # One more length, so that texts without words at the end do not cut the last one's words short.
+            _size(np.maximum.reduceat(np.append(lengths, 0), offsets[:-1]) * (words > 0)),
             _size(words),
             _size(words / np.maximum(1, lines[ends - 1] - lines[begins] + 1)),
             _size(np.abs(np.where(declared < 0, 0, declared - chars))),

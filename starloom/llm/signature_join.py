@@ -32,7 +32,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.llm.common import as_row, in_steps, mix64, no_text, whole_groups, word_hashes
 from starloom.workspace import Workspace
@@ -528,6 +528,11 @@ def _renamed(members: DataFrame, names: DataFrame) -> DataFrame:
     return members.join(new, "component", "left").select("block", "node", F.coalesce("_new", "component").alias("component"))
 
 
+def _name_of(key: Column) -> Column:
+    """An id as text that is never null: a null one is nothing behind no sign."""
+    return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit(""))
+
+
 def components(
     docs: DataFrame,
     scratch: Workspace,
@@ -558,10 +563,12 @@ def components(
     wanted = (
         rows.where("node IS NOT NULL").groupBy("node").agg(first)
         .join(members.select("node").distinct(), "node")
-        .select("node", F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+        .select("node", _name_of(F.col("first.id")).alias("name"), F.col("first.text_hash").alias("text_hash"))
     )
-    of_row = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    found = texts.join(wanted.hint("merge"), of_row).select("node", "text")
+    named_texts = texts.select(_name_of(F.col("id")).alias("name"), "text_hash", "text")
+    # Rows that repeat id and text are one: they meet in the join's order, so nothing is shuffled again.
+    met = named_texts.join(wanted.hint("merge"), ["name", "text_hash"])
+    found = met.groupBy("name", "text_hash").agg(F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text")
     sets = scratch.save(found.mapInArrow(_sets(words), "node binary, n long, bits binary, tokens binary"), "sets")
     for _ in range(ROUNDS):
         names = scratch.save(_contracted(members, sets, percent), "names")

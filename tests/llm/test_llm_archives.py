@@ -106,3 +106,55 @@ def test_bytes_that_are_no_text_survive_the_text_sink(spark, scratch):
     path = f"{scratch.root}/raw-bytes"
     ac._save_volumes(rows, path, "\n")
     assert ac.unzipped(bytes(ac._volumes(spark, path).select(F.col("content")).first()[0])) == data + b"\n"
+
+
+def line(url, date, length, content):
+    return f"{url} 1.2.3.4 {date} text/plain {length}\n".encode() + content + b"\n"
+
+
+def test_odd_lengths_and_dates_lose_no_record():
+    block = b"1 0 x\nURL IP-address Archive-date Content-type Archive-length\n"
+    data = line("filedesc://a.arc", "20010203040506", len(block), block)
+    data += line("http://a/", "20010203040506", 3, b"abc") + line("http://b/", "-", 2, b"de")
+    data += line("http://c/", "20010203040506", "9" * 5_000, b"no length") + line("http://d/", "7", 1, b"f")
+    got = list(ac.arc_records(data))[1:]
+    assert [(r.url, r.content, r.truncated) for r in got] == [
+        ("http://a/", b"abc", False), ("http://b/", b"de", False), ("http://d/", b"f", False)
+    ]
+    out = list(ac.warc_records(ac.converted(data, {})))[1:]
+    assert [f["warc-date"] for f, _ in out] == ["2001-02-03T04:05:06Z"] * 3
+
+
+def test_damaged_members_keep_what_they_gave_and_the_next_ones_follow():
+    import gzip
+    import random
+
+    random.seed(3)
+    block = b"2 0 x\nURL IP-address Archive-date Content-type Archive-length\n"
+    noise = bytes(random.randrange(256) for _ in range(400_000))
+    records = [line("filedesc://a.arc", "20010203040506", len(block), block)[:-1].replace(b"2 0 x", b"1 0 x")]
+    records += [line("http://a/", "20010203", 3, b"abc"), line("http://b/", "20010203", len(noise), noise), line("http://c/", "20010203", 2, b"de")]
+    members = [gzip.compress(r, mtime=0) for r in records]
+    whole = b"".join(members)
+    assert ac.unzipped(whole) == b"".join(records)
+    assert ac.unzipped(b"no gzip") == b"no gzip" and ac.unzipped(b"") == b""
+    cut = len(members[2]) // 2
+    hurt = members[2][:cut] + bytes(64) + members[2][cut + 64 :]
+    got = list(ac.arc_records(ac.unzipped_parts(members[0] + members[1] + hurt + members[3])))[1:]
+    assert [(r.url, r.truncated) for r in got] == [("http://a/", False), ("http://b/", True), ("http://c/", False)]
+    assert 0 < len(got[1].content) < len(noise) and noise.startswith(got[1].content[:1000]) and got[2].content == b"de"
+    short = list(ac.arc_records(ac.unzipped_parts(whole[: len(whole) - len(members[3]) - 100])))[1:]
+    assert [(r.url, r.truncated) for r in short] == [("http://a/", False), ("http://b/", True)]
+    assert list(ac.arc_records(ac.unzipped_parts(whole + b"junk")))[-1].url == "http://c/"
+    # Each record of what is converted is whole.
+    out = list(ac.warc_records(ac.converted(ac.unzipped_parts(members[0] + members[1] + hurt + members[3]), {})))
+    assert [f.get("warc-truncated") for f, _ in out] == [None, None, "length", None]
+
+
+def test_size_of_a_revisit_does_not_come_from_its_http_header():
+    head = b"HTTP/1.0 200 OK\r\nContent-Length: 999\r\n\r\n"
+    block = b"1 0 x\nURL IP-address Archive-date Content-type Archive-length\n"
+    data = line("filedesc://a.arc", "20010203040506", len(block), block) + line("http://a/", "20010203", len(head) + 5, head + b"tiny!")
+    offset = list(ac.arc_records(data))[1].offset
+    fields, _ = list(ac.warc_records(ac.converted(data, {offset: ("revisit", "<urn:uuid:1>", "http://z/", "x")})))[1]
+    assert fields["x-payload-length"] == "5"

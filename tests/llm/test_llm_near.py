@@ -102,3 +102,15 @@ def test_connected(spark, scratch):
     edges = [("c", "b"), ("b", "d"), ("d", "e"), ("e", "f"), ("z", "y"), ("q", "q"), ("f", "g"), ("a", "g")]
     got = sj.connected(spark.createDataFrame(edges, "a string, b string"), scratch).collect()
     assert {(r.a, r.b) for r in got} == {(x, "a") for x in "bcdefg"} | {("z", "y")}
+
+
+def test_repeated_rows_make_one_set_for_each_node(spark, scratch, monkeypatch):
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base), " ".join([*base[:59], "other"])]
+    rows = [(key, text) for key, text in zip((1, None), texts) for _ in range(300)]
+    counts = []
+    real = scratch.save
+    monkeypatch.setattr(scratch, "save", lambda df, name, **k: (out := real(df, name, **k), name == "sets" and counts.append(out.count()))[0])
+    got = sj.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), scratch, words=3, percent=80)
+    assert {(r.id, r.component_id) for r in got.collect()} == {(1, 1), (None, 1)} and got.count() == 600
+    assert counts == [2]

@@ -1,3 +1,4 @@
+import itertools
 import zlib
 
 import numpy as np
@@ -69,3 +70,19 @@ def test_filter_keeps_columns_and_empty_tables(spark, model):
     assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == good
     empty = spark.createDataFrame([], SCHEMA)
     assert fm.keep_good(empty, model).count() == 0 and fm.score(empty, model).count() == 0
+
+
+def test_features_of_a_text_do_not_depend_on_its_neighbours():
+    texts = [b"aa bb " + b"c" * 40, b"", b" \n ", b"one", "é ü".encode(), b"x" * 300 + b" y", b"short words only here", b""]
+    alone = [fm.features([t], np.array([-1])) for t in texts]
+    for order in itertools.permutations(range(len(texts)), 4):
+        index, value, at = fm.features([texts[i] for i in order], np.full(4, -1))
+        for k, i in enumerate(order):
+            assert (index[at[k] : at[k + 1]] == alone[i][0]).all() and np.allclose(value[at[k] : at[k + 1]], alone[i][1])
+
+
+def test_query_scores_alike_however_rows_are_dealt(spark):
+    docs, labels = (table(spark, FOLDER, t) for t in ("documents", "labels"))
+    model = fm.train(docs, labels)
+    one, seven = (fm.score(docs.repartition(n), model).orderBy("id").collect() for n in (1, 7))
+    assert one == seven

@@ -78,3 +78,22 @@ def test_sections_cover_the_document(spark):
     parts = ta.section_tokens(docs, ["text"], sectioned=["text"]).groupBy("id").sum("n_tokens").collect()
     whole = ta.section_tokens(docs, ["text"]).collect()
     assert {(r.id, r.n_tokens) for r in whole} == {tuple(r) for r in parts}
+
+
+def encoder():
+    from pathlib import Path
+
+    return ta._encoder(Path(ta.RANKS).read_bytes())
+
+
+@pytest.mark.parametrize("run", [" " * 60_000, "\n" * 60_001, " \t\u3000\r\n" * 11_000, "\x85\xa0" * 30_000])
+@pytest.mark.parametrize("around", [("", ""), ("ab", "cd"), ("a ", " 12"), ("", "!x"), ("x\x1c", "\x1cy"), ("'s", "'s")])
+def test_long_blank_runs_are_split_as_the_pattern_does(run, around):
+    text = around[0] + run + around[1]
+    assert (encoder().token_sizes(text) == encoder().sizes[encoder()._encoding.encode_ordinary(text)]).all()
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "a", "7", "!", " \n", "\u3000", "é"])
+def test_five_megabytes_of_one_kind(unit):
+    text = "x" + unit * (5_000_000 // len(unit.encode())) + "y"
+    assert encoder().token_sizes(text).sum() == len(text.encode())
