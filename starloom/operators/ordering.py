@@ -244,3 +244,43 @@ def number_rows(
         (F.element_at(offsets, F.col("_split") + 1) + position + 1).cast("long").alias(key),
         *df.columns,
     )
+
+
+def prefix_sums(
+    df: DataFrame,
+    value: str,
+    order: Sequence[str],
+    *,
+    scratch: Workspace,
+    by: Sequence[str] = (),
+    name: str = "before",
+) -> DataFrame:
+    """Add the sum of ``value`` over the rows that stand before a row, within ``by``, in an order that is total.
+
+    Rows are range-partitioned on the whole order and summed within each split; the totals of the splits before are
+    added. So a group with most of the rows is many splits. NULL is a group, and stands first in the order.
+    """
+    key = [F.asc(c) for c in (*by, *order)]
+    before = Window.partitionBy("_split", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # Written once: a second sampling may cut the splits elsewhere.
+    local = scratch.save(
+        df.repartitionByRange(_splits(df), *key)
+        .withColumn("_split", F.spark_partition_id())
+        .withColumn("_local", F.coalesce(F.sum(value).over(before), F.lit(0))),
+        "summed",
+    )
+    # One row for each split, or split and group.
+    totals = local.groupBy("_split", *by).agg(F.sum(value).alias("_total"))
+    earlier = Window.partitionBy(*by).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = scratch.save(
+        totals.select(
+            F.col("_split").alias("_of_split"),
+            *[F.col(c).alias(f"_of_{c}") for c in by],
+            F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"),
+        ),
+        "offsets",
+    )
+    same = F.col("_split") == F.col("_of_split")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return local.join(offsets, same).select(*df.columns, (F.col("_before") + F.col("_local")).alias(name))
