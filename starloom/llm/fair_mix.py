@@ -1,37 +1,36 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Every source's documents stand in a queue, shuffled by a digest of their id. A document's finish time is
+Every source's documents stand in a queue, shuffled by a digest of their id. A document's virtual finish time is
 the number of its source's words up to its end, divided by the source's weight: at any time, all queues
 that still have documents have sent words in proportion to their weights. A queue that ends is repeated,
-up to ``passes`` times, each document finishing later by its source's whole size. All documents in order
-of finish time, cut where the budget is spent, are the mix; of the documents on their way at the cut, the
-words sent so far count.
+up to ``passes`` times, each copy of a document finishing later by its source's whole size. All copies are
+range-sorted by finish time, whatever their source; the words before each are summed over the sort, and the mix
+ends where the sum reaches the budget. The copy that the budget ends in is sent in part.
 
-The budget is spent at the time at which the words sent by all queues, each ended ones in whole, add up to
-it. So every source gets its weight's share of the budget, or all its passes if that is less, and the others
-share what it leaves by weight.
+So each source gets its weight's share of the budget, within the size of a document, or all its passes if that is
+less, and the others share what it leaves by weight. ``target`` is that share, worked out from the sources' sizes; it
+is reported, and decides nothing.
 
-Nothing here depends on the number of rows of one source: sums are taken over parts of each queue first, so
-that no window holds a whole source. Only DataFrame functions are used.
+Both sums, over a queue and over all copies, come from sorted splits and their totals (``prefix_sums``), so no window
+holds a source, or rows that share an id. Finish times are whole numbers: words times the least common multiple of
+the weights over the weight. Only DataFrame functions are used.
 
 Sizes are words; a null text has none. A null source is a source, the last one. Documents without words are
-never taken. Null ids are shuffled like any other; rows that are equal in id and size share one place and
-are both counted, in any order. With no words at all, nothing is taken and all targets are 0.
+never taken. Null ids are shuffled like any other; rows that are equal in id stand in a queue by size and by their place in the
+table. With no words at all, nothing is taken and all targets are 0.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import lcm
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.llm.common import as_row, word_count
+from starloom.operators.ordering import prefix_sums
 from starloom.workspace import Workspace
 
-#: Leading hex digits of the shuffle digest that name a part of a queue: 4,096 parts of each source.
-PART_DIGITS = 3
-
-
 def source_weights(sizes: DataFrame, weights: Sequence[int]) -> DataFrame:
     """source, source_size, weight: sources by code point, null last, weigh as ``weights`` says, repeating.
 
@@ -69,21 +68,17 @@ def spent_at(sources: DataFrame, budget: int, passes: int) -> tuple[int, int]:
         words, weight = now
 
 
-def queued(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    """Adds ``before``: the words of the document's source that stand before it in its queue."""
-    rows = rows.withColumn("place", F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")))).withColumn(
-        "part", F.substring("place", 1, PART_DIGITS)
+def finish_times(rows: DataFrame, sources: DataFrame, weights: Sequence[int], passes: int, scratch: Workspace) -> DataFrame:
+    """A row for each copy of each document with words: row, source, size, turn and its virtual finish time."""
+    placed = rows.where("size > 0").withColumn("place", F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    queue = prefix_sums(placed, "size", ["place", "id", "size", "row"], by=["source"], scratch=scratch, name="before")
+    named = sources.select(F.col("source").alias("_source"), "source_size", "weight")
+    sent = queue.join(named, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
+        "turn", F.explode(F.sequence(F.lit(0), F.lit(passes - 1)))
     )
-    parts = rows.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
-    so_far = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("source", "part", F.coalesce(F.sum("part_size").over(so_far), F.lit(0)).alias("part_start"))
-    of_source = starts.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    of_source = of_source.withColumnRenamed("source", "_source").withColumnRenamed("part", "_part")
-    # A part is one 4,096th of a source, whatever its size, and the window's rows have no texts.
-    in_part = Window.partitionBy("source", "part").orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    local = rows.withColumn("local", F.coalesce(F.sum("size").over(in_part), F.lit(0)))
-    joined = local.join(of_source, F.col("source").eqNullSafe(F.col("_source")) & (F.col("part") == F.col("_part")))
-    return joined.withColumn("before", F.col("part_start") + F.col("local"))
+    until = F.col("turn") * F.col("source_size") + F.col("before") + F.col("size")
+    per_word = F.call_function("div", F.lit(lcm(*map(int, weights))), F.col("weight"))
+    return sent.select("row", "source", "size", "turn", (until * per_word).alias("finish"))
 
 
 def fair_mix(
@@ -97,51 +92,52 @@ def fair_mix(
     text_col: str = "text",
     source_col: str = "source",
     size: Column | None = None,
-    copy: Column | None = None,
+    key: Column | None = None,
 ) -> DataFrame:
-    """A row for every document: id, copy, source, size, source_size, target, taken, turns.
+    """A row for every document: id, row, source, size, source_size, target, taken, turns, key.
 
-    ``turns`` has for each pass the number of the document's words in the mix, 0 if that is full before, and
-    its finish time; ``taken`` adds them up. ``size`` replaces the word count; ``copy`` tells rows with one
-    id apart.
+    ``turns`` has, for each copy in the mix, its finish time and the number of its words sent; ``taken`` adds these up.
+    ``row`` tells all rows apart. ``size`` replaces the word count, and ``key`` is carried along.
     """
     rows = scratch.save(
         docs.select(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             (word_count(text_col) if size is None else size).cast("long").alias("size"),
-            (F.lit(1) if copy is None else copy).alias("copy"),
+            F.monotonically_increasing_id().alias("row"),
+            (F.lit(None) if key is None else key).cast("binary").alias("key"),
         ),
         "sizes",
     )
     sources = scratch.save(source_weights(rows, weights), "sources")
     total = sources.agg(F.sum("source_size")).first()[0] or 0
-    words, weight = spent_at(sources, int(total * budget_share), passes)
+    budget = int(total * budget_share)
+    copies = finish_times(rows, sources, weights, passes, scratch)
+    # The mix: one sort of all copies, cut where the budget is spent. Equal times: by source, then by place in the table.
+    order = ["finish", "source", "turn", "row"]
+    timed = prefix_sums(copies, "size", order, scratch=scratch, name="before").where(F.col("before") < budget)
+    sent = F.least(F.col("size"), F.lit(budget) - F.col("before")).alias("sent")
+    turns = timed.groupBy(F.col("row").alias("_row")).agg(F.sort_array(F.collect_list(F.struct("finish", sent))).alias("turns"))
+
+    words, weight = spent_at(sources, budget, passes)
     most = passes * F.col("source_size")
     ends = F.lit(True) if weight == 0 else _ends(passes, words, weight)
     share = F.lit(0.0) if weight == 0 else F.lit(float(words)) * F.col("weight") / F.lit(float(weight))
     aimed = sources.select(
-        F.col("source").alias("_source"),
-        "source_size",
-        "weight",
-        F.when(ends, most.cast("double")).otherwise(share).alias("target"),
+        F.col("source").alias("_source"), "source_size", F.when(ends, most.cast("double")).otherwise(share).alias("target")
     )
-    placed = queued(rows, aimed)
-    turns = []
-    for i in range(passes):
-        start = F.lit(i) * F.col("source_size") + F.col("before")
-        sent = F.greatest(F.lit(0), F.least(F.col("size"), F.round("target").cast("long") - start))
-        finish = (start + F.col("size")) / F.col("weight")
-        turns.append(F.struct(sent.cast("long").alias("sent"), finish.alias("finish")))
-    return placed.select(
+    whole = rows.join(aimed, F.col("source").eqNullSafe(F.col("_source"))).join(turns, F.col("row") == F.col("_row"), "left")
+    none = F.array().cast("array<struct<finish:bigint,sent:bigint>>")
+    return whole.withColumn("turns", F.coalesce("turns", none)).select(
         "id",
-        "copy",
+        "row",
         "source",
         "size",
         "source_size",
         "target",
-        F.aggregate(F.array(*turns), F.lit(0).cast("long"), lambda a, x: a + x["sent"]).alias("taken"),
-        F.array(*turns).alias("turns"),
+        F.aggregate("turns", F.lit(0).cast("long"), lambda a, x: a + x["sent"]).alias("taken"),
+        "turns",
+        "key",
     )
 
 
@@ -158,24 +154,16 @@ def mixed(
     """The mix itself, globally sorted by finish time: whole documents, one row for each time one is taken.
 
     A document that is on its way when the budget is spent is let through. Texts are shuffled to meet what was
-    decided without them, and sorted; nothing else moves them.
+    decided without them, and sorted; nothing else moves them. Rows meet by a digest of all their columns: rows that are
+    equal in everything are reduced to one before the shuffle, and each copy taken of any of them is that one again.
     """
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     sized = docs.select(
-        as_row(docs), key.alias("_key"), F.col(source_col).alias("_source_of"), word_count(text_col).alias("_size")
+        as_row(docs), F.col(id_col).alias("_id"), F.col(source_col).alias("_source_of"), word_count(text_col).alias("_size")
     )
-    copy = Window.partitionBy("_key").orderBy(F.col("_source_of").asc_nulls_last(), "_size")
-    numbered = sized.withColumn("_copy", F.row_number().over(copy))
+    digest = F.unhex(F.md5(F.to_json("_row", {"ignoreNullFields": "false"})))
     placed = fair_mix(
-        numbered,
-        scratch,
-        weights,
-        id_col="_key",
-        source_col="_source_of",
-        size=F.col("_size"),
-        copy=F.col("_copy"),
-        **options,
+        sized, scratch, weights, id_col="_id", source_col="_source_of", size=F.col("_size"), key=digest, **options
     )
-    turns = placed.select(F.col("id").alias("_key"), F.col("copy").alias("_copy"), F.inline("turns"))
-    taken = turns.where("sent > 0").drop("sent")
-    return numbered.join(taken, ["_key", "_copy"]).orderBy("finish", "_key", "_copy").select("_row.*")
+    taken = placed.select(F.col("key").alias("_key"), "row", F.inline("turns")).drop("sent")
+    one = sized.groupBy(digest.alias("_key")).agg(F.first("_row").alias("_row"), F.first("_source_of").alias("_source_of"))
+    return one.join(taken, "_key").orderBy("finish", "_source_of", "row").select("_row.*")

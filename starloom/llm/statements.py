@@ -38,15 +38,18 @@ t AS (
          CASE WHEN c.k IS NULL OR o.k < c.k THEN 3.0::DOUBLE * source_size
               ELSE c.words::DOUBLE * weight / c.rest::DOUBLE END AS target
   FROM o LEFT JOIN c ON true),
-p AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, round(t.target)::BIGINT AS cut,
-         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(d.doc_id::VARCHAR, '')), d.doc_id, d.size
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size::BIGINT AS size, source_size, target,
-       (greatest(0, least(size, cut - start)) + greatest(0, least(size, cut - start - source_size))
-        + greatest(0, least(size, cut - start - 2 * source_size)))::BIGINT AS taken
-FROM p
+q AS (
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, t.weight,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(d.doc_id::VARCHAR, '')), d.doc_id, d.size
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS until
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+f AS (
+  SELECT doc_id, size, sum(size) OVER (ORDER BY (turn * source_size + until) * (10 // weight), source NULLS FIRST, turn, doc_id
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before
+  FROM (SELECT *, unnest(range(3)) AS turn FROM q WHERE size > 0)),
+k AS (
+  SELECT doc_id, sum(greatest(0, least(size, (SELECT sum(size) FROM d) - before)))::BIGINT AS taken FROM f GROUP BY doc_id)
+SELECT q.doc_id, q.size::BIGINT AS size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM q LEFT JOIN k USING (doc_id)
 """
 
 
