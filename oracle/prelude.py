@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 
 CHANGE_DAY = "date '1998-07-01'"
-AS_OF = "date '2001-08-02'"
+AS_OF = "(select max(o_orderdate)::date + 1 from orders)"
 
 TABLES: dict[str, str] = {}
 

@@ -651,7 +651,13 @@ SQL["business_rules"] = """
     union all select 'online with employee, or in store without',
            count_if((channel = 'in-store') = (employee_id is null)) from t
     union all select 'order before its store opened', count_if(order_date < opened_date) from t
-    union all select 'order before the customer signed up', count_if(order_date < signup_date) from t"""
+    union all select 'order before the customer signed up', count_if(order_date < signup_date) from t
+    union all select 'raw order without lines', count(*) from orders where o_orderkey not in (select l_orderkey from lineitem)
+    union all select 'raw order without customer', count(*) from orders where o_custkey not in (select c_custkey from customer)
+    union all select 'raw line without order', count(*) from lineitem where l_orderkey not in (select o_orderkey from orders)
+    union all select 'raw line without product', count(*) from lineitem where l_partkey not in (select p_partkey from part)
+    union all select 'raw customer without nation', count(*) from customer
+              where c_nationkey not in (select n_nationkey from nation join region on n_regionkey = r_regionkey)"""
 
 SQL["distribution_sanity"] = f"""
     with s as (select year(order_date) as y, count_if(month(order_date) = 10) as o,

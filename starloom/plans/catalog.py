@@ -22,7 +22,7 @@ from starloom.plans import (
     validation,
 )
 from starloom.plans.warehouse import StoredSourceWarehouse, Warehouse
-from starloom.sources import csv_io
+from starloom.sources import csv_io, orderdata
 from starloom.sources.contracts import WAREHOUSE_TABLES
 from starloom.sources.snapshot import SnapshotStore
 
@@ -216,7 +216,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "warehouse_reload": warehouse_reload,
     # Revenue trends
     "monthly_trend": trends.monthly_trend,
-    "same_store_sales": lambda w: trends.same_store_sales(w, w.dates.as_of),
+    "same_store_sales": lambda w: trends.same_store_sales(w, w.as_of),
     "category_monthly": trends.category_monthly,
     "cagr": trends.cagr,
     "cagr_ttm": trends.cagr_ttm,
@@ -239,8 +239,8 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "monthly_pareto": pareto.monthly_pareto,
     "abc_movement": pareto.abc_movement,
     # Customers
-    "rfm": lambda w: customers.rfm(w, w.dates.as_of),
-    "rfm_summary": lambda w: customers.rfm_summary(w, w.dates.as_of),
+    "rfm": lambda w: customers.rfm(w, w.as_of),
+    "rfm_summary": lambda w: customers.rfm_summary(w, w.as_of),
     "cohort_long": customers.cohort_retention,
     "cohort_triangle": customers.cohort_triangle,
     # Categories, cancellations, attribution
@@ -262,6 +262,6 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "reconcile_store": lambda w: validation.reconcile_store(w, w.source()),
     "reconcile_month": lambda w: validation.reconcile_month(w, w.source()),
     "constraint_report": lambda w: validation.source_constraints(w.source()),
-    "business_rules": lambda w: validation.business_rules(w.source()),
+    "business_rules": lambda w: validation.business_rules(w.source(), orderdata.unmapped(w.raw)),
     "distribution_sanity": lambda w: validation.distribution_sanity(w, w.source()),
 }

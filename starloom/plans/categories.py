@@ -14,26 +14,19 @@ LEVELS = ("parent_category_name", "category_name")
 def category_rollup(star: Star) -> DataFrame:
     """Leaf categories, subtotals per parent, and the grand total.
 
-    Lines are first reduced to one row per category and order. The three levels then
-    expand these rows and not the lines, also for the distinct count of orders.
+    Added up from monthly partials; each level has a count of orders of its own there.
     """
-    per_order = (
-        sales(star)
-        .join(star.dim_product.select("product_key", *LEVELS), "product_key")
-        .groupBy(*LEVELS, "order_id")
-        .agg(
-            F.sum("net_amount").alias("net"),
-            F.sum("profit_amount").alias("profit"),
-            F.sum("quantity").alias("quantity"),
-        )
-    )
-    rolled = per_order.rollup(*LEVELS).agg(
+    level = F.grouping_id()
+    rolled = star.month_partials.rollup(*LEVELS).agg(
         F.grouping(LEVELS[0]).cast("int").alias("is_grand_total"),
         F.grouping(LEVELS[1]).cast("int").alias("is_subtotal"),
         F.sum("net").alias("net_revenue"),
         F.sum("profit").alias("profit"),
         F.sum("quantity").alias("units"),
-        F.countDistinct("order_id").alias("orders"),
+        F.when(level == 0, F.sum("category_orders"))
+        .when(level == 1, F.sum("parent_orders"))
+        .otherwise(F.sum("orders"))
+        .alias("orders"),
     )
     return (
         rolled.orderBy(

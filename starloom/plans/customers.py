@@ -18,10 +18,13 @@ def rfm(star: Star, as_of: date) -> DataFrame:
     An order belongs to one customer version, so orders are counted per version and
     added up; ties are broken by customer id.
     """
-    per_version = sales(star).groupBy("customer_key").agg(
-        F.max("date_key").alias("last_key"),
-        F.countDistinct("order_id").alias("orders"),
-        F.sum("net_amount").alias("spent"),
+    per_order = sales(star).groupBy("customer_key", "order_id").agg(
+        F.max("date_key").alias("last_key"), F.sum("net_amount").alias("spent")
+    )
+    per_version = per_order.groupBy("customer_key").agg(
+        F.max("last_key").alias("last_key"),
+        F.count("*").alias("orders"),
+        F.sum("spent").cast("decimal(22,2)").alias("spent"),
     )
     per_customer = (
         per_version.join(star.dim_customer.select("customer_key", "customer_id"), "customer_key")

@@ -11,6 +11,8 @@ from starloom.functions import labels
 from starloom.functions.exprs import any_changed
 from starloom.operators import digests, dimensions as dims, facts, history
 from starloom.operators.checks import stack_rows
+from starloom.operators.sidecars import by_folder
+from starloom.plans.star import stored_partials
 from starloom.plans.validation import validate
 from starloom.plans.warehouse import StoredSourceWarehouse
 from starloom.sources.snapshot import SnapshotStore, month_of
@@ -46,20 +48,10 @@ def _changes(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def stored_leaves(store: SnapshotStore, folders: list[str], scratch: Workspace) -> DataFrame:
-    """Leaves of the digest tree of these folders of the fact, with the folder; those without any are read."""
-    known = store.read("fact_digest").filter(F.col("folder").isin(*folders))
-    with_leaves = {r[0] for r in known.select("folder").distinct().collect()}  # a folder is a month
-    missing = [f for f in folders if f not in with_leaves]
-    made = [known]
-    while missing:
-        # Folders of different months, told apart by the month of their rows.
-        by_month = {month_of(f): f for f in reversed(missing)}
-        missing = [f for f in missing if f not in by_month.values()]
-        rows = facts.with_month(store.scan("fact_sales", list(by_month.values())))
-        named = store.spark.createDataFrame(list(by_month.items()), f"{facts.MONTH} int, folder string")
-        found = digests.leaves(rows, [*facts.GRAIN, *_told(rows)]).join(named, facts.MONTH)
-        made.append(found.select("folder", *digests.LEAF, *digests.DIGEST))
-    return scratch.save(stack_rows(made), "leaves")
+    """Leaves of the digest tree of these folders of the fact; those without any are read."""
+    return by_folder(
+        store, "fact_digest", folders, lambda rows: digests.leaves(rows, [*facts.GRAIN, *_told(rows)]), scratch
+    )
 
 
 def changed_rows(store: SnapshotStore, new: DataFrame, scratch: Workspace) -> tuple[DataFrame, DataFrame]:
@@ -151,6 +143,8 @@ def refresh(source: StoredSourceWarehouse, store: SnapshotStore, as_of: date) ->
         staged["fact_sales"] += store.stage("fact_sales", facts.merge_months(affected, incoming))
     fresh["fact_sales"] = store.scan("fact_sales", staged["fact_sales"])
     staged["fact_digest"] = store.stage("fact_digest", stored_leaves(store, staged["fact_sales"], scratch))
+    partials = stored_partials(store, scratch, folders=staged["fact_sales"], product=fresh["dim_product"])
+    staged["fact_partial"] = store.stage("fact_partial", partials)
 
     report = validate(SimpleNamespace(**fresh, scratch=scratch), source.source(), first, last)
     failed = report.where(f"result != '{labels.PASS}'").collect()  # 54 rows at most

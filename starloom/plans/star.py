@@ -7,6 +7,8 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions.labels import CANCELLED
+from starloom.operators.sidecars import by_folder
+from starloom.operators.summaries import month_partials, paths_digest
 from starloom.sources.snapshot import SnapshotStore
 from starloom.workspace import Workspace
 
@@ -19,6 +21,26 @@ class Star(Protocol):
     dim_product: DataFrame
     dim_customer: DataFrame
     fact_sales: DataFrame
+    #: What ``operators.summaries.month_partials`` makes of the fact.
+    month_partials: DataFrame
+
+
+def stored_partials(
+    store: SnapshotStore, scratch: Workspace, *, folders: list[str] | None = None, product: DataFrame | None = None
+) -> DataFrame:
+    """Monthly partials of a stored fact. Those kept beside it are read, and made for the folders that have none.
+
+    Where products lie at other paths than when they were made, all are made again.
+    """
+    folders = store.folders("fact_sales") if folders is None else folders
+    product = store.read("dim_product") if product is None else product
+    now = paths_digest(product).first()["digest"]
+    known = store.read("fact_partial").filter(F.col("paths_digest") == now)
+
+    def make(fact: DataFrame) -> DataFrame:
+        return month_partials(fact, product).withColumn("paths_digest", F.lit(now).cast("long"))
+
+    return by_folder(store, "fact_partial", folders, make, scratch, known=known)
 
 
 class StoredStar:
@@ -28,6 +50,10 @@ class StoredStar:
         self.scratch = scratch or Workspace(store.spark)
         self._store = store
 
+    @property
+    def month_partials(self) -> DataFrame:
+        return stored_partials(self._store, self.scratch)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith(("dim_", "fact_")):
             return self._store.read(name)

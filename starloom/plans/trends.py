@@ -7,24 +7,17 @@ from datetime import date
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.exprs import growth_pct, month_of, pct, rounded_ratio
-from starloom.plans.star import Star, day_of_key, month_of_key, sales
+from starloom.operators.facts import MONTH
+from starloom.plans.star import Star, day_of_key, month_of_key, month_of_month_key, sales
 
 # Windows over all months or years are bounded by the calendar.
 
 
 def monthly_trend(star: Star) -> DataFrame:
     """Measures per month with year-to-date totals, growth and a moving average."""
-    # An order has one date, so the distinct orders of the days add up to the month.
-    daily = sales(star).groupBy("date_key").agg(
-        F.sum("net_amount").alias("net"),
-        F.sum("gross_amount").alias("gross"),
-        F.sum("profit_amount").alias("profit"),
-        F.sum("quantity").alias("quantity"),
-        F.countDistinct("order_id").alias("orders"),
-    )
+    months = star.dim_date.select(month_of(F.col("full_date")).alias("month_start"), "month_name", "year").distinct()
     monthly = (
-        daily.join(star.dim_date, "date_key")
-        .groupBy(month_of(F.col("full_date")).alias("month_start"), "month_name", "year")
+        star.month_partials.groupBy(month_of_month_key(F.col(MONTH)).alias("month_start"))
         .agg(
             F.sum("net").alias("net_revenue"),
             F.sum("gross").alias("gross_revenue"),
@@ -32,6 +25,7 @@ def monthly_trend(star: Star) -> DataFrame:
             F.sum("quantity").alias("quantity"),
             F.sum("profit").alias("profit"),
         )
+        .join(months, "month_start")
     )
     to_date = Window.partitionBy("year").orderBy("month_start")
     before, year_ago = (f"lag(net_revenue, {n}) OVER (ORDER BY month_start)" for n in (1, 12))
@@ -83,14 +77,12 @@ def same_store_sales(star: Star, as_of: date) -> DataFrame:
 def category_monthly(star: Star) -> DataFrame:
     path = ["category_name", "parent_category_name", "category_path"]
     return (
-        sales(star)
-        .join(star.dim_product.select("product_key", *path), "product_key")
-        .groupBy(month_of_key(F.col("date_key")).alias("month_start"), *path)
+        star.month_partials.groupBy(month_of_month_key(F.col(MONTH)).alias("month_start"), *path)
         .agg(
-            F.sum("net_amount").alias("category_revenue"),
-            F.sum("profit_amount").alias("category_profit"),
+            F.sum("net").alias("category_revenue"),
+            F.sum("profit").alias("category_profit"),
             F.sum("quantity").alias("category_units"),
-            F.countDistinct("order_id").alias("category_orders"),
+            F.sum("path_orders").alias("category_orders"),
         )
         .orderBy("month_start", F.desc("category_revenue"), "category_path")
     )

@@ -495,8 +495,8 @@ def source_constraints(source: Source) -> DataFrame:
     return constraint_report(dict(source), SOURCE_TABLES).orderBy("table_name", "rule")
 
 
-def business_rules(source: Source) -> DataFrame:
-    """Rules that no key or check can express, with the number of violations."""
+def business_rules(source: Source, unmapped: DataFrame | None = None) -> DataFrame:
+    """Rules that no key or check can express, with the number of violations; ``unmapped`` has those of the raw data."""
     orders, items, payments = source["orders"], source["order_items"], source["payments"]
     lines = items.groupBy("order_id").agg(
         F.sum(F.col("quantity") * F.col("unit_price") - F.col("discount")).alias("lines_total")
@@ -534,7 +534,8 @@ def business_rules(source: Source) -> DataFrame:
         "before_signup": "order before the customer signed up",
     }
     rows = [F.struct(F.lit(n).alias("rule"), F.col(c).alias("violations")) for c, n in names.items()]
-    return checked.select(F.explode(F.array(*rows)).alias("r")).select("r.*").orderBy("rule")
+    found = checked.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return (found if unmapped is None else found.unionByName(unmapped)).orderBy("rule")
 
 
 def distribution_sanity(star: Star, source: Source) -> DataFrame:

@@ -9,14 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 from threading import RLock
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.util import inheritable_thread_target
 
 from starloom.operators import dimensions as dims, facts, history
 from starloom.operators.ordering import number_rows
+from starloom.operators.summaries import month_partials
 from starloom.sources import orderdata
 from starloom.sources.contracts import LOAD_ORDER, SOURCE_TABLES
 from starloom.sources.snapshot import SnapshotStore
@@ -25,10 +26,13 @@ from starloom.workspace import Workspace
 
 @dataclass(frozen=True)
 class WarehouseDates:
-    """Dates that replace today's date, so that a build can be repeated."""
+    """Dates that replace today's date, so that a build can be repeated.
+
+    Without ``as_of``, reports are of the day after the last order.
+    """
 
     relocation: date = date(1998, 7, 1)
-    as_of: date = date(2001, 8, 2)
+    as_of: date | None = None
 
 
 MOVE_EVERY, MAIL_EVERY = 10, 25
@@ -160,15 +164,29 @@ class Warehouse:
 
     # Star tables
 
+    def _order_dates(self) -> Row:
+        day = F.col("o_orderdate").cast("date")
+        return self.raw("orders").agg(F.min(day), F.max(day)).first()
+
+    @built_once
+    def order_dates(self) -> tuple[date, date]:
+        """The dates of the first and the last order."""
+        first, last = self._order_dates()
+        if first is None:
+            raise ValueError("there are no orders to take dates from")
+        return first, last
+
     @built_once
     def calendar(self) -> tuple[date, date]:
         """The whole years from the first to the last order, so that no order is off the calendar."""
-        day = F.col("o_orderdate").cast("date")
-        first, last = self.raw("orders").agg(F.min(day), F.max(day)).first()
-        if first is None:
-            raise ValueError("there are no orders to take a calendar from")
+        first, last = self.order_dates
         return date(first.year, 1, 1), date(last.year, 12, 31)
 
+    @built_once
+    def as_of(self) -> date:
+        """The day that reports are of."""
+        return self.dates.as_of or self.order_dates[1] + timedelta(days=1)
+
     @built_once
     def dim_date(self) -> DataFrame:
         return self.scratch.save(dims.build_dim_date(self.spark, *self.calendar), "dim_date")
@@ -261,6 +279,10 @@ class Warehouse:
             self.facts_of(self.keyed_items, self.orders), "fact_sales", (facts.MONTH,)
         )
 
+    @built_once
+    def month_partials(self) -> DataFrame:
+        return self.scratch.save(month_partials(self.fact_sales, self.dim_product), "month_partials")
+
     def star(self) -> dict[str, DataFrame]:
         names = ["dim_date", "dim_store", "dim_employee", "dim_product", "dim_customer", "fact_sales"]
         self.together(*names)
@@ -287,12 +309,8 @@ class StoredSourceWarehouse(Warehouse):
     def source(self) -> dict[str, DataFrame]:
         return {t: self.__dict__[t] for t in LOAD_ORDER}
 
-    @built_once
-    def calendar(self) -> tuple[date, date]:
-        first, last = self.orders.agg(F.min("order_date"), F.max("order_date")).first()
-        if first is None:
-            raise ValueError("there are no orders to take a calendar from")
-        return date(first.year, 1, 1), date(last.year, 12, 31)
+    def _order_dates(self) -> Row:
+        return self.orders.agg(F.min("order_date"), F.max("order_date")).first()
 
 
 _open: dict[tuple[str, str], Warehouse] = {}

@@ -346,7 +346,7 @@ WAREHOUSE_TABLES = {
 # Parents before children: a table is loaded after the tables it refers to.
 LOAD_ORDER = list(SOURCE_TABLES)
 
-# Kept beside the fact: digests of its rows by folder, for the next load (see operators.digests).
+# Kept beside the fact, by its folders: digests for the next load and monthly partials (see operators.digests, operators.summaries).
 SIDE_TABLES = {
     t.name: t
     for t in [
@@ -362,5 +362,25 @@ SIDE_TABLES = {
             ),
             "folder",
         ),
+        TableContract(
+            "fact_partial",
+            (
+                Column("folder", "string", required=True),
+                Column("order_month", "int", required=True),
+                Column("parent_category_name", "string"),
+                Column("category_name", "string"),
+                Column("category_path", "string"),
+                Column("net", "decimal(22,2)", required=True),
+                Column("gross", "decimal(22,2)", required=True),
+                Column("profit", "decimal(22,2)", required=True),
+                Column("quantity", "bigint", required=True),
+                Column("path_orders", "bigint", required=True),
+                Column("category_orders", "bigint", required=True),
+                Column("parent_orders", "bigint", required=True),
+                Column("orders", "bigint", required=True),
+                Column("paths_digest", "bigint", required=True),
+            ),
+            "folder",
+        ),
     ]
 }

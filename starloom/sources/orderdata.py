@@ -6,6 +6,7 @@ rounded once per column.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
 
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.functions.exprs import money
 from starloom.functions.labels import CANCELLED, ONLINE, PAID_STATUSES
+from starloom.operators.checks import stack_rows
 from starloom.operators.ordering import number_rows
 from starloom.sources.contracts import SOURCE_TABLES
 from starloom.workspace import Workspace
@@ -225,3 +227,23 @@ def payments(orders: DataFrame, scratch: Workspace) -> DataFrame:
         (noon + F.expr("INTERVAL 12 HOURS")).alias("paid_at"),
     )
     return _conform(number_rows(df, "payment_id", ["order_id"], scratch=scratch), "payments")
+
+
+def unmapped(raw: Callable[[str], DataFrame]) -> DataFrame:
+    """Rows of the order data that the mapping leaves out, as (rule, violations): joins drop what has no partner."""
+    orders, lines = raw("orders"), raw("lineitem")
+    places = raw("nation").join(raw("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
+
+    def without(rows: DataFrame, key: str, others: DataFrame, target: str, rule: str) -> DataFrame:
+        lost = rows.select(F.col(key)).join(others.select(F.col(target)), F.col(key) == F.col(target), "left_anti")
+        return lost.agg(F.lit(rule).alias("rule"), F.count("*").alias("violations"))
+
+    return stack_rows(
+        [
+            without(orders, "o_orderkey", lines, "l_orderkey", "raw order without lines"),
+            without(orders, "o_custkey", raw("customer"), "c_custkey", "raw order without customer"),
+            without(lines, "l_orderkey", orders, "o_orderkey", "raw line without order"),
+            without(lines, "l_partkey", raw("part"), "p_partkey", "raw line without product"),
+            without(raw("customer"), "c_nationkey", places, "n_nationkey", "raw customer without nation"),
+        ]
+    )
