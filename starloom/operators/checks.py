@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.functions import labels
 
@@ -36,49 +37,122 @@ def missing_parents(
     return held.join(parent.select(F.col(target).alias("_key")), "_key", "left_anti")
 
 
-def constraint_report(tables: dict[str, DataFrame], contracts) -> DataFrame:
-    """Violations of every declared rule: NOT NULL, length, check, uniqueness, reference.
+@dataclass(frozen=True)
+class _Rule:
+    """A declared rule and where its violations turn up: a domain of values, and the role in it."""
+
+    table: str
+    text: str
+    domain: int
+    role: int
+
 
-    All row-local rules of a table share one pass.
+def _as_value(columns: Sequence[str]) -> Column:
+    """The key of a row as text; null if any part is."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    return F.when(complete, F.to_json(F.array(*[F.col(c).cast("string") for c in columns])))
+
+
+def _tagged_values(tables: dict[str, DataFrame], contracts) -> tuple[DataFrame, list[_Rule]]:
+    """domain, value, role rows of all tables, and the rules in the order of the tables.
+
+    A domain is a key of a table, with role 0 for the rows that hold it and one further role for each column
+    that refers to it. Every row-local rule is a domain of its own, numbered downwards from -1, with a value only for the rows
+    that break it: their key. Each table is read once.
     """
-    parts = []
-    for name, df in tables.items():
+    domains: dict[tuple[str, tuple[str, ...]], int] = {}
+    roles: dict[int, int] = {}
+    rules: list[_Rule] = []
+    entries: dict[str, list[tuple[int, Column, int]]] = {name: [] for name in tables}
+
+    def domain_of(table: str, columns: tuple[str, ...]) -> int:
+        if (table, columns) not in domains:
+            domains[table, columns] = len(domains)
+            entries[table].append((domains[table, columns], _as_value(columns), 0))
+        return domains[table, columns]
+
+    locals_ = 0
+    for name in tables:
         contract = contracts[name]
-        rules = {f"not null {c}": F.col(c).isNull() for c in contract.required}
-        rules |= {f"length {c} <= {n}": F.length(c) > n for c, n in contract.lengths.items()}
-        rules |= {f"check {c}": ~F.expr(c) for c in contract.checks}
-        local = df.agg(*[count_where(v).alias(f"r{i}") for i, v in enumerate(rules.values())])
-        parts.append(
-            local.select(
-                F.explode(
-                    F.array(
-                        *[
-                            F.struct(F.lit(rule).alias("rule"), F.col(f"r{i}").alias("violations"))
-                            for i, rule in enumerate(rules)
-                        ]
-                    )
-                ).alias("v")
-            ).select(F.lit(name).alias("table_name"), "v.*")
-        )
+        broken = {f"not null {c}": F.col(c).isNull() for c in contract.required}
+        broken |= {f"length {c} <= {n}": F.length(c) > n for c, n in contract.lengths.items()}
+        broken |= {f"check {c}": ~F.expr(c) for c in contract.checks}
+        held = F.coalesce(F.col(contract.key).cast("string"), F.lit("(null)"))
+        for text, condition in broken.items():
+            locals_ += 1
+            rules.append(_Rule(name, text, -locals_, 1))
+            entries[name].append((-locals_, F.when(condition, held), 1))
         for keys in [(contract.key,), *contract.unique]:
-            parts.append(
-                duplicate_keys(df, keys).agg(F.count("*").alias("violations")).select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(f"unique {', '.join(keys)}").alias("rule"),
-                    "violations",
-                )
-            )
+            rules.append(_Rule(name, f"unique {', '.join(keys)}", domain_of(name, tuple(keys)), 0))
         for ref in contract.foreign:
             if ref.table in tables:
-                orphans = missing_parents(df, ref.column, tables[ref.table], ref.target)
-                parts.append(
-                    orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations")).select(
-                        F.lit(name).alias("table_name"),
-                        F.lit(f"{ref.column} in {ref.table}").alias("rule"),
-                        "violations",
-                    )
-                )
-    return stack_rows(parts)
+                domain = domain_of(ref.table, (ref.target,))
+                roles[domain] = roles.get(domain, 0) + 1
+                rules.append(_Rule(name, f"{ref.column} in {ref.table}", domain, roles[domain]))
+                entries[name].append((domain, F.col(ref.column).cast("string"), roles[domain]))
+
+    def exploded(name: str) -> DataFrame:
+        tagged = [
+            F.when(value.isNotNull(), F.struct(
+                F.lit(domain).alias("domain"), value.alias("value"), F.lit(role).alias("role")
+            ))
+            for domain, value, role in entries[name]
+        ]
+        return tables[name].select(F.explode(F.array_compact(F.array(*tagged))).alias("v")).select("v.*")
+
+    return stack_rows([exploded(name) for name in tables]), rules
+
+
+def violating_values(tables: dict[str, DataFrame], contracts) -> tuple[DataFrame, list[_Rule]]:
+    """domain, role, value, rows: each value that breaks a rule, with the rows it stands for.
+
+    All keys and references of all tables meet in one exchange by (domain, value), counted on the map side, so a
+    value held by a third of the rows is one row for each task. A repeated key counts once.
+    """
+    tagged, rules = _tagged_values(tables, contracts)
+    most = max(r.role for r in rules)
+    met = tagged.groupBy("domain", "value").agg(
+        *[F.count_if(F.col("role") == i).alias(f"n{i}") for i in range(most + 1)]
+    )
+    repeated = F.when(F.col("n0") > 1, F.lit(1).cast("long")).otherwise(0)
+    found = [(0, repeated), *[(i, F.when(F.col("n0") == 0, F.col(f"n{i}")).otherwise(0)) for i in range(1, most + 1)]]
+    slots = F.array(*[F.struct(F.lit(i).alias("role"), n.alias("rows")) for i, n in found])
+    bad = met.select("domain", "value", F.explode(F.filter(slots, lambda x: x["rows"] > 0)).alias("b"))
+    return bad.select("domain", F.col("b.role").alias("role"), "value", F.col("b.rows").alias("rows")), rules
+
+
+def _rule_rows(spark, rules: Sequence[_Rule]) -> DataFrame:
+    rows = [(r.table, r.text, r.domain, r.role) for r in rules]
+    return spark.createDataFrame(rows, "table_name string, rule string, domain int, role int")
+
+
+def constraint_report(tables: dict[str, DataFrame], contracts) -> DataFrame:
+    """Violations of every declared rule: NOT NULL, length, check, uniqueness, reference.
+
+    Rows count for a row rule and for a reference without its target, repeated values for uniqueness.
+    """
+    bad, rules = violating_values(tables, contracts)
+    counted = bad.groupBy("domain", "role").agg(F.sum("rows").alias("violations"))
+    return _rule_rows(bad.sparkSession, rules).join(counted, ["domain", "role"], "left").select(
+        "table_name", "rule", F.coalesce("violations", F.lit(0)).cast("long").alias("violations")
+    )
+
+
+def constraint_samples(tables: dict[str, DataFrame], contracts, k: int = 10) -> DataFrame:
+    """Up to ``k`` offending values of every broken rule, the same in every run: those of the least MD5 digests.
+
+    For a row rule the value is the row's key, else the repeated or missing value. The least of a rule merge from
+    the least of each task, so a rule that every row breaks sends ``k`` rows from each task.
+    """
+    bad, rules = violating_values(tables, contracts)
+    order = Window.partitionBy("domain", "role").orderBy("_digest", "value")
+    least = bad.withColumn("_digest", F.md5("value")).withColumn("place", F.row_number().over(order))
+    kept = least.filter(F.col("place") <= k)
+    return _rule_rows(bad.sparkSession, rules).join(kept, ["domain", "role"]).select(
+        "table_name", "rule", "place", "value", "rows"
+    )
 
 
 def reconcile(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions.exprs import pct
-from starloom.operators.baskets import association_rules
+from starloom.operators.baskets import PAIR_BUCKETS, association_rules
 from starloom.plans.star import Star, sales
 
 CATEGORY_MIN_PAIR = 50
@@ -39,7 +39,9 @@ def product_rules(star: Star, min_pair: int = PRODUCT_MIN_PAIR, k: int = 20) ->
         F.col("order_id").alias("basket"), F.col("product_key").alias("item")
     )
     best = (
-        association_rules(baskets, min_pair, scratch=star.scratch, support_digits=4)
+        association_rules(
+            baskets, min_pair, scratch=star.scratch, support_digits=4, buckets=PAIR_BUCKETS
+        )
         .orderBy(F.desc("lift"), "item_a", "item_b")
         .limit(k)
     )

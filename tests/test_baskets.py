@@ -6,7 +6,7 @@ from itertools import combinations
 
 import pytest
 
-from starloom.operators.baskets import association_rules, item_counts, pair_counts
+from starloom.operators.baskets import association_rules, item_counts, pair_counts, pairs_screened
 
 SCHEMA = "basket long, item long"
 
@@ -28,10 +28,11 @@ def brute_force(rows, least):
 
 @pytest.mark.parametrize("least", [1, 2, 4])
 @pytest.mark.parametrize("part_items", [10, 1000])
-def test_pairs_equal_brute_force(spark, least, part_items):
+@pytest.mark.parametrize("buckets", [None, 1, 7, 40_000, 1 << 27])
+def test_pairs_equal_brute_force(spark, least, part_items, buckets):
     rows = baskets_with_huge_ones()
     df = spark.createDataFrame(rows, SCHEMA)
-    got = pair_counts(df, item_counts(df), least, part_items=part_items).collect()
+    got = pair_counts(df, item_counts(df), least, part_items=part_items, buckets=buckets).collect()
     assert {(r.item_a, r.item_b): r.n_pair for r in got} == brute_force(rows, least)
 
 
@@ -51,3 +52,17 @@ def test_rule_measures(spark, scratch):
     assert (rule.support_pct, rule.conf_a_to_b_pct, rule.conf_b_to_a_pct, rule.lift) == (
         Decimal("25.000"), Decimal("50.00"), Decimal("50.00"), Decimal("1.000"),
     )
+
+
+def test_buckets_leave_few_pairs_to_count(spark):
+    rows = baskets_with_huge_ones()
+    df = spark.createDataFrame(rows, SCHEMA)
+    every, wanted = brute_force(rows, 1), brute_force(rows, 4)
+    frequent = {i for i, n in Counter(i for _, i in rows).items() if n >= 4}
+    listed = sum(1 for a, b in every if a in frequent and b in frequent)
+    got = pairs_screened(df, item_counts(df), 4, 1 << 20).first()
+    assert (got.listed_before, got.frequent) == (listed, len(wanted))
+    assert len(wanted) <= got.listed_after < listed
+    # One bucket screens nothing and loses nothing.
+    got = pairs_screened(df, item_counts(df), 4, 1).first()
+    assert (got.listed_before, got.listed_after, got.frequent) == (listed, listed, len(wanted))
