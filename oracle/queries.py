@@ -634,6 +634,79 @@ SQL["constraint_report"] = "\nunion all ".join(
     for t, rule, count in _constraint_rows()
 )
 
+
+def _sample_rows():
+    """rule, and the values that break it with the rows of each, on tables of which two are damaged."""
+    tables = {t: {"customers": "bad_customers", "orders": "bad_orders"}.get(t, f"src_{t}") for t in SOURCE_TABLES}
+    for name, contract in SOURCE_TABLES.items():
+        table = tables[name]
+        wrong = [(f"not null {c}", f"{c} is null") for c in contract.required]
+        wrong += [(f"length {c} <= {n}", f"len({c}) > {n}") for c, n in contract.lengths.items()]
+        wrong += [(f"check {c}", f"not ({c})") for c in contract.checks]
+        for rule, test in wrong:
+            yield name, rule, f"select {contract.key}::varchar as value, count(*) as rows from {table} where {test} group by all"
+        for keys in [(contract.key,), *contract.unique]:
+            k = ", ".join(keys)
+            some = " and ".join(f"{c} is not null" for c in keys)
+            value = f"{keys[0]}::varchar" if len(keys) == 1 else f"to_json([{', '.join(c + '::varchar' for c in keys)}])::varchar"
+            yield name, f"unique {k}", f"select {value} as value, 1 as rows from {table} where {some} group by {k} having count(*) > 1"
+        for ref in contract.foreign:
+            yield name, f"{ref.column} in {ref.table}", (
+                f"select {ref.column}::varchar as value, count(*) as rows from {table} c where {ref.column} is not null and not exists "
+                f"(from {tables[ref.table]} p where p.{ref.target} = c.{ref.column}) group by all"
+            )
+
+
+SQL["constraint_samples"] = """
+    with bad_customers as (
+        select * replace (if(customer_id % 20 = 1, 'shared' || customer_id % 7, email) as email,
+                          if(customer_id % 25 = 3, null, sex) as sex) from src_customers),
+    bad_orders as (select * replace (if(order_id % 40 = 7, -customer_id, customer_id) as customer_id) from src_orders),
+    broken as (""" + "\n    union all ".join(
+    "select '{}' as table_name, '{}' as rule, value, rows from ({})".format(t, rule.replace("'", "''"), rows)
+    for t, rule, rows in _sample_rows()
+) + """)
+    select table_name, rule, value, rows::bigint as rows,
+           row_number() over (partition by table_name, rule order by md5(value), value) as place
+    from broken qualify place <= 10"""
+
+_LATE = """
+    with notices as (
+        select customer_id, signup_date + (100 + customer_id % 1000 + extra)::int as day, prefix || city as city,
+               state, address, phone, email
+        from src_customers, (values (15, 0, 'Late '), (30, 50, 'Later ')) v(every, extra, prefix)
+        where customer_id % every = 0),
+    points as (
+        select coalesce(v.customer_id, n.customer_id) as customer_id, coalesce(v.valid_from, n.day) as day,
+               v.customer_key, n.day is not null as told,
+               n.city, n.state, n.address, n.phone, n.email
+        from wh_customer v full join notices n
+            on v.customer_id = n.customer_id and v.valid_from = n.day),
+    timeline as (
+        select p.*, lead(day) over w as ends, lead(customer_key is null) over w as cut,
+               last_value(customer_key ignore nulls) over w as old_key
+        from points p window w as (partition by customer_id order by day)),
+    late as (
+        select coalesce(t.customer_key, (select max(customer_key) from wh_customer)
+                        + row_number() over (partition by t.customer_key is null order by t.customer_id, day)) as customer_key,
+               t.customer_id, v.full_name, v.age, v.sex, v.signup_date,
+               if(told, t.email, v.email) as email, if(told, t.phone, v.phone) as phone,
+               if(told, t.address, v.address) as address, if(told, t.city, v.city) as city,
+               if(told, t.state, v.state) as state,
+               day as valid_from, ends as valid_to, ends is null as is_current,
+               case when t.customer_key is null then 'inserted' when cut then 'closed'
+                    when told then 'corrected' else 'kept' end as change
+        from timeline t join wh_customer v on v.customer_key = old_key)"""
+
+SQL["scd2_late_change"] = _LATE + """
+    select customer_key, customer_id, full_name, email, phone, address, city, state, age, sex, signup_date::varchar as signup_date,
+           valid_from::varchar as valid_from, valid_to::varchar as valid_to, is_current, change from late"""
+SQL["fact_late_change"] = _LATE + """
+    select sales_key, date_key, l.customer_key
+    from wh_fact join wh_customer c using (customer_key)
+    join late l on l.customer_id = c.customer_id and strftime(l.valid_from, '%Y%m%d')::bigint <= date_key
+        and (l.valid_to is null or date_key < strftime(l.valid_to, '%Y%m%d')::bigint)"""
+
 SQL["business_rules"] = """
     with t as (select o.*, opened_date, signup_date, i.total as lines, p.amount
                from src_orders o left join src_stores using (store_id)

@@ -25,19 +25,21 @@ def carry_versions(
     at: str,
     ties: Sequence[str],
     scratch: Workspace,
+    version_key: str | None = None,
 ) -> DataFrame:
     """The events that have a valid version, with the version as the struct ``version``.
 
     A version is valid from ``valid_from`` up to but without ``valid_to``, without end where that is null. The
     versions of a key do not overlap; those that are valid at no time take no part. ``ties`` are columns of the events that
-    tell events of one key and time apart, so that also these spread. A null key or time matches nothing.
+    tell events of one key and time apart, so that also these spread. A null key or time matches nothing. ``version_key``
+    is the key's name among the versions, if it differs.
 
     Rows are range-partitioned on the complete order, and each split carries on its own; what is carried into a split
     from those before it is one row for each split.
     """
     real = F.col(valid_from).isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_from) < F.col(valid_to)))
     opened = versions.filter(real).select(
-        F.col(key).alias("_key"),
+        F.col(version_key or key).alias("_key"),
         F.col(valid_from).alias("_at"),
         F.lit(0).alias("_side"),
         F.struct(*versions.columns).alias("version"),

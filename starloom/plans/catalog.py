@@ -9,8 +9,8 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.operators import dimensions as dims, facts, history
-from starloom.operators.checks import stack_rows
+from starloom.operators import dimensions as dims, facts, history, late
+from starloom.operators.checks import constraint_samples, stack_rows
 from starloom.plans import (
     baskets,
     categories,
@@ -23,7 +23,7 @@ from starloom.plans import (
 )
 from starloom.plans.warehouse import StoredSourceWarehouse, Warehouse
 from starloom.sources import csv_io, orderdata
-from starloom.sources.contracts import WAREHOUSE_TABLES
+from starloom.sources.contracts import SOURCE_TABLES, WAREHOUSE_TABLES
 from starloom.sources.snapshot import SnapshotStore
 
 # The product pairs of the order data are far rarer than those of a shop.
@@ -96,6 +96,55 @@ def scd2_idempotent(w: Warehouse) -> DataFrame:
     )
 
 
+def late_notices(customers: DataFrame) -> DataFrame:
+    """Moves that became known late: of every fifteenth customer one, of every thirtieth two."""
+    days = F.lit(100) + (F.col("customer_id") % 1000).cast("int")
+    told = history.customer_attributes(customers).filter(F.col("customer_id") % 15 == 0)
+    first = told.withColumn("changed_on", F.date_add("signup_date", days)).withColumn(
+        "city", F.concat(F.lit("Late "), "city")
+    )
+    second = told.filter(F.col("customer_id") % 30 == 0).withColumn(
+        "changed_on", F.date_add("signup_date", days + 50)
+    ).withColumn("city", F.concat(F.lit("Later "), "city"))
+    return first.unionByName(second).select("customer_id", "changed_on", *history.TRACKED)
+
+
+def late_changes(w: Warehouse) -> late.LateChanges:
+    return late.apply_late_changes(
+        w.dim_customer,
+        late_notices(w.customers),
+        natural="customer_id",
+        surrogate="customer_key",
+        changed_on="changed_on",
+        tracked=history.TRACKED,
+        scratch=w.scratch,
+    )
+
+
+def fact_late_change(w: Warehouse) -> DataFrame:
+    """Customer keys of the stored fact after late moves; only months with rows that move are rewritten."""
+    store = SnapshotStore(w.spark, f"{w.scratch.root}/late-{uuid.uuid4().hex[:8]}")
+    store.write_full("fact_sales", w.fact_sales)
+    moves = late_changes(w).moves
+    moved = late.moved_facts(store.read("fact_sales"), moves, surrogate="customer_key", scratch=w.scratch)
+    store.upsert_fact(w.scratch.save(moved, "moved-facts"))
+    return store.read("fact_sales").select("sales_key", "date_key", "customer_key")
+
+
+def damaged_source(source: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The source with customers that share an e-mail or lack a sex, and orders of unknown customers."""
+    c, o = F.col("customer_id"), F.col("order_id")
+    shared = F.concat(F.lit("shared"), (c % 7).cast("string"))
+    customers = source["customers"].withColumns(
+        {
+            "email": F.when(c % 20 == 1, shared).otherwise(F.col("email")),
+            "sex": F.when(c % 25 != 3, F.col("sex")),
+        }
+    )
+    orders = source["orders"].withColumn("customer_id", F.when(o % 40 == 7, -c).otherwise(c))
+    return {**source, "customers": customers, "orders": orders}
+
+
 def fact_upsert(w: Warehouse) -> DataFrame:
     """The fact after two loads: a first one, and one with later and corrected orders.
 
@@ -207,6 +256,8 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "scd2_current": lambda w: w.dim_customer.filter("is_current"),
     "scd2_probe": lambda w: history.versions_of(w.dim_customer, "customer_id", PROBED_CUSTOMERS),
     "scd2_idempotent": scd2_idempotent,
+    "scd2_late_change": lambda w: late_changes(w).dimension,
+    "fact_late_change": fact_late_change,
     "surrogate_keys": lambda w: w.order_items.select("order_item_id", "order_id", "product_id"),
     "fact_sales": fact_columns,
     "fact_upsert": fact_upsert,
@@ -262,6 +313,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "reconcile_store": lambda w: validation.reconcile_store(w, w.source()),
     "reconcile_month": lambda w: validation.reconcile_month(w, w.source()),
     "constraint_report": lambda w: validation.source_constraints(w.source()),
+    "constraint_samples": lambda w: constraint_samples(damaged_source(w.source()), SOURCE_TABLES),
     "business_rules": lambda w: validation.business_rules(w.source(), orderdata.unmapped(w.raw)),
     "distribution_sanity": lambda w: validation.distribution_sanity(w, w.source()),
 }

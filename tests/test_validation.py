@@ -1,14 +1,15 @@
 """The 54 checks pass on the built star, and each one fails on a star broken for it."""
 
+import re
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators.checks import constraint_report
+from starloom.operators.checks import constraint_report, constraint_samples
 from starloom.plans import validation
 from starloom.plans.warehouse import open_warehouse
-from starloom.sources.contracts import SOURCE_TABLES, WAREHOUSE_TABLES
+from starloom.sources.contracts import SOURCE_TABLES, WAREHOUSE_TABLES, Column, ForeignKey, TableContract
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -112,6 +113,44 @@ def test_constraint_report_notices_damage(built):
     }
 
 
+def test_values_meet_in_one_exchange_and_samples_repeat(spark):
+    import hashlib
+
+    box = TableContract("box", (Column("id", "bigint", required=True), Column("label", "string", length=3)), "id", unique=(("label", "id"), ("label",)))
+    ball = TableContract(
+        "ball", (Column("id", "bigint"), Column("box_id", "bigint", required=True)), "id",
+        foreign=(ForeignKey("box_id", "box", "id"),), checks=("id > 0",),
+    )
+    boxes = [(i, f"l{i % 90}") for i in range(100)] + [(None, None), (5, "long"), (None, "x")]
+    # A third of the balls share a box that is not there.
+    balls = [(i, i % 120) for i in range(-3, 297)] + [(1000 + i, 777) for i in range(150)] + [(9, None)]
+    tables = {
+        "box": spark.createDataFrame(boxes, "id long, label string").repartition(3),
+        "ball": spark.createDataFrame(balls, "id long, box_id long").repartition(5),
+    }
+    contracts = {"box": box, "ball": ball}
+    report = constraint_report(tables, contracts)
+    got = {(r.table_name, r.rule): r.violations for r in report.collect()}
+    missing = [b for _, b in balls if b is not None and b not in range(100)]
+    assert got == {
+        ("box", "not null id"): 2, ("box", "length label <= 3"): 1, ("box", "unique id"): 1,
+        ("box", "unique label, id"): 0, ("box", "unique label"): 10,
+        ("ball", "not null box_id"): 1, ("ball", "check id > 0"): 4, ("ball", "unique id"): 1,
+        ("ball", "box_id in box"): len(missing),
+    }
+    plan = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"Exchange hashpartitioning\(domain#\d+, value#", plan)) == 1
+
+    samples = constraint_samples(tables, contracts, 3).collect()
+    value = lambda x: hashlib.md5(x.encode()).hexdigest()
+    want = sorted({str(b) for b in missing}, key=value)[:3]
+    assert [r.value for r in sorted(samples, key=lambda r: r.place) if r.rule == "box_id in box"] == want
+    assert {r.value: r.rows for r in samples if r.rule == "not null id"} == {"(null)": 2}
+    tables = {t: df.repartition(7) for t, df in tables.items()}
+    assert sorted(constraint_samples(tables, contracts, 3).collect()) == sorted(samples)
+    assert constraint_samples({t: df.limit(0) for t, df in tables.items()}, contracts).count() == 0
+
+
 def test_warehouse_satisfies_its_own_contracts(built):
     star, _, _ = built
     tables = {t: star[t] for t in WAREHOUSE_TABLES}
