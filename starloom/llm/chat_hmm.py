@@ -11,7 +11,8 @@ end. Such matrices multiply (with maximum for sum, and sum for product), so 256
 until a conversation has few. Then the states at the edges of the best path are found from the top down, and within each
 segment last. The path is the same as that of one long Viterbi run, but for ties.
 
-Turns are rendered as a role line and the turn's lines without the marker; the renderings of a conversation's segments, in
+Turns are rendered as a role line and the turn's lines without the marker, lines that look like role lines behind a
+backslash, so that `turns` reads back just the turns that were found; the renderings of a conversation's segments, in
 order of position, make up the whole.
 
 Null texts are empty, and an empty text is one empty line. A null position comes before all others, null conversations
@@ -50,6 +51,7 @@ _ROLE_OF = {name: role for role, names in NAMES.items() for name in names}
 _MARKER = re.compile(
     r"[\s>#]*(?:<\|(\w+)\|>|\[(\w+)\]:?|<(\w+)>|\*{1,2}(\w+):?\*{1,2}:?|(\w+)\s?[:>])[ \t]?", re.ASCII
 )
+_ROLE_LINE = re.compile(rf"(\\*)<\|({'|'.join(ROLES)})\|>")
 #: Values of each feature.
 SIZES = (len(ROLES) + 2, 5, 4, 8)
 
@@ -302,16 +304,33 @@ def _edges(levels: list[DataFrame], scratch: Workspace, states: int) -> DataFram
 
 
 def rendered(lines: list[str], path: list[int]) -> str:
-    """A role line before each turn, and the turn's first line without its marker."""
+    """A role line before each turn, and the turn's first line without its marker.
+
+    A line of a turn that looks like a role line, with any number of backslashes before it, gets one more.
+    """
     out = []
     for line, state in zip(lines, path):
         if state % 2 == 0:
             out.append(f"<|{ROLES[state // 2]}|>")
             line = line[marker(line)[1] :]
-        out.append(line)
+        out.append("\\" + line if _ROLE_LINE.fullmatch(line) else line)
     return "".join(line + "\n" for line in out)
 
 
+def turns(text: str) -> list[tuple[str | None, list[str]]]:
+    """The turns of a rendering, role and lines; the role is None for lines before the first role line."""
+    out: list[tuple[str | None, list[str]]] = []
+    for line in text.split("\n")[:-1]:
+        found = _ROLE_LINE.fullmatch(line)
+        if found and not found[1]:
+            out.append((found[2], []))
+            continue
+        if not out:
+            out.append((None, []))
+        out[-1][1].append(line[1:] if found else line)
+    return out
+
+
 def parse(found: DataFrame, model: Model, scratch: Workspace) -> DataFrame:
     """found: of segments(), saved. For each: id, pos (as told), roles and begins (of its lines) and rendered."""
     shared = found.sparkSession.sparkContext.broadcast(model)  # its size follows from ROLES and SIZES

@@ -26,6 +26,8 @@ from starloom.workspace import Workspace
 
 #: At most so many literal strings stand for a part of an expression; beyond, the part asks for nothing.
 MOST_STRINGS = 64
+#: Matches of a text that are placed together.
+GROUP = 128
 
 
 @dataclass(frozen=True)
@@ -182,23 +184,56 @@ def _bit(trigrams: Sequence[str]) -> Column:
 
 
 def _spans(text: Column, rule: Rule, order: int) -> Column:
-    """Start, order and end of the matches that pass, from the pieces between the matches."""
+    """Start, order and end of the matches that pass, from the lengths of the pieces between the matches.
+
+    Matches are placed within groups of ``GROUP``, then the groups one after the other: an array that grows match by match
+    would be copied at each, which is quadratic in the matches of a text.
+    """
     between, hits = F.split(text, rule.pattern, -1), F.regexp_extract_all(text, F.lit(rule.pattern), 0)
     tested = F.regexp_extract_all(text, F.lit(rule.pattern), rule.tested)
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    zipped = F.arrays_zip(between.alias("a"), hits.alias("b"), tested.alias("c"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["a"])
-        end = start + F.length(x["b"])
+    size = lambda strings: F.transform(strings, lambda x: F.length(x))
+    # The last piece has no match after it.
+    lengths = F.arrays_zip(size(between).alias("a"), size(hits).alias("b"), size(tested).alias("c"))
+    no_spans = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    nowhere = F.struct(F.lit(0).alias("at"), no_spans.alias("spans"))
+
+    def place(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["a"]
+        end = start + F.coalesce(x["b"], F.lit(0))
         span = F.array(F.struct(start.alias("start"), F.lit(order).alias("kind"), end.alias("end")))
-        return F.struct(
-            end.alias("at"),
-            F.when(F.length(x["c"]) >= rule.least, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"),
+        passed = F.when(x["c"] >= rule.least, F.concat(acc["spans"], span)).otherwise(acc["spans"])
+        return F.struct(end.alias("at"), passed.alias("spans"))
+
+    def grouped(all_lengths: Column) -> Column:
+        groups = F.sequence(F.lit(0), F.ceil(F.size(all_lengths) / GROUP).cast("int") - 1)
+        return F.transform(groups, lambda g: F.aggregate(F.slice(all_lengths, g * GROUP + 1, GROUP), nowhere, place))
+
+    def shifted(groups: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(
+            groups,
+            begin,
+            lambda acc, g: F.struct(
+                (acc["at"] + g["at"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")
+            ),
+        )["starts"]
+        return F.flatten(
+            F.zip_with(
+                groups,
+                starts,
+                lambda g, by: F.transform(
+                    g["spans"],
+                    lambda x: F.struct((x["start"] + by).alias("start"), x["kind"].alias("kind"), (x["end"] + by).alias("end")),
+                ),
+            )
         )
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    return F.aggregate(F.slice(zipped, F.lit(1), F.size(hits)), start, step)["spans"]
+    return _let(_let(lengths, grouped), shifted)
+
+
+def _let(value: Column, use) -> Column:
+    """use(value), with the value worked out once, however often and wherever it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def find_secrets(

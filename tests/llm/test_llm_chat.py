@@ -1,10 +1,13 @@
+from collections import Counter
+
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from plain import FOLDER
 from starloom.llm import chat_hmm as ch
 from starloom.llm.common import table
+from starloom.llm.fm_quality import is_held_out
+from starloom.llm.queries import op1_chat_hmm
 
 ROWS = "conv_id string, turn long, role string, text string"
 
@@ -53,13 +56,27 @@ def test_path_is_as_likely_as_the_best_of_one_run(spark, scratch, labelled, mode
         assert plain_score(model, lines, path) == pytest.approx(plain_best(model, lines), abs=1e-6)
 
 
-def test_roles_with_markers_are_found_and_most_without(spark, scratch, labelled, model):
-    truth = {(r.id, r.told_pos): r.role for r in labelled.collect()}
-    marked = {(r.id, r.told_pos): ch.marker(r.texts[0])[0] < len(ch.ROLES) for r in labelled.collect()}
+def test_roles_of_conversations_not_learned_from(spark, scratch, labelled):
+    """By turns with and without a marker, against always naming the most frequent role of the latter."""
+    model = ch.train(labelled.where(~is_held_out("id")))
+    unseen = scratch.save(labelled.where(is_held_out("id")), "unseen")
+    told = unseen.collect()
+    truth = {(r.id, r.told_pos): r.role for r in told}
+    marked = {(r.id, r.told_pos): ch.marker(r.texts[0])[0] < len(ch.ROLES) for r in told}
     hits = {True: [], False: []}
-    for r in ch.parse(labelled, model, scratch).collect():
+    for r in ch.parse(unseen, model, scratch).collect():
         hits[marked[r.id, r.pos]].append(r.roles[0] == truth[r.id, r.pos])
-    assert np.mean(hits[True]) > 0.99 and np.mean(hits[False]) > 0.5
+    bare = Counter(truth[k] for k, has in marked.items() if not has)
+    commonest = max(bare.values()) / sum(bare.values())
+    assert np.mean(hits[True]) > 0.99
+    assert np.mean(hits[False]) > commonest + 0.1, (np.mean(hits[False]), commonest)
+
+
+def test_registered_query_is_whole(spark):
+    rows = op1_chat_hmm(spark, FOLDER).collect()
+    turns = table(spark, FOLDER, "conversations")
+    assert len({(r.conv_id, r.turn) for r in rows}) == turns.select("conv_id", "turn").distinct().count()
+    assert {r.held_out for r in rows} == {True, False} and all(r.role in ch.ROLES for r in rows)
 
 
 def test_markers():
@@ -74,6 +91,19 @@ def test_rendering_drops_markers():
     assert ch.rendered(["User: a", "b", "c"], [2, 3, 4]) == "<|user|>\na\nb\n<|assistant|>\nc\n"
 
 
+@pytest.mark.parametrize(
+    "lines, path, want",
+    [
+        (["User: a", "<|assistant|>", "b"], [2, 3, 3], [("user", ["a", "<|assistant|>", "b"])]),
+        (["User: <|user|>", "\\<|system|>", "\\\\<|user|>", "\\x"], [2, 3, 3, 3], [("user", ["<|user|>", "\\<|system|>", "\\\\<|user|>", "\\x"])]),
+        (["User: a", "<|assistant|>", "b"], [2, 4, 5], [("user", ["a"]), ("assistant", ["", "b"])]),
+        (["<|user|> ", ""], [3, 4], [(None, ["<|user|> "]), ("assistant", [""])]),
+    ],
+)
+def test_renderings_read_back(lines, path, want):
+    assert ch.turns(ch.rendered(lines, path)) == want
+
+
 def test_odd_rows(spark, scratch, model):
     data = [
         ("a", 1, "user", "User: hello"), ("a", 1, "user", "User: again"), ("a", 0, None, None), ("a", None, "tool", ""),

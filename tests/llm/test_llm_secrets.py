@@ -1,4 +1,5 @@
 import re
+import time
 
 from plain import SCHEMA, odd_rows
 from starloom.llm import secret_index as si
@@ -64,3 +65,14 @@ def test_queries_only_let_more_through():
         for text in texts:
             if re.search(rule.pattern, text):
                 assert holds(si.trigram_query(rule.pattern), text)
+
+
+def test_many_matches_in_one_text(spark, scratch):
+    """Work grows with the matches, not with their square: 200,000 in one text, and numbers around the group size."""
+    texts = [f"x{'é' * (i % 3)} token=abcdef{i % 7}" for i in range(200_000)]
+    data = [(0, " ".join(texts))] + [(n, "".join(texts[:n])) for n in (si.GROUP - 1, si.GROUP, si.GROUP + 1, 2 * si.GROUP)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(2)
+    before = time.monotonic()
+    got = {r.id: [tuple(x) for x in r.found] for r in si.find_secrets(docs, scratch).collect()}
+    assert time.monotonic() - before < 60
+    assert got == {i: spans(t) for i, t in data}
