@@ -24,7 +24,7 @@ from starloom.operators.checks import (
     stack_rows,
     with_verdict,
 )
-from starloom.operators.ordering import rank_rows
+from starloom.operators.selection import median, sum_of_largest
 from starloom.plans.star import Star
 from starloom.sources.contracts import SOURCE_TABLES
 
@@ -564,21 +564,22 @@ def distribution_sanity(star: Star, source: Source) -> DataFrame:
         ).alias("m")
     ).select("m.*")
 
-    products = star.fact_sales.groupBy("product_key").agg(F.sum("net_amount").alias("revenue"))
-    ranked = rank_rows(products, "revenue", ties=["product_key"], scratch=star.scratch)
-    top_fifth = F.col("row_number") * 5 <= F.col("group_rows")
-    concentration = ranked.agg(
-        F.sum(F.when(top_fifth, F.col("revenue"))).alias("top"), F.sum("revenue").alias("whole")
+    # Both are written once, as the passes of a selection read them anew.
+    products = star.scratch.save(
+        star.fact_sales.groupBy("product_key").agg(F.sum("net_amount").alias("revenue")), "revenues"
     )
+    top = sum_of_largest(products, "revenue", lambda n: n // 5)
+    kind = products.schema["revenue"].dataType
+    concentration = products.agg(F.sum("revenue").alias("whole")).withColumn("top", F.lit(top).cast(kind))
 
-    # Customers are counted per number of orders; the median is read off that histogram.
-    per_customer = orders.groupBy("customer_id").agg(F.count("*").alias("n"))
+    per_customer = star.scratch.save(
+        orders.groupBy("customer_id").agg(F.count("*").alias("n")), "orders_per_customer"
+    )
     spread = per_customer.agg(
         F.sum("n").alias("orders"),
         F.count("*").alias("buyers"),
-        F.median("n").alias("median"),
         F.max("n").alias("most"),
-    )
+    ).withColumn("median", F.lit(median(per_customer, "n")).cast("double"))
     silent = source["customers"].join(per_customer, "customer_id", "left_anti")
     probe = _beside(spread, concentration).withColumn(
         "silent", _side(silent, F.count("*"))
