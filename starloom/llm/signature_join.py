@@ -577,9 +577,12 @@ def components(
     for most in (FEW_PAIRS, None):
         names = connected(_completed(members, sets, percent, most, scratch), scratch)
         members = scratch.save(_renamed(members, names), "members")
-    of_node = members.select("node", "component").distinct()
+    # Both are written before the rows meet them: so a join's sides are plain exchanges, and adaptive execution can
+    # split the rows of a text or a component that holds many of them.
+    of_node = scratch.save(members.select("node", "component").distinct(), "of_node")
     named = rows.join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
+    least = scratch.save(least, "least")
     whole = named.join(least.withColumnRenamed("component", "_c"), F.col("component") == F.col("_c"), "left")
     own = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least"))
     return whole.select("id", "text_hash", "n", "component", own.alias("component_id"))
