@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from starloom.workspace import Workspace
+from starloom.workspace import Workspace, splits
 
 
 def carry_versions(
@@ -56,11 +56,10 @@ def carry_versions(
     )
     both = opened.union(seen).filter("_key IS NOT NULL AND _at IS NOT NULL")
     order = ["_key", "_at", "_side", *[f"_tie_{c}" for c in ties]]
-    splits = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     carried = Window.partitionBy("_split", "_key").orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, 0)
     # Written once: a second sampling may cut the splits elsewhere.
     local = scratch.save(
-        both.repartitionByRange(splits, *order)
+        both.repartitionByRange(splits(events.sparkSession), *order)
         .withColumn("_split", F.spark_partition_id())
         .withColumn("_last", F.last("version", ignorenulls=True).over(carried))
         .select("_split", "_key", "_at", "_side", "_last", "_event"),

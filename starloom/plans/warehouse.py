@@ -21,7 +21,7 @@ from starloom.operators.summaries import month_partials
 from starloom.sources import orderdata
 from starloom.sources.contracts import LOAD_ORDER, SOURCE_TABLES
 from starloom.sources.snapshot import SnapshotStore
-from starloom.workspace import Workspace
+from starloom.workspace import Workspace, fit_partitions
 
 
 @dataclass(frozen=True)
@@ -319,6 +319,7 @@ _open: dict[tuple[str, str], Warehouse] = {}
 def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse of a folder, built once per Spark application."""
     key = (spark.sparkContext.applicationId, folder.rstrip("/"))
+    fit_partitions(spark, f"{key[1]}/{{customer,lineitem,orders,part,supplier}}.parquet")
     if key not in _open:
         _open[key] = Warehouse(spark, folder.rstrip("/"))
     return _open[key]
