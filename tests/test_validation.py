@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.operators import checks
 from starloom.operators.checks import constraint_report, constraint_samples
 from starloom.plans import validation
 from starloom.plans.warehouse import open_warehouse
@@ -179,3 +180,37 @@ def test_each_business_rule_sees_its_damage(built, rule, table, damage):
     )
     broken = validation.business_rules({**source, table: rows}).collect()
     assert {r.rule: r.violations for r in broken}[rule] > sound[rule]
+
+
+def test_whole_number_keys_meet_without_text(spark):
+    """Every line sends its keys through the exchange; text only where a key or a reference to it is text."""
+    parents = TableContract("parents", (Column("p", "bigint"), Column("code", "string")), "p", unique=(("code",),))
+    lines = TableContract(
+        "lines",
+        (Column("k", "bigint"), Column("a", "int"), Column("p", "int"), Column("c", "string")),
+        "k",
+        unique=(("a", "p"), ("a", "c")),
+        foreign=(ForeignKey("p", "parents", "p"),),
+    )
+    tables = {
+        "parents": spark.createDataFrame([(1, "x"), (2, "x"), (None, None)], parents.schema),
+        "lines": spark.createDataFrame(
+            [(1, 5, 1, "u"), (2, 5, 1, "u"), (2, 5, None, None), (None, 6, 9, "u"), (3, None, 9, "w")], lines.schema
+        ),
+    }
+    contracts = {"parents": parents, "lines": lines}
+    tagged, _ = checks._tagged_values(tables, contracts)
+    texts = {r.text for r in tagged.collect()}
+    assert texts == {None, "x", '["5","u"]', '["6","u"]'}
+    found = {(r.rule, r.value): r.rows for r in checks.constraint_samples(tables, contracts).collect()}
+    assert found == {
+        ("unique code", "x"): 1,
+        ("unique k", "2"): 1,
+        ("unique a, p", '["5","1"]'): 1,
+        ("unique a, c", '["5","u"]'): 1,
+        ("p in parents", "9"): 2,
+    }
+    # A reference of another type than its key makes the domain one of texts.
+    mixed = {**tables, "lines": tables["lines"].withColumn("p", F.col("p").cast("string"))}
+    again = {(r.rule, r.value): r.rows for r in checks.constraint_samples(mixed, contracts).collect()}
+    assert again == found
