@@ -42,9 +42,9 @@ _MULTIPLIER = np.uint64(0x9FB21C651E98DF25)
 _TRUE_MARK = "\udfff"
 #: Text whose units are told apart together, and characters of distinct units that are filtered together, about.
 #: A lattice takes some 200 bytes for each of its characters.
-CUT_BYTES, LATTICE_CHARS = 3_000_000, 400_000
+CUT_BYTES, LATTICE_CHARS = 1_000_000, 150_000
 #: Ids that one step decodes, about.
-DECODE_IDS = 500_000
+DECODE_IDS = 200_000
 
 
 class Pieces:

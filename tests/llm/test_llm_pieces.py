@@ -80,3 +80,8 @@ def test_empty_table_and_foreign_ids(spark, pieces):
     empty = spark.createDataFrame([], SCHEMA)
     assert ps.decode(ps.encode(empty)).count() == 0
     assert ps.joined(pieces, np.array([int(pieces.byte_ids[255])]), np.array([0, 0, 1])) == ["", "�"]
+
+
+def test_steps_bound_a_worker():
+    """A worker's lattice, draws and joined text stay within some 100 MB beside its batch; 200 bytes a lattice character."""
+    assert ps.LATTICE_CHARS * 200 <= 30e6 and ps.CUT_BYTES <= 1_000_000 and ps.DECODE_IDS <= 200_000
