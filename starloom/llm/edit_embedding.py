@@ -11,9 +11,12 @@ so every stretch of a text of any length is seen; each sample is one hex digit,
 that a text reaches are its fingerprint. The likeness of two fingerprints is the share of steps with equal digits, each sample
 standing for its part of the octave, over the longer one's steps.
 
-``near_documents`` finds copies: bands are digits of samples picked at random, of each of the two last whole octaves of a
-fingerprint; equal fingerprints are one node; each node is held against the first node of each of its bands (the smallest id) by
-the likeness of their fingerprints. So a band with a third of all nodes costs a row for each of them, and no pairs.
+``near_documents`` finds copies, and leaves out none: equal fingerprints are one node. Digits are cut into bands so many that
+not all of them can have two unequal digits in fingerprints that are alike; so two such nodes agree in a band but for one
+digit of it, and share the band without that digit. What a band decides on depends on the shorter one's digits: the longer one
+has bands for every number of digits that the shorter one may have. Nodes that share a band are compared by the likeness of their
+fingerprints, first with the band's smallest id, then with those that are smaller than the smallest found so far. So a
+band that a third of all nodes have in common costs a row for each of them if they are copies; pairs are made of what is unlike it.
 
 Null texts count as empty and have the empty fingerprint, like only to itself. Repeated rows stay. Texts are walked whole, one
 Arrow batch at a time: a few bytes for each character of one text besides the batch.
@@ -27,9 +30,10 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.llm.common import mix64
+from starloom.operators.ordering import number_rows
 from starloom.workspace import Workspace
 
 #: Samples of each octave of steps; all steps below this number.
@@ -39,7 +43,8 @@ PERIOD, CLASSES = 4_096, 16
 OCTAVES = 40
 #: Characters that are walked over at once.
 PART = 1_000_000
-BANDS, BAND_DIGITS = 8, 8
+#: Digits of a band; one of them may differ.
+BAND_DIGITS = 7
 DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
 
 
@@ -248,20 +253,79 @@ def edited_fingerprints(docs: DataFrame, scratch: Workspace, *, id_col: str = "d
     return inner.unionByName(pairs.mapInArrow(close, f"id long, {result}"))
 
 
-def banded(nodes: DataFrame) -> DataFrame:
-    """id, node and band for every band of (id, node, print): a digest of sampled digits, the octave and the band's number."""
-    # Octave 0 is the dense beginning; a fingerprint of n digits holds n / DENSE whole ones.
-    last = F.floor(F.length("print") / DENSE).cast("int")
-    picks = [sorted(np.argsort(_random(1000 + b, DENSE))[:BAND_DIGITS].tolist()) for b in range(BANDS)]
+@cache
+def _cells() -> tuple[np.ndarray, np.ndarray]:
+    """The least number of digits of each cell, and the cell of every number of digits; one scheme of bands serves a cell."""
+    most = len(sampled_steps()[0])
+    starts = np.array([*range(16), *range(16, 2 * DENSE, 4), *range(2 * DENSE, most + 1, 8)])
+    return starts, np.searchsorted(starts, np.arange(most + 1), side="right") - 1
+
+
+@cache
+def _weights() -> np.ndarray:
+    """How many steps fingerprints of 0, 1, 2, ... digits stand for."""
+    return np.concatenate(([0.0], np.cumsum(sampled_steps()[1])))
 
-    def of(octave: int) -> Column:
-        digits = lambda b: F.concat(*[F.substring(f"octave{octave}", place + 1, 1) for place in picks[b]])
-        return F.array(*[F.xxhash64(F.col("last") - octave, F.lit(b), digits(b)) for b in range(BANDS)])
 
-    cut = {f"octave{k}": F.substring(F.col("print"), (F.col("last") - k) * DENSE + 1, F.lit(DENSE)) for k in (1, 2)}
-    # A text of few steps has no whole octave, or one: its fingerprint is its band.
-    found = F.when(F.col("last") > 1, F.concat(of(1), of(2))).when(F.col("last") > 0, of(1)).otherwise(F.array(F.xxhash64("print")))
-    return nodes.withColumn("last", last).withColumns(cut).select("id", "node", F.explode(found).alias("band"))
+@cache
+def scheme(cell: int, least: float) -> list[np.ndarray]:
+    """The bands, as places of digits, for pairs whose shorter fingerprint has a cell's number of digits.
+
+    Unequal digits that both have may stand for no more than 1 - ``least`` of the shorter one's steps. To spoil a
+    band takes two of its digits; bands are taken from the last digits on, which weigh most, until spoiling all takes too much.
+    """
+    starts, _ = _cells()
+    begin, end = starts[cell], starts[cell + 1] - 1 if cell + 1 < len(starts) else len(sampled_steps()[0])
+    most = (1 - least) * _weights()[end] * (1 + 1e-9)
+    for digits in range(BAND_DIGITS, 1, -1):
+        bands, spoilt = [], 0.0
+        for at in range(begin, 1, -digits):
+            places = np.arange(max(at - digits, 0), at)
+            bands.append(places)
+            spoilt += np.sort(sampled_steps()[1][places])[:2].sum()
+            if spoilt > most:
+                return bands
+    return [np.arange(0)]  # all meet
+
+
+@cache
+def _picks(cell: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the digits of all bands without one digit each, and what tells the keys made of them apart."""
+    rows, tags = [], []
+    for n, places in enumerate(scheme(cell, least)):
+        for without in range(max(len(places), 1)):
+            left = np.delete(places, without) if len(places) else places
+            rows.append(np.concatenate((left, np.full(BAND_DIGITS - 1 - len(left), -1))))
+            tags.append(((cell << 9) + n << 3) + without)
+    return np.array(rows, np.int64), np.array(tags, np.int64) << 4 * (BAND_DIGITS - 1)
+
+
+def band_keys(digits: np.ndarray, least: float) -> np.ndarray:
+    """Numbers of which fingerprints alike to ``least`` share one or more: cell, band, the digit left out, the other digits."""
+    n = len(digits)
+    if not n:
+        return np.zeros(0, np.int64)
+    weights, (_, cell_of) = _weights(), _cells()
+    fewest = max(int(np.searchsorted(weights, least * weights[n] * (1 - 1e-9))), 1)
+    padded = np.append(digits, 0).astype(np.int64)
+    powers = 1 << 4 * np.arange(BAND_DIGITS - 1, dtype=np.int64)
+    picks = [_picks(cell, least) for cell in range(cell_of[fewest], cell_of[n] + 1)]
+    return np.concatenate([padded[places] @ powers + tags for places, tags in picks])
+
+
+def banded(nodes: DataFrame, least: float) -> DataFrame:
+    """node and band for every band of (node, print)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1_000):
+                batch = whole.slice(at, 1_000)
+                keys = [band_keys(as_digits(p), least) for p in batch.column("print").to_pylist()]
+                rows = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+                bands = pa.array(np.concatenate(keys), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("node").take(rows), bands], ["node", "band"])
+
+    return nodes.select("node", "print").mapInArrow(run, "node long, band long")
 
 
 def _verified(least: float):
@@ -269,7 +333,7 @@ def _verified(least: float):
         for batch in batches:
             pairs = zip(batch.column("own").to_pylist(), batch.column("other").to_pylist())
             alike = [likeness(as_digits(a), as_digits(b)) >= least for a, b in pairs]
-            yield batch.select(["id", "node", "head_id"]).filter(pa.array(alike, pa.bool_()))
+            yield batch.select(["node", "other_node"]).filter(pa.array(alike, pa.bool_()))
 
     return run
 
@@ -277,22 +341,38 @@ def _verified(least: float):
 def near_documents(prints: DataFrame, scratch: Workspace, *, least: float = 0.8) -> DataFrame:
     """The rows (id, fingerprint, and what else there is) with near_id.
 
-    Equal fingerprints are one node, which stands at its smallest id. A node is held against the first nodes of its bands;
-    near_id is the smallest id among those with a likeness of ``least`` or more, and the node's own. A node without an id is like none.
+    Equal fingerprints are one node, which stands at its smallest id. near_id is the smallest id of all nodes with a likeness of
+    ``least`` or more, the node's own included. A node without an id is like none.
     """
-    nodes = scratch.save(
-        prints.groupBy(F.col("fingerprint").alias("print")).agg(F.min("id").alias("id")).withColumn("node", F.xxhash64("print")), "nodes"
-    )
+    texts = prints.groupBy(F.col("fingerprint").alias("print")).agg(F.min("id").alias("id"))
+    # Numbers in order of the id: smaller than a digest in the exchange of the bands.
+    nodes = scratch.save(number_rows(texts, "node", ["id", "print"], scratch=scratch), "nodes")
     known = nodes.where("id IS NOT NULL")
-    own = banded(known)
-    # The digest tells texts apart that share an id.
-    heads = own.groupBy("band").agg(F.min(F.struct("id", "node")).alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    met = own.join(heads, "band").where("head < struct(id, node)")
-    met = met.select("id", "node", F.col("head.id").alias("head_id"), F.col("head.node").alias("head_node")).distinct()
-    other = known.select(F.col("id").alias("head_id"), F.col("node").alias("head_node"), F.col("print").alias("other"))
-    pairs = met.join(known.withColumnRenamed("print", "own"), ["id", "node"]).join(other, ["head_id", "head_node"])
-    id_type = nodes.schema["id"].dataType.simpleString()
-    close = pairs.mapInArrow(_verified(least), f"id {id_type}, node long, head_id {id_type}")
-    chosen = close.groupBy("id", "node").agg(F.min("head_id").alias("head_id"))
-    final = nodes.join(chosen, ["id", "node"], "left").select(F.md5("print").alias("_print"), F.coalesce("head_id", "id").alias("near_id"))
+    ordered = Window.partitionBy("band").orderBy("node")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = banded(known, least).select(
+        "*",
+        F.row_number().over(ordered).alias("place"),
+        F.first("node").over(ordered).alias("head"),
+        F.nth_value("node", 2).over(whole).alias("second"),
+    )
+    # Bands that one node has alone, and the first nodes of the others, are left out.
+    met = scratch.save(placed.where("place > 1"), "met")
+
+    def smallest(pairs: DataFrame, name: str) -> DataFrame:
+        """node and the smallest other_node that is like it, of (node, other_node); written."""
+        other = known.select(F.col("node").alias("other_node"), F.col("print").alias("other"))
+        both = pairs.distinct().join(known.select("node", F.col("print").alias("own")), "node").join(other, "other_node")
+        close = both.mapInArrow(_verified(least), "node long, other_node long")
+        return scratch.save(close.groupBy("node").agg(F.min("other_node").alias(name)), name)
+
+    first = smallest(met.select("node", F.col("head").alias("other_node")), "first")
+    # What is smaller than the smallest found so far, among the others of a band.
+    seeking = met.where("place > 2").join(first, "node", "left").withColumn("most", F.coalesce("first", "node"))
+    others = met.select("band", F.col("node").alias("other_node"))
+    rest = seeking.where("second < most").select("band", "node", "most").join(others, "band").where("other_node < most")
+    then = smallest(rest.select("node", "other_node"), "then")
+    found = first.join(then, "node", "full").select("node", F.coalesce("then", "first").alias("like"))
+    near = found.join(known.select(F.col("node").alias("like"), F.col("id").alias("like_id")), "like").drop("like")
+    final = nodes.join(near, "node", "left").select(F.md5("print").alias("_print"), F.coalesce("like_id", "id").alias("near_id"))
     return prints.withColumn("_print", F.md5("fingerprint")).join(final, "_print").drop("_print")

@@ -129,6 +129,25 @@ def test_hot_band_makes_a_row_for_each_node(spark, scratch):
     assert len(got) == 600 and {r.near_id for r in got} == {0}
 
 
+@pytest.mark.parametrize("least", [0.8, 0.6])
+def test_near_documents_leave_out_no_pair(spark, scratch, least):
+    """Against all pairs: digits changed at random places, ends cut, likenesses about the least one."""
+    rng, prints = random.Random(11), []
+    for n in [1, 2, 4, 5, 9, 15, 16, 23, 40, 63, 64, 71, 96, 101, 128, 150, 163, 200, 260]:
+        base = [rng.randrange(16) for _ in range(n)]
+        for _ in range(12):
+            spoilt = 1.6 * rng.random() * (1 - least)
+            near = [rng.randrange(16) if rng.random() < spoilt else d for d in base]
+            prints.append("".join(f"{d:x}" for d in near[: n - int(rng.random() * n / 12)]))
+    rng.shuffle(prints)
+    digits = [ee.as_digits(p) for p in prints]
+    alike = [[ee.likeness(a, b) >= least for b in digits] for a in digits]
+    assert sum(map(sum, alike)) > 3 * len(prints)
+    table = spark.createDataFrame(list(enumerate(prints)), "id long, fingerprint string").repartition(3)
+    got = {r.id: r.near_id for r in ee.near_documents(table, scratch, least=least).collect()}
+    assert got == {k: row.index(True) for k, row in enumerate(alike)}
+
+
 def test_query(spark):
     rows = entry.queries()["op13_edit_embedding"](spark, FOLDER).collect()
     docs = duck().execute("select doc_id, coalesce(text, '') from documents order by doc_id desc").fetchall()
