@@ -119,3 +119,10 @@ def test_upsert_refuses_rows_that_repeat_their_grain(spark, scratch, star, tmp_p
         facts.upsert_fact(facts.with_month(fact), facts.with_month(fact.union(fact)))
     assert store.read("fact_sales").count() == fact.count()
     assert store.upsert_fact(fact.limit(0)) == []
+
+
+def test_the_fact_is_gathered_by_month_only_where_it_is_stored_so(star):
+    """Its lines go through the exchanges of the join by order, and no other."""
+    plan = facts.build_fact_sales(*star)._jdf.queryExecution().executedPlan().toString()
+    assert facts.MONTH in plan and "REBALANCE" not in plan
+    assert "REBALANCE" in facts.by_month(facts.build_fact_sales(*star))._jdf.queryExecution().executedPlan().toString()
