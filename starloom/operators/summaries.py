@@ -11,6 +11,8 @@ category paths, whatever the number of orders.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.labels import CANCELLED
@@ -25,31 +27,44 @@ SUMS = {"net": "net_amount", "gross": "gross_amount", "profit": "profit_amount",
 def month_partials(fact: DataFrame, product: DataFrame) -> DataFrame:
     """order_month, the category path, net, gross, profit, quantity, and the four counts of orders; sales only.
 
-    Lines are reduced to one row per order and path first, and these meet by order: a product, a category or an order
-    with most of the lines is reduced before anything is shuffled.
+    Sums need no orders and combine on the map side. For the counts, lines are reduced to one row per order and path first, and
+    these meet by order: a product, a category or an order with most of the lines is reduced before anything is shuffled. These rows
+    hold numbers, in order of the paths, and neither texts nor measures.
     """
     sales = fact.filter(F.col("order_status") != CANCELLED)
-    per_order = (
+    sums = (
         sales.join(product.select("product_key", *PATH), "product_key")
-        .groupBy("order_id", MONTH, *PATH)
+        .groupBy(MONTH, *PATH)
         .agg(*[F.sum(c).alias(n) for n, c in SUMS.items()])
     )
 
+    # One row for each path.
+    order = [F.asc_nulls_first(c) for c in PATH]
+    levels = [F.dense_rank().over(Window.orderBy(*order[:n])).alias(f"_level{n}") for n in (1, 2, 3)]
+    paths = product.select(*PATH).distinct().select(*PATH, *levels)
+    names = [f"_level{n}" for n in (1, 2, 3)]
+    named = paths.select(*names, *[F.col(c).alias(f"_of_{c}") for c in PATH])
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in PATH])
+    placed = product.select("product_key", *PATH).join(named, same).select("product_key", *names)
+    held = sales.select("order_id", MONTH, "product_key").join(placed, "product_key").select("order_id", MONTH, *names).distinct()
+
     def first(*level: str):
         """1 on one of an order's rows in each part of a level; an order has a row for each of its paths."""
-        rows = Window.partitionBy("order_id", *level).orderBy(*[F.asc_nulls_first(c) for c in PATH if c not in level])
+        rows = Window.partitionBy("order_id", *level).orderBy(names[-1])
         return F.when(F.row_number().over(rows) == 1, 1).otherwise(0)
 
-    marked = per_order.repartition("order_id").select(
+    marked = held.repartition("order_id").select(
         MONTH,
-        *PATH,
-        *SUMS,
+        names[-1],
         F.lit(1).alias("path_orders"),
-        first(*PATH[:2]).alias("category_orders"),
-        first(*PATH[:1]).alias("parent_orders"),
+        first(*names[:2]).alias("category_orders"),
+        first(*names[:1]).alias("parent_orders"),
         first().alias("orders"),
     )
-    return marked.groupBy(MONTH, *PATH).agg(*[F.sum(c).alias(c) for c in (*SUMS, *ORDER_COUNTS)])
+    counts = marked.groupBy(MONTH, names[-1]).agg(*[F.sum(c).alias(c) for c in ORDER_COUNTS])
+    counts = counts.join(paths, names[-1]).select(MONTH, *PATH, *ORDER_COUNTS)
+    both = sums.unionByName(counts, allowMissingColumns=True)
+    return both.groupBy(MONTH, *PATH).agg(*[F.sum(c).alias(c) for c in (*SUMS, *ORDER_COUNTS)])
 
 
 def paths_digest(product: DataFrame) -> DataFrame:

@@ -77,6 +77,24 @@ def test_counts_of_orders_add_up_at_every_level(spark):
     assert len(got) == len(distinct(0, 1, 2, 3))
 
 
+def _exchanges(plan):
+    """The exchanges below a node of a plan."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _exchanges(plan.initialPlan())
+    below = [plan.children().apply(i) for i in range(plan.children().size())]
+    return [plan] * (plan.nodeName() == "Exchange") + [x for b in below for x in _exchanges(b)]
+
+
+def test_rows_of_orders_are_shuffled_without_texts_and_measures(spark):
+    plan = summaries.month_partials(facts.with_month(fact(spark, lines(range(1, 20)))), product(spark))._jdf.queryExecution()
+    wide = [
+        x.output().mkString(",")
+        for x in _exchanges(plan.executedPlan())
+        if "order_id" in x.output().mkString(",")
+    ]
+    assert wide and not any(c in x for x in wide for c in (*summaries.PATH, *summaries.SUMS.values()))
+
+
 def test_parts_without_common_orders_stack(spark):
     whole = facts.with_month(fact(spark, lines(range(1, 80))))
     parts = [summaries.month_partials(whole.where(f"order_id % 2 = {k}"), product(spark)) for k in (0, 1)]
