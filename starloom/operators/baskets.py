@@ -19,13 +19,14 @@ def item_counts(baskets: DataFrame) -> DataFrame:
 
 
 def _listed_pairs(
-    baskets: DataFrame, frequency: DataFrame, min_pair: int, part_items: int
+    baskets: DataFrame, frequency: DataFrame, min_pair: int, part_items: int, scratch: Workspace | None = None
 ) -> DataFrame:
     """item_a, item_b: a row for every basket that holds both, of items frequent enough.
 
     Each basket is cut into as many parts as its size asks for, one if it is small. Each part
     meets the whole basket under a key of its own, so the pairs of one basket are made
-    by as many tasks, and no task holds more than a part's share of them.
+    by as many tasks, and no task holds more than a part's share of them. With ``scratch``, the baskets are written with
+    their parts, for pairs that are listed more than once.
     """
     frequent = frequency.filter(F.col("n") >= min_pair).select("item")
     kept = baskets.join(frequent, "item")
@@ -33,6 +34,8 @@ def _listed_pairs(
     sized = kept.join(sizes, "basket").select(
         "basket", "item", F.ceil(F.col("n") / part_items).cast("int").alias("parts")
     )
+    if scratch:
+        sized = scratch.save(sized, "sized")
     part = F.pmod(F.xxhash64("item"), F.col("parts")).cast("int").alias("part")
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     left = sized.select("basket", part, F.col("item").alias("item_a"))
@@ -91,8 +94,9 @@ def pair_counts(
     items. A bucket with fewer than ``min_pair`` pairs holds no pair of that many baskets, so
     only pairs of the other buckets are counted one by one. The result is the same.
     """
-    pairs = _listed_pairs(baskets, frequency, min_pair, part_items)
-    if buckets and min_pair > 1:
+    screened = buckets and min_pair > 1
+    pairs = _listed_pairs(baskets, frequency, min_pair, part_items, scratch if screened else None)
+    if screened:
         maps = frequent_buckets(pairs, min_pair, buckets)
         pairs = in_frequent_buckets(pairs, scratch.save(maps, "pair-buckets") if scratch else maps, buckets)
     counted = pairs.groupBy("item_a", "item_b").agg(F.count("*").alias("n_pair"))

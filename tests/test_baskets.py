@@ -66,3 +66,13 @@ def test_buckets_leave_few_pairs_to_count(spark):
     # One bucket screens nothing and loses nothing.
     got = pairs_screened(df, item_counts(df), 4, 1).first()
     assert (got.listed_before, got.listed_after, got.frequent) == (listed, listed, len(wanted))
+
+
+def test_listed_baskets_are_joined_once_for_both_counts(spark, scratch):
+    """With a folder to write to, screening and counting read the same stored rows: no join by basket is left to do again."""
+    rows = [(b, i) for b in range(40) for i in (b % 5, b % 7 + 10, b % 3 + 20)]
+    baskets = scratch.save(spark.createDataFrame(rows, "basket long, item long"), "given")
+    counted = pair_counts(baskets, item_counts(baskets), 2, buckets=1 << 10, scratch=scratch)
+    read = counted.inputFiles()
+    assert any("sized" in f for f in read) and not any("given" in f for f in read)
+    assert {(r.item_a, r.item_b): r.n_pair for r in counted.collect()} == brute_force(rows, 2)
