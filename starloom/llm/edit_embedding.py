@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.llm.common import mix64
+from starloom.operators.checks import stack_rows
 from starloom.operators.ordering import number_rows
 from starloom.workspace import Workspace
 
@@ -45,6 +46,10 @@ OCTAVES = 40
 PART = 1_000_000
 #: Digits of a band; one of them may differ.
 BAND_DIGITS = 7
+#: Bands are met in so many rounds, so that only a share of their rows is in an exchange at any time.
+ROUNDS = 4
+#: Last digits that decide whether a pair is compared as a whole.
+TAIL = 32
 DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
 
 
@@ -231,7 +236,7 @@ def edited_fingerprints(docs: DataFrame, scratch: Workspace, *, id_col: str = "d
         schema = pa.schema(list(zip(["id", "split", "side", "text", *names], types)))
         return pa.RecordBatch.from_pylist(rows, schema)
 
-    found = scratch.save(ordered.mapInArrow(run, kinds), "fingerprints")
+    found = scratch.save_and_release(ordered.mapInArrow(run, kinds), "fingerprints")
     inner = found.where("side IS NULL").select("id", *names)
 
     # One row of each side for every partition that has rows; the next partition's first row follows the last one's.
@@ -289,19 +294,24 @@ def scheme(cell: int, least: float) -> list[np.ndarray]:
 
 
 @cache
-def _picks(cell: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the digits of all bands without one digit each, and what tells the keys made of them apart."""
+def _picks(cell: int, least: float, turn: int, turns: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the digits of a round's bands without one digit each, and what tells the keys made of them apart."""
     rows, tags = [], []
     for n, places in enumerate(scheme(cell, least)):
+        if n % turns != turn:
+            continue
         for without in range(max(len(places), 1)):
             left = np.delete(places, without) if len(places) else places
             rows.append(np.concatenate((left, np.full(BAND_DIGITS - 1 - len(left), -1))))
             tags.append(((cell << 9) + n << 3) + without)
-    return np.array(rows, np.int64), np.array(tags, np.int64) << 4 * (BAND_DIGITS - 1)
+    return np.array(rows, np.int64).reshape(-1, BAND_DIGITS - 1), np.array(tags, np.int64) << 4 * (BAND_DIGITS - 1)
 
 
-def band_keys(digits: np.ndarray, least: float) -> np.ndarray:
-    """Numbers of which fingerprints alike to ``least`` share one or more: cell, band, the digit left out, the other digits."""
+def band_keys(digits: np.ndarray, least: float, turn: int = 0, turns: int = 1) -> np.ndarray:
+    """Numbers of which fingerprints alike to ``least`` share one or more: cell, band, the digit left out, the other digits.
+
+    Every band has its turn in one of ``turns`` rounds.
+    """
     n = len(digits)
     if not n:
         return np.zeros(0, np.int64)
@@ -309,18 +319,18 @@ def band_keys(digits: np.ndarray, least: float) -> np.ndarray:
     fewest = max(int(np.searchsorted(weights, least * weights[n] * (1 - 1e-9))), 1)
     padded = np.append(digits, 0).astype(np.int64)
     powers = 1 << 4 * np.arange(BAND_DIGITS - 1, dtype=np.int64)
-    picks = [_picks(cell, least) for cell in range(cell_of[fewest], cell_of[n] + 1)]
+    picks = [_picks(cell, least, turn, turns) for cell in range(cell_of[fewest], cell_of[n] + 1)]
     return np.concatenate([padded[places] @ powers + tags for places, tags in picks])
 
 
-def banded(nodes: DataFrame, least: float) -> DataFrame:
-    """node and band for every band of (node, print)."""
+def banded(nodes: DataFrame, least: float, turn: int = 0, turns: int = 1) -> DataFrame:
+    """node and band for every band of (node, print) that has its turn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1_000):
                 batch = whole.slice(at, 1_000)
-                keys = [band_keys(as_digits(p), least) for p in batch.column("print").to_pylist()]
+                keys = [band_keys(as_digits(p), least, turn, turns) for p in batch.column("print").to_pylist()]
                 rows = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
                 bands = pa.array(np.concatenate(keys), pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("node").take(rows), bands], ["node", "band"])
@@ -338,6 +348,48 @@ def _verified(least: float):
     return run
 
 
+def _tails(nodes: DataFrame) -> DataFrame:
+    """node, n, tail: the number of digits of (node, print), and the last of them, two in a byte."""
+    end = F.substring("print", -TAIL, TAIL)
+    return nodes.select("node", F.length("print").alias("n"), F.unhex(F.rpad(end, TAIL, "0")).alias("tail"))
+
+
+def may_be_alike(n: np.ndarray, tails: np.ndarray, other_n: np.ndarray, other_tails: np.ndarray, least: float) -> np.ndarray:
+    """Whether what two fingerprints' numbers of digits and last digits tell leaves a likeness of ``least`` possible.
+
+    ``tails`` are rows of TAIL digits that begin at digit n - TAIL, or at the first one. Places that only one tail has count as
+    equal, those past the shorter fingerprint as unequal.
+    """
+    _, parts = sampled_steps()
+    weights = _weights()
+    low, high = np.minimum(n, other_n), np.maximum(n, other_n)
+    unequal = weights[high] - weights[low]
+    begin, other_begin = np.maximum(n - TAIL, 0), np.maximum(other_n - TAIL, 0)
+    for k in range(TAIL):
+        at = begin + k
+        there = at - other_begin
+        both = (at < low) & (there >= 0) & (there < TAIL)
+        digit = np.take_along_axis(other_tails, np.where(both, there, 0)[:, None], 1)[:, 0]
+        unequal = unequal + np.where(both & (tails[:, k] != digit), parts[np.where(both, at, 0)], 0.0)
+    return unequal <= (1 - least) * weights[high] * (1 + 1e-9) + 1e-9
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, TAIL // 2)
+    return np.stack((raw >> 4, raw & 15), 2).reshape(-1, TAIL)
+
+
+def _possible(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("n", "other_n")]
+            tails = [_unpacked(batch.column(c)) for c in ("tail", "other_tail")]
+            may = may_be_alike(counts[0], tails[0], counts[1], tails[1], least)
+            yield batch.select(["node", "other_node"]).filter(pa.array(may, pa.bool_()))
+
+    return run
+
+
 def near_documents(prints: DataFrame, scratch: Workspace, *, least: float = 0.8) -> DataFrame:
     """The rows (id, fingerprint, and what else there is) with near_id.
 
@@ -348,31 +400,45 @@ def near_documents(prints: DataFrame, scratch: Workspace, *, least: float = 0.8)
     # Numbers in order of the id: smaller than a digest in the exchange of the bands.
     nodes = scratch.save(number_rows(texts, "node", ["id", "print"], scratch=scratch), "nodes")
     known = nodes.where("id IS NOT NULL")
+    tails = _tails(known)
     ordered = Window.partitionBy("band").orderBy("node")
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    placed = banded(known, least).select(
-        "*",
-        F.row_number().over(ordered).alias("place"),
-        F.first("node").over(ordered).alias("head"),
-        F.nth_value("node", 2).over(whole).alias("second"),
-    )
-    # Bands that one node has alone, and the first nodes of the others, are left out.
-    met = scratch.save(placed.where("place > 1"), "met")
+
+    def met(turn: int) -> DataFrame:
+        """The rows of a round's bands, written. Bands that one node has alone, and the first nodes of the others, are left out."""
+        placed = banded(known, least, turn, ROUNDS).select(
+            "*",
+            F.row_number().over(ordered).alias("place"),
+            F.first("node").over(ordered).alias("head"),
+            F.nth_value("node", 2).over(whole).alias("second"),
+        )
+        return scratch.save_and_release(placed.where("place > 1"), "met")
 
     def smallest(pairs: DataFrame, name: str) -> DataFrame:
         """node and the smallest other_node that is like it, of (node, other_node); written."""
+        tail = tails.select(F.col("node").alias("other_node"), F.col("n").alias("other_n"), F.col("tail").alias("other_tail"))
+        narrow = pairs.distinct().join(tails, "node").join(tail, "other_node")
+        # Most pairs share a band by chance: whole fingerprints go only with those that may be alike by their last digits.
+        may = scratch.save_and_release(narrow.mapInArrow(_possible(least), "node long, other_node long"), "possible")
         other = known.select(F.col("node").alias("other_node"), F.col("print").alias("other"))
-        both = pairs.distinct().join(known.select("node", F.col("print").alias("own")), "node").join(other, "other_node")
+        both = may.join(known.select("node", F.col("print").alias("own")), "node").join(other, "other_node")
         close = both.mapInArrow(_verified(least), "node long, other_node long")
-        return scratch.save(close.groupBy("node").agg(F.min("other_node").alias(name)), name)
+        return scratch.save_and_release(close.groupBy("node").agg(F.min("other_node").alias("like")), name)
+
+    def least_of(found: list[DataFrame], name: str) -> DataFrame:
+        return stack_rows(found).groupBy("node").agg(F.min("like").alias(name))
 
-    first = smallest(met.select("node", F.col("head").alias("other_node")), "first")
+    rounds = [met(turn) for turn in range(ROUNDS)]
+    heads = [smallest(m.select("node", F.col("head").alias("other_node")), "first") for m in rounds]
+    first = scratch.save_and_release(least_of(heads, "first"), "first")
     # What is smaller than the smallest found so far, among the others of a band.
-    seeking = met.where("place > 2").join(first, "node", "left").withColumn("most", F.coalesce("first", "node"))
-    others = met.select("band", F.col("node").alias("other_node"))
-    rest = seeking.where("second < most").select("band", "node", "most").join(others, "band").where("other_node < most")
-    then = smallest(rest.select("node", "other_node"), "then")
-    found = first.join(then, "node", "full").select("node", F.coalesce("then", "first").alias("like"))
+    then = []
+    for m in rounds:
+        seeking = m.where("place > 2").join(first, "node", "left").withColumn("most", F.coalesce("first", "node"))
+        others = m.select("band", F.col("node").alias("other_node"))
+        rest = seeking.where("second < most").select("band", "node", "most").join(others, "band").where("other_node < most")
+        then.append(smallest(rest.select("node", "other_node"), "then"))
+    found = first.join(least_of(then, "then"), "node", "full").select("node", F.coalesce("then", "first").alias("like"))
     near = found.join(known.select(F.col("node").alias("like"), F.col("id").alias("like_id")), "like").drop("like")
     final = nodes.join(near, "node", "left").select(F.md5("print").alias("_print"), F.coalesce("like_id", "id").alias("near_id"))
     return prints.withColumn("_print", F.md5("fingerprint")).join(final, "_print").drop("_print")
