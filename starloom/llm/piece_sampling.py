@@ -45,10 +45,12 @@ _TRUE_MARK = "\udfff"
 CUT_BYTES, LATTICE_CHARS = 1_000_000, 150_000
 #: Ids that one step decodes, about.
 DECODE_IDS = 200_000
+#: In place of a piece's id: longer pieces end so, or none does.
+ONLY_END, NO_END = -1, -2
 
 
 class Pieces:
-    """The vocabulary: pieces by id, log-probabilities, and a table from the hash of a piece to its id."""
+    """The vocabulary: pieces by id, log-probabilities, and a table from the hash of a piece's end to the piece that it is."""
 
     def __init__(self, model: bytes, sharpness: float = SHARPNESS):
         from sentencepiece import SentencePieceProcessor
@@ -80,25 +82,38 @@ class Pieces:
         self.log_p[ids] = -sharpness * np.log(np.array(ranks) + SHIFT)
         self.byte_log_p = -sharpness * np.log(n + SHIFT)
         self.longest = max(lengths)
-        # Open addressing over the 64-bit hashes; a quarter full, so that few steps find or miss a piece.
-        bits = int(np.ceil(np.log2(4 * len(texts))))
+        # The ends of all pieces, a piece itself among them: a text's end that is none of these ends no piece.
+        hashes, of = self._ends(texts, np.array(lengths, np.int64), np.array(ids, np.int32))
+        # Open addressing over the 64-bit hashes; a quarter full, so that few steps find or miss one.
+        bits = int(np.ceil(np.log2(4 * len(hashes))))
         self.shift = np.uint64(64 - bits)
         size = 1 << bits
-        self.keys, self.ids = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
-        for text, i in zip(texts, ids):
-            h = self._hash(np.array([list(map(ord, text))], np.uint64))
-            at = int(h >> self.shift)
-            while self.ids[at] >= 0:
-                at = (at + 1) % size
-            self.keys[at], self.ids[at] = h, i
+        self.keys, self.ids = np.zeros(size, np.uint64), np.full(size, NO_END, np.int32)
+        rest, at = np.arange(len(hashes)), (hashes >> self.shift).astype(np.int64)
+        while len(rest):
+            _, one = np.unique(at, return_index=True)  # one of those that want a place
+            one = one[self.ids[at[one]] == NO_END]
+            self.keys[at[one]], self.ids[at[one]] = hashes[rest[one]], of[rest[one]]
+            rest, at = np.delete(rest, one), (np.delete(at, one) + 1) & (size - 1)
 
     @staticmethod
-    def _hash(codes: np.ndarray) -> np.uint64:
-        h = np.uint64(0)
+    def _ends(texts: list[str], lengths: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all ends of the pieces, and the id of the piece that each is, or ONLY_END."""
+        size, longest = len(texts), int(lengths.max())
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.uint64)
+        back = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))
+        piece = np.repeat(np.arange(size), lengths)
+        terms = np.zeros((size, longest + 1), np.uint64)
         with np.errstate(over="ignore"):
-            for c in codes[0]:
-                h = (h + c + np.uint64(1)) * _MULTIPLIER
-        return mix64(np.array([h]))[0]
+            powers = np.cumprod(np.full(longest, _MULTIPLIER))
+            terms[piece, back] = (codes + np.uint64(1)) * powers[back - 1]
+            hashes = mix64(np.cumsum(terms, axis=1)[piece, back])
+        # Of equal ends, the piece comes first.
+        of = np.where(back == lengths[piece], ids[piece], ONLY_END)
+        order = np.lexsort((of, of == ONLY_END, hashes))
+        hashes, of = hashes[order], of[order]
+        first = np.concatenate(([True], hashes[1:] != hashes[:-1]))
+        return hashes[first], of[first]
 
     def spellings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The bytes of all pieces in one array, where each piece's begin, and their number."""
@@ -106,17 +121,19 @@ class Pieces:
         return np.frombuffer(b"".join(self.bytes_of), np.uint8), np.cumsum(sizes) - sizes, sizes
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        """Ids of the pieces with these hashes, -1 where there is none."""
+        """Ids of the pieces with these hashes, ONLY_END where longer pieces end so, NO_END where none does."""
         h = mix64(h)
         at = (h >> self.shift).astype(np.int64)
-        out = np.where(self.keys[at] == h, self.ids[at], -1)
-        rest = np.flatnonzero((out < 0) & (self.ids[at] >= 0))  # the others are at a free place
+        there = self.ids.take(at)
+        hit = self.keys.take(at) == h
+        out = np.where(hit, there, NO_END)
+        rest = np.flatnonzero(~hit & (there != NO_END))  # the others are at a free place
         at = at[rest]
         while len(rest):
             at = (at + 1) & (len(self.ids) - 1)
             hit = self.keys[at] == h[rest]
             out[rest[hit]] = self.ids[at[hit]]
-            on = ~hit & (self.ids[at] >= 0)
+            on = ~hit & (self.ids[at] != NO_END)
             rest, at = rest[on], at[on]
         return out
 
@@ -158,23 +175,28 @@ class Lattice:
                 powers.append(powers[-1] * _MULTIPLIER)
             for t in range(1, self.deepest + 1):
                 n, most = int(self.n[t]), min(t, p.longest)
-                h = np.zeros(n, np.uint64)
-                found = np.empty((most, n), np.int32)
+                here = self.codes[self.first[t] : self.first[t] + n]
+                found = np.full((n, most), NO_END, np.int32)
+                # Ends that some piece has are made longer, by the character before; its first character is multiplied most.
+                rows, h = np.arange(n), np.zeros(n, np.uint64)
                 for l in range(1, most + 1):
-                    # The piece's first character is multiplied most.
-                    back = self.first[t - l + 1]
-                    h += (self.codes[back : back + n] + np.uint64(1)) * powers[l]
-                    found[l - 1] = p.find(h)
+                    h += (self.codes[self.first[t - l + 1] + rows] + np.uint64(1)) * powers[l]
+                    got = p.find(h)
+                    found[rows, l - 1] = got
+                    on = got != NO_END
+                    rows, h = rows[on], h[on]
+                    if not len(rows):
+                        break
                 # A character without a piece of its own is spelt in bytes.
                 fits = found >= 0
-                spelt = ~fits[0]
-                fits[0] = True
-                row, back = np.nonzero(np.ascontiguousarray(fits.T))
-                piece = found[back, row]
+                spelt = ~fits[:, 0]
+                fits[:, 0] = True
+                row, back = np.nonzero(fits)
+                piece = found[row, back]
                 log_p = np.where(piece >= 0, p.log_p[piece], 0.0) + alpha[self.first[t - 1 - back] + row]
                 starts = np.flatnonzero(row[1:] != row[:-1]) + 1
                 starts = np.concatenate((np.zeros(1, np.int64), starts))
-                code = self.codes[self.first[t] : self.first[t] + n][spelt]
+                code = here[spelt]
                 log_p[starts[spelt]] += utf8_length(code) * p.byte_log_p
                 count = np.diff(starts, append=len(row))
                 top = np.maximum.reduceat(log_p, starts)

@@ -85,3 +85,23 @@ def test_empty_table_and_foreign_ids(spark, pieces):
 def test_steps_bound_a_worker():
     """A worker's lattice, draws and joined text stay within some 100 MB beside its batch; 200 bytes a lattice character."""
     assert ps.LATTICE_CHARS * 200 <= 30e6 and ps.CUT_BYTES <= 1_000_000 and ps.DECODE_IDS <= 200_000
+
+
+def test_lattices_look_up_what_can_end_a_piece(pieces, monkeypatch):
+    rng = np.random.default_rng(4)
+    names = {pieces.bytes_of[i].decode(): i for i in np.flatnonzero(np.isfinite(pieces.log_p))}
+    some = rng.choice(sorted(names), 60).tolist()
+    units = ["".join(rng.choice(list("qxzjvk"), 90)), "漢" * 40, *("▁" + a.strip() + b.strip() for a, b in zip(some[::2], some[1::2]))]
+    units = [u.replace(" ", ps.MARK) for u in units]
+    looked, find = [], pieces.find
+    monkeypatch.setattr(pieces, "find", lambda h: looked.append(len(h)) or find(h))
+    lattice = ps.Lattice(pieces, units)
+    for unit, rank in zip(units, lattice.rank):
+        for depth in range(1, len(unit) + 1):
+            place = lattice.first[depth] + rank
+            edges = slice(lattice.edge_first[place], lattice.edge_last[place] + 1)
+            got = {(l, i) for l, i in zip(lattice.length[edges].tolist(), lattice.id[edges].tolist()) if i >= 0}
+            ends = {l: names.get(unit[depth - l : depth].replace(ps.MARK, " ")) for l in range(1, depth + 1)}
+            assert got == {(l, i) for l, i in ends.items() if i is not None}
+    # Random letters end hardly any piece; they were looked up with up to 16 lengths each.
+    assert sum(looked) < 6 * sum(map(len, units))
