@@ -103,9 +103,7 @@ class Warehouse:
     @built_once
     def _lines(self) -> DataFrame:
         lines = orderdata.order_lines(self.raw("lineitem"), self.dim_product)
-        return number_rows(
-            lines, "order_item_id", ["order_id", "product_id"], scratch=self.scratch
-        )
+        return number_rows(lines, "order_item_id", orderdata.LINE_ORDER, scratch=self.scratch, ranged=True)
 
     @built_once
     def order_items(self) -> DataFrame:

@@ -17,7 +17,7 @@ from starloom.functions.labels import CANCELLED, ONLINE, PAID_STATUSES
 from starloom.operators.checks import stack_rows
 from starloom.operators.ordering import number_rows
 from starloom.sources.contracts import SOURCE_TABLES
-from starloom.workspace import Workspace
+from starloom.workspace import Workspace, splits
 
 PRICE = "decimal(10,2)"
 RETAIL_CHANNEL = "in-store"
@@ -44,6 +44,8 @@ def _phone(key: Column, width: int) -> Column:
     return F.concat(F.lit("555-"), F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text))
 
 
+# The grain of an order line, in the order of its ids.
+LINE_ORDER = ("order_id", "product_id")
 # Ids for the leaves of a top level: more than a whole number has size bands.
 LEAF_IDS = 1_000_000_000
 
@@ -155,20 +157,26 @@ def customers(
 def order_lines(lineitem: DataFrame, product: DataFrame) -> DataFrame:
     """Lines at the grain (order, product), with the lowest supplier of each, and the product's key and cost.
 
-    The grouping comes first: it combines on the map side and leaves fewer rows for
-    the product join, the only one that lines go through.
+    They lie in splits by range of ``LINE_ORDER``, so that they can be numbered where they are. Raw lines, few of which share
+    their grain, meet their product and then move once; the sampling that cuts the splits groups nothing. Each product has a
+    key of its own, so that grouping by it too is the same as meeting it afterwards.
     """
-    grouped = lineitem.groupBy(
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")
-    ).agg(
-        F.sum(F.col("l_quantity").cast("decimal(12,2)")).cast("int").alias("quantity"),
-        F.max(F.col("l_discount").cast("decimal(4,2)")).alias("rate"),
-        F.min("l_suppkey").alias("supplier"),
+    raw = lineitem.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
+        F.col("l_discount").cast("decimal(4,2)").alias("rate"),
+        F.col("l_suppkey").alias("supplier"),
+    )
+    kept = product.select("product_id", "product_key", "cost", F.col("unit_price").alias("list_price"))
+    ranged = raw.join(kept, "product_id").repartitionByRange(splits(lineitem.sparkSession), *[F.asc(c) for c in LINE_ORDER])
+    grouped = ranged.groupBy(*LINE_ORDER, "product_key", "cost", "list_price").agg(
+        F.sum("quantity").cast("int").alias("quantity"),
+        F.max("rate").alias("rate"),
+        F.min("supplier").alias("supplier"),
     )
     markup = (100 + F.col("order_id") % 41).cast("int") * F.lit(Decimal("0.01"))
-    priced = grouped.join(
-        product.select("product_id", "product_key", "cost", F.col("unit_price").alias("list_price")), "product_id"
-    ).withColumn("unit_price", F.round(F.col("list_price") * markup, 2).cast(PRICE))
+    priced = grouped.withColumn("unit_price", F.round(F.col("list_price") * markup, 2).cast(PRICE))
     return priced.select(
         "order_id",
         "product_id",
