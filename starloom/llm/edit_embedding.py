@@ -11,12 +11,13 @@ so every stretch of a text of any length is seen; each sample is one hex digit,
 that a text reaches are its fingerprint. The likeness of two fingerprints is the share of steps with equal digits, each sample
 standing for its part of the octave, over the longer one's steps.
 
-``near_documents`` finds copies, and leaves out none: equal fingerprints are one node. Digits are cut into bands so many that
-not all of them can have two unequal digits in fingerprints that are alike; so two such nodes agree in a band but for one
-digit of it, and share the band without that digit. What a band decides on depends on the shorter one's digits: the longer one
-has bands for every number of digits that the shorter one may have. Nodes that share a band are compared by the likeness of their
-fingerprints, first with the band's smallest id, then with those that are smaller than the smallest found so far. So a
-band that a third of all nodes have in common costs a row for each of them if they are copies; pairs are made of what is unlike it.
+``near_documents`` finds copies, and leaves out none: equal fingerprints are one node. Digits are cut into bands, and those of
+a fingerprint are so many that not all can have two unequal digits in fingerprints that are alike; so two such nodes agree in a band
+but for one digit of it, and share the band without that digit. Rows of a band carry the node's last digits, so that nodes which
+share it by chance are told apart where they meet, in numbers and not as rows: a task has a band's rows in order and passes
+each node's smaller others. What may be alike by the last digits is compared as whole fingerprints, of each band first the
+smallest other of a node, then, where these leave it open, all that are smaller than the smallest found. So a band that a third of
+all nodes have in common costs a row for each of them if they are copies; it is looked at pair by pair as far as they are unlike.
 
 Null texts count as empty and have the empty fingerprint, like only to itself. Repeated rows stay. Texts are walked whole, one
 Arrow batch at a time: a few bytes for each character of one text besides the batch.
@@ -30,7 +31,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.llm.common import mix64
 from starloom.operators.checks import stack_rows
@@ -44,10 +45,14 @@ PERIOD, CLASSES = 4_096, 16
 OCTAVES = 40
 #: Characters that are walked over at once.
 PART = 1_000_000
-#: Digits of a band; one of them may differ.
-BAND_DIGITS = 7
+#: Digits of a band; one of them may differ. Bits of its place, and of a number of digits.
+BAND_DIGITS, WITHOUT_BITS, COUNT_BITS = 8, 3, 11
 #: Bands are met in so many rounds, so that only a share of their rows is in an exchange at any time.
 ROUNDS = 4
+#: Others that a node gets of each band before any is compared as a whole.
+LIMIT = 1
+#: Rows of bands, and pairs of them, that a task looks at in one go.
+ROWS, PAIRS = 50_000, 100_000
 #: Last digits that decide whether a pair is compared as a whole.
 TAIL = 32
 DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
@@ -258,14 +263,6 @@ def edited_fingerprints(docs: DataFrame, scratch: Workspace, *, id_col: str = "d
     return inner.unionByName(pairs.mapInArrow(close, f"id long, {result}"))
 
 
-@cache
-def _cells() -> tuple[np.ndarray, np.ndarray]:
-    """The least number of digits of each cell, and the cell of every number of digits; one scheme of bands serves a cell."""
-    most = len(sampled_steps()[0])
-    starts = np.array([*range(16), *range(16, 2 * DENSE, 4), *range(2 * DENSE, most + 1, 8)])
-    return starts, np.searchsorted(starts, np.arange(most + 1), side="right") - 1
-
-
 @cache
 def _weights() -> np.ndarray:
     """How many steps fingerprints of 0, 1, 2, ... digits stand for."""
@@ -273,69 +270,103 @@ def _weights() -> np.ndarray:
 
 
 @cache
-def scheme(cell: int, least: float) -> list[np.ndarray]:
-    """The bands, as places of digits, for pairs whose shorter fingerprint has a cell's number of digits.
+def scheme(n: int, least: float) -> tuple[int, np.ndarray]:
+    """How many digits a band has for pairs whose shorter fingerprint has ``n``, and what unequal digits it takes to spoil the last, the
+    last two, ... of the bands that it has whole.
 
-    Unequal digits that both have may stand for no more than 1 - ``least`` of the shorter one's steps. To spoil a
-    band takes two of its digits; bands are taken from the last digits on, which weigh most, until spoiling all takes too much.
+    Bands of a size lie side by side from the first digit on, for all fingerprints alike. To spoil a band takes two of its
+    digits. No digits: there are no bands that cannot all be spoilt in fingerprints that are alike.
     """
-    starts, _ = _cells()
-    begin, end = starts[cell], starts[cell + 1] - 1 if cell + 1 < len(starts) else len(sampled_steps()[0])
-    most = (1 - least) * _weights()[end] * (1 + 1e-9)
+    _, parts = sampled_steps()
     for digits in range(BAND_DIGITS, 1, -1):
-        bands, spoilt = [], 0.0
-        for at in range(begin, 1, -digits):
-            places = np.arange(max(at - digits, 0), at)
-            bands.append(places)
-            spoilt += np.sort(sampled_steps()[1][places])[:2].sum()
-            if spoilt > most:
-                return bands
-    return [np.arange(0)]  # all meet
+        whole = parts[: n // digits * digits].reshape(-1, digits)
+        spoilt = np.cumsum(np.sort(whole, 1)[::-1, :2].sum(1))
+        if len(spoilt) and spoilt[-1] > (1 - least) * _weights()[n] * (1 + 1e-9):
+            return digits, spoilt
+    return 0, np.zeros(0)
 
 
 @cache
-def _picks(cell: int, least: float, turn: int, turns: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the digits of a round's bands without one digit each, and what tells the keys made of them apart."""
-    rows, tags = [], []
-    for n, places in enumerate(scheme(cell, least)):
-        if n % turns != turn:
+def _bands(n: int, least: float) -> list[tuple[int, int]]:
+    """The bands of a fingerprint of ``n`` digits, as (digits of a band, number): those in which it meets any that is as long or shorter.
+
+    Unequal digits that a pair has both may stand for no more than what the shorter one's steps exceed ``least`` of the longer
+    one's by. Bands are taken from the shorter one's last digits on, which weigh most, until spoiling all takes more.
+    """
+    weights, found = _weights(), set()
+    fewest = max(int(np.searchsorted(weights, least * weights[n] * (1 - 1e-9))), 1)
+    for shorter in range(fewest, n + 1):
+        digits, spoilt = scheme(shorter, least)
+        most = weights[shorter] - least * weights[n] + 1e-9 * weights[n]
+        taken = int(np.searchsorted(spoilt, most, side="right")) + 1
+        # Without bands, all that meet this length do so in one.
+        found.update((digits, shorter // digits - 1 - k) for k in range(taken)) if digits else found.add((0, shorter))
+    return sorted(found)
+
+
+@cache
+def _picks(n: int, least: float, turn: int, turns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the digits of a round's bands without one digit each, what tells the keys made of them apart, and that digit's place."""
+    rows, tags, left_out = [], [], []
+    for digits, number in _bands(n, least):
+        if number % turns != turn:
             continue
-        for without in range(max(len(places), 1)):
-            left = np.delete(places, without) if len(places) else places
+        places = np.arange(digits * number, digits * (number + 1))
+        for without in range(max(digits, 1)):
+            left = np.delete(places, without) if digits else places
             rows.append(np.concatenate((left, np.full(BAND_DIGITS - 1 - len(left), -1))))
-            tags.append(((cell << 9) + n << 3) + without)
-    return np.array(rows, np.int64).reshape(-1, BAND_DIGITS - 1), np.array(tags, np.int64) << 4 * (BAND_DIGITS - 1)
+            tags.append(((digits << 11) + number << WITHOUT_BITS) + without)
+            left_out.append(places[without] if digits else -1)
+    keys = np.array(tags, np.int64) << 4 * (BAND_DIGITS - 1)
+    return np.array(rows, np.int64).reshape(-1, BAND_DIGITS - 1), keys, np.array(left_out, np.int64)
+
+
+def _keys(digits: np.ndarray, least: float, turn: int, turns: int) -> tuple[np.ndarray, np.ndarray]:
+    """``band_keys``, and the digit that each leaves out."""
+    if not len(digits):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    padded = np.append(digits, 0).astype(np.int64)
+    powers = 1 << 4 * np.arange(BAND_DIGITS - 1, dtype=np.int64)
+    places, tags, left_out = _picks(len(digits), least, turn, turns)
+    return padded[places] @ powers + tags, padded[left_out]
 
 
 def band_keys(digits: np.ndarray, least: float, turn: int = 0, turns: int = 1) -> np.ndarray:
-    """Numbers of which fingerprints alike to ``least`` share one or more: cell, band, the digit left out, the other digits.
+    """Numbers of which fingerprints alike to ``least`` share one or more: band, the digit left out, the other digits.
 
     Every band has its turn in one of ``turns`` rounds.
     """
-    n = len(digits)
-    if not n:
-        return np.zeros(0, np.int64)
-    weights, (_, cell_of) = _weights(), _cells()
-    fewest = max(int(np.searchsorted(weights, least * weights[n] * (1 - 1e-9))), 1)
-    padded = np.append(digits, 0).astype(np.int64)
-    powers = 1 << 4 * np.arange(BAND_DIGITS - 1, dtype=np.int64)
-    picks = [_picks(cell, least, turn, turns) for cell in range(cell_of[fewest], cell_of[n] + 1)]
-    return np.concatenate([padded[places] @ powers + tags for places, tags in picks])
+    return _keys(digits, least, turn, turns)[0]
 
 
 def banded(nodes: DataFrame, least: float, turn: int = 0, turns: int = 1) -> DataFrame:
-    """node and band for every band of (node, print) that has its turn."""
+    """A row for every band of (node, print, and what else there is as a long) that has its turn: band, code, high, low, and the rest.
+
+    The code is made of the node, the digit that the band's key leaves out, and the number of digits; the last digits are
+    packed as in ``packed``.
+    """
+    rest = [c for c in nodes.columns if c not in ("node", "print")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1_000):
                 batch = whole.slice(at, 1_000)
-                keys = [band_keys(as_digits(p), least, turn, turns) for p in batch.column("print").to_pylist()]
-                rows = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
-                bands = pa.array(np.concatenate(keys), pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("node").take(rows), bands], ["node", "band"])
+                keys = [_keys(as_digits(p), least, turn, turns) for p in batch.column("print").to_pylist()]
+                rows = np.repeat(np.arange(len(keys)), [len(k) for k, _ in keys])
+                node, n = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("node", "n"))
+                left_out = np.concatenate([k for _, k in keys])
+                code = (node[rows] << 4 | left_out) << COUNT_BITS | n[rows]
+                high, low = packed(n, _unpacked(batch.column("tail"))).view(np.int64).T
+                made = [np.concatenate([k for k, _ in keys]), code, high[rows], low[rows]]
+                made += [batch.column(c).to_numpy(zero_copy_only=False)[rows] for c in rest]
+                yield pa.RecordBatch.from_arrays([pa.array(m, pa.int64()) for m in made], ["band", "code", "high", "low", *rest])
 
-    return nodes.select("node", "print").mapInArrow(run, "node long, band long")
+    kinds = ", ".join(f"{c} long" for c in ("band", "code", "high", "low", *rest))
+    return _tails(nodes, "print", *rest).mapInArrow(run, kinds)
+
+
+def node_of(code: str) -> Column:
+    return F.shiftright(code, COUNT_BITS + 4)
 
 
 def _verified(least: float):
@@ -348,10 +379,44 @@ def _verified(least: float):
     return run
 
 
-def _tails(nodes: DataFrame) -> DataFrame:
-    """node, n, tail: the number of digits of (node, print), and the last of them, two in a byte."""
+def _tails(nodes: DataFrame, *rest: str) -> DataFrame:
+    """node, n, tail, and the rest: the number of digits of (node, print), and the last of them, two in a byte."""
     end = F.substring("print", -TAIL, TAIL)
-    return nodes.select("node", F.length("print").alias("n"), F.unhex(F.rpad(end, TAIL, "0")).alias("tail"))
+    return nodes.select("node", F.length("print").alias("n"), F.unhex(F.rpad(end, TAIL, "0")).alias("tail"), *rest)
+
+
+def packed(n: np.ndarray, tails: np.ndarray) -> np.ndarray:
+    """Tails as two 64-bit numbers each, with digit p of a fingerprint at place p modulo TAIL."""
+    begin = np.where(n >= TAIL, n, 0)[:, None]
+    turned = np.take_along_axis(tails, (np.arange(TAIL) - begin) % TAIL, 1)
+    return (turned[:, 0::2] << 4 | turned[:, 1::2]).astype(np.uint8).view(np.uint64)
+
+
+@cache
+def _masks() -> np.ndarray:
+    """By two places: the numbers that have the places from the first up to the second, one bit of each digit."""
+    at = np.arange(TAIL)
+    begin, end = np.divmod(np.arange((TAIL + 1) ** 2), TAIL + 1)
+    inside = (at >= begin[:, None]) & (at < end[:, None])
+    return packed(np.zeros(len(begin), np.int64), inside.astype(np.uint8))
+
+
+def _possible(n: np.ndarray, tails: np.ndarray, other_n: np.ndarray, other_tails: np.ndarray, least: float) -> np.ndarray:
+    """``may_be_alike`` of packed tails. Their TAIL digits lie in one octave or two, whose digits weigh the same."""
+    _, parts = sampled_steps()
+    weights, masks = _weights(), _masks()
+    low, high = np.minimum(n, other_n), np.maximum(n, other_n)
+    begin = np.minimum(np.maximum(high - TAIL, 0), low)
+    # The first digit of the last octave of what both have.
+    octave = (np.maximum(low, 1) - 1) // TAIL * TAIL
+    later = masks[(np.maximum(begin, octave) - octave) * (TAIL + 1) + low - octave]
+    earlier = masks[np.where(begin < octave, begin % TAIL, TAIL) * (TAIL + 1) + TAIL]
+    differ = tails ^ other_tails
+    differ |= differ >> np.uint64(1)
+    differ |= differ >> np.uint64(2)
+    counts = [np.bitwise_count(differ & m).sum(1, dtype=np.int64) for m in (later, earlier)]
+    unequal = weights[high] - weights[low] + counts[0] * parts[octave] + counts[1] * parts[np.maximum(octave - 1, 0)]
+    return unequal <= (1 - least) * weights[high] * (1 + 1e-9) + 1e-9
 
 
 def may_be_alike(n: np.ndarray, tails: np.ndarray, other_n: np.ndarray, other_tails: np.ndarray, least: float) -> np.ndarray:
@@ -360,18 +425,7 @@ def may_be_alike(n: np.ndarray, tails: np.ndarray, other_n: np.ndarray, other_ta
     ``tails`` are rows of TAIL digits that begin at digit n - TAIL, or at the first one. Places that only one tail has count as
     equal, those past the shorter fingerprint as unequal.
     """
-    _, parts = sampled_steps()
-    weights = _weights()
-    low, high = np.minimum(n, other_n), np.maximum(n, other_n)
-    unequal = weights[high] - weights[low]
-    begin, other_begin = np.maximum(n - TAIL, 0), np.maximum(other_n - TAIL, 0)
-    for k in range(TAIL):
-        at = begin + k
-        there = at - other_begin
-        both = (at < low) & (there >= 0) & (there < TAIL)
-        digit = np.take_along_axis(other_tails, np.where(both, there, 0)[:, None], 1)[:, 0]
-        unequal = unequal + np.where(both & (tails[:, k] != digit), parts[np.where(both, at, 0)], 0.0)
-    return unequal <= (1 - least) * weights[high] * (1 + 1e-9) + 1e-9
+    return _possible(n, packed(n, tails), other_n, packed(other_n, other_tails), least)
 
 
 def _unpacked(column: pa.Array) -> np.ndarray:
@@ -379,13 +433,98 @@ def _unpacked(column: pa.Array) -> np.ndarray:
     return np.stack((raw >> 4, raw & 15), 2).reshape(-1, TAIL)
 
 
-def _possible(least: float):
+def whole_packed(prints: list[str]) -> np.ndarray:
+    """Fingerprints as 64-bit numbers of 16 digits, as many as the longest takes."""
+    width = -(-max(map(len, prints), default=0) // 16) * 16
+    return np.frombuffer(bytes.fromhex("".join(p.ljust(width, "0") for p in prints)), np.uint64).reshape(len(prints), width // 16)
+
+
+@cache
+def _whole_masks() -> np.ndarray:
+    """By number of digits, one bit of each."""
+    return whole_packed(["1" * n for n in range(len(sampled_steps()[0]) + 1)])
+
+
+def _alike(n: np.ndarray, prints: np.ndarray, other_n: np.ndarray, other_prints: np.ndarray, least: float) -> np.ndarray:
+    """Whether ``likeness`` is ``least`` or more, of whole packed fingerprints; digits of a number weigh the same."""
+    _, parts = sampled_steps()
+    weights, low, high = _weights(), np.minimum(n, other_n), np.maximum(n, other_n)
+    differ = prints ^ other_prints
+    differ |= differ >> np.uint64(1)
+    differ |= differ >> np.uint64(2)
+    counts = np.bitwise_count(differ & _whole_masks()[low, : prints.shape[1]])
+    return (weights[low] - counts @ parts[: 16 * prints.shape[1] : 16]) / weights[high] >= least
+
+
+def _joined(prints: list[np.ndarray]) -> np.ndarray:
+    width = max(p.shape[1] for p in prints)
+    return np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for p in prints])
+
+
+def meetings(rows: dict[str, np.ndarray], least: float, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For rows of ``banded`` in order of band and code, whole bands: node, other_node, more of pairs that may be alike.
+
+    The other is smaller. A node has its ``limit`` smallest others of each band, and ``more`` with the last of them: there may be others
+    after it. With ``most``, others are smaller than that; with packed ``print``, pairs are alike. A pair that agrees in all of a
+    band shares every key of it, and is looked at under the first.
+    """
+    band, code = rows["band"], rows["code"]
+    tails = np.stack((rows["high"], rows["low"]), 1).view(np.uint64)
+    n, left_out, node = code & (1 << COUNT_BITS) - 1, code >> COUNT_BITS & 15, code >> COUNT_BITS + 4
+    most = rows.get("most", node)
+    again = (band >> 4 * (BAND_DIGITS - 1) & (1 << WITHOUT_BITS) - 1) > 0
+    begin = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1])))
+    head = np.repeat(begin, np.diff(np.append(begin, len(band))))
+    found = np.zeros(len(band), np.int64)
+    step, open_rows = 0, np.arange(len(band))
+    while True:
+        # The others are passed in order, so what has found enough, or comes to itself, is done.
+        at = head[open_rows] + step
+        open_rows = open_rows[(at < open_rows) & (node[np.minimum(at, len(node) - 1)] < most[open_rows]) & (found[open_rows] < limit)]
+        if not len(open_rows):
+            return
+        for begin in range(0, len(open_rows), PAIRS):
+            own = open_rows[begin : begin + PAIRS]
+            other = head[own] + step
+            differ = ~again[own] | (left_out[own] != left_out[other])
+            own, other = own[differ], other[differ]
+            may = _possible(n[own], tails[own], n[other], tails[other], least)
+            own, other = own[may], other[may]
+            if "print" in rows:
+                alike = _alike(n[own], rows["print"][own], n[other], rows["print"][other], least)
+                own, other = own[alike], other[alike]
+            found[own] += 1
+            if len(own):
+                yield node[own], node[other], found[own] == limit
+        step += 1
+
+
+def _met(least: float, limit: int):
+    """``meetings`` of a partition, in which rows of a band follow each other."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            rows = {c: (_joined if c == "print" else np.concatenate)([h[c] for h in held]) for c in held[0]}
+            for made in meetings(rows, least, limit):
+                kinds = (pa.int64(), pa.int64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(m, k) for m, k in zip(made, kinds)], ["node", "other_node", "more"])
+
         for batch in batches:
-            counts = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("n", "other_n")]
-            tails = [_unpacked(batch.column(c)) for c in ("tail", "other_tail")]
-            may = may_be_alike(counts[0], tails[0], counts[1], tails[1], least)
-            yield batch.select(["node", "other_node"]).filter(pa.array(may, pa.bool_()))
+            rows = {c: batch.column(c).to_numpy() for c in batch.schema.names if c != "print"}
+            if "print" in batch.schema.names:
+                rows["print"] = whole_packed(batch.column("print").to_pylist())
+            band = rows["band"]
+            cut = int(np.searchsorted(band, band[-1])) if len(band) else 0
+            # A band may go on in the next batch.
+            if cut and sum(len(h["band"]) for h in held) + cut >= ROWS:
+                held.append({c: v[:cut] for c, v in rows.items()})
+                yield from pairs()
+                held, rows = [], {c: v[cut:] for c, v in rows.items()}
+            held.append(rows)
+        if held:
+            yield from pairs()
 
     return run
 
@@ -399,46 +538,33 @@ def near_documents(prints: DataFrame, scratch: Workspace, *, least: float = 0.8)
     texts = prints.groupBy(F.col("fingerprint").alias("print")).agg(F.min("id").alias("id"))
     # Numbers in order of the id: smaller than a digest in the exchange of the bands.
     nodes = scratch.save(number_rows(texts, "node", ["id", "print"], scratch=scratch), "nodes")
-    known = nodes.where("id IS NOT NULL")
-    tails = _tails(known)
-    ordered = Window.partitionBy("band").orderBy("node")
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-    def met(turn: int) -> DataFrame:
-        """The rows of a round's bands, written. Bands that one node has alone, and the first nodes of the others, are left out."""
-        placed = banded(known, least, turn, ROUNDS).select(
-            "*",
-            F.row_number().over(ordered).alias("place"),
-            F.first("node").over(ordered).alias("head"),
-            F.nth_value("node", 2).over(whole).alias("second"),
-        )
-        return scratch.save_and_release(placed.where("place > 1"), "met")
-
-    def smallest(pairs: DataFrame, name: str) -> DataFrame:
-        """node and the smallest other_node that is like it, of (node, other_node); written."""
-        tail = tails.select(F.col("node").alias("other_node"), F.col("n").alias("other_n"), F.col("tail").alias("other_tail"))
-        narrow = pairs.distinct().join(tails, "node").join(tail, "other_node")
-        # Most pairs share a band by chance: whole fingerprints go only with those that may be alike by their last digits.
-        may = scratch.save_and_release(narrow.mapInArrow(_possible(least), "node long, other_node long"), "possible")
-        other = known.select(F.col("node").alias("other_node"), F.col("print").alias("other"))
-        both = may.join(known.select("node", F.col("print").alias("own")), "node").join(other, "other_node")
-        close = both.mapInArrow(_verified(least), "node long, other_node long")
-        return scratch.save_and_release(close.groupBy("node").agg(F.min("other_node").alias("like")), name)
-
-    def least_of(found: list[DataFrame], name: str) -> DataFrame:
-        return stack_rows(found).groupBy("node").agg(F.min("like").alias(name))
-
-    rounds = [met(turn) for turn in range(ROUNDS)]
-    heads = [smallest(m.select("node", F.col("head").alias("other_node")), "first") for m in rounds]
-    first = scratch.save_and_release(least_of(heads, "first"), "first")
-    # What is smaller than the smallest found so far, among the others of a band.
-    then = []
-    for m in rounds:
-        seeking = m.where("place > 2").join(first, "node", "left").withColumn("most", F.coalesce("first", "node"))
-        others = m.select("band", F.col("node").alias("other_node"))
-        rest = seeking.where("second < most").select("band", "node", "most").join(others, "band").where("other_node < most")
-        then.append(smallest(rest.select("node", "other_node"), "then"))
-    found = first.join(least_of(then, "then"), "node", "full").select("node", F.coalesce("then", "first").alias("like"))
-    near = found.join(known.select(F.col("node").alias("like"), F.col("id").alias("like_id")), "like").drop("like")
+    known = nodes.where("id IS NOT NULL").select("node", "print")
+
+    def meet(rows: DataFrame, limit: int) -> DataFrame:
+        """Pairs of rows of bands, written."""
+        together = rows.repartition("band").sortWithinPartitions("band", "code")
+        met = together.mapInArrow(_met(least, limit), "node long, other_node long, more boolean")
+        return scratch.save_and_release(met.groupBy("node", "other_node").agg(F.max("more").alias("more")), "pairs")
+
+    own, other = (known.select(F.col("node").alias(node), F.col("print").alias(name)) for node, name in (("node", "own"), ("other_node", "other")))
+    pairs = stack_rows([meet(banded(known, least, t, ROUNDS), LIMIT) for t in range(ROUNDS)])
+    both = pairs.select("node", "other_node").distinct().join(own, "node").join(other, "other_node")
+    close = both.mapInArrow(_verified(least), "node long, other_node long")
+    first = scratch.save_and_release(close.groupBy("node").agg(F.min("other_node").alias("like")), "first")
+    # Nodes of which a band may have others that are smaller than the smallest found, after those that were looked at.
+    after = pairs.where("more").groupBy("node").agg(F.min("other_node").alias("after"))
+    open_nodes = after.join(first, "node", "left").withColumn("most", F.coalesce("like", "node")).where("after < most")
+    seeking = scratch.save_and_release(open_nodes.join(known, "node").select("node", "print", "most"), "seeking")
+    like = [first]
+    if not seeking.isEmpty():
+        bounded = known.join(seeking.select("node", "most"), "node", "left").withColumn("most", F.coalesce("most", F.lit(0)))
+        for turn in range(ROUNDS):
+            # Written, so that its size decides whether the rows of all bands are moved for this join.
+            bands = scratch.save_and_release(banded(seeking, least, turn, ROUNDS).select("band").distinct(), "bands")
+            rows = banded(bounded, least, turn, ROUNDS).join(bands, "band", "left_semi").withColumn("node", node_of("code"))
+            found = meet(rows.join(known, "node").drop("node"), 1)
+            like.append(found.groupBy("node").agg(F.min("other_node").alias("like")))
+    found = stack_rows(like).groupBy("node").agg(F.min("like").alias("like"))
+    near = found.join(nodes.select(F.col("node").alias("like"), F.col("id").alias("like_id")), "like").drop("like")
     final = nodes.join(near, "node", "left").select(F.md5("print").alias("_print"), F.coalesce("like_id", "id").alias("near_id"))
     return prints.withColumn("_print", F.md5("fingerprint")).join(final, "_print").drop("_print")
