@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from starloom.operators.checks import constraint_report
 from starloom.sources.contracts import LOAD_ORDER, SOURCE_TABLES
 from starloom.sources.snapshot import SnapshotStore
+from starloom.workspace import shuffle_files_released
 
 
 def _typed(name: str, kind: T.DataType) -> Column:
@@ -47,9 +48,10 @@ def read_source_csv(
     )
 
 
-def write_csv(df: DataFrame, folder: str, table: str) -> None:
+def write_csv(df: DataFrame, folder: str, table: str, *, compression: str = "none") -> None:
     """One folder of CSV part files per table, with a header; NULL is an empty field."""
-    df.write.option("header", True).mode("overwrite").csv(f"{folder}/{table}.csv")
+    with shuffle_files_released(df.sparkSession):
+        df.write.option("header", True).option("compression", compression).mode("overwrite").csv(f"{folder}/{table}.csv")
 
 
 def ingest_all(
@@ -66,7 +68,8 @@ def ingest_all(
     fresh = {t: spark.read.schema(SOURCE_TABLES[t].schema).parquet(*p) for t, p in staged.items()}
     complete = fresh if truncate else {t: store.read(t).unionByName(fresh[t]) for t in LOAD_ORDER}
     broken = constraint_report(complete, SOURCE_TABLES).filter("violations > 0")
-    problems = [f"{r.table_name}: {r.rule} ({r.violations})" for r in broken.collect()]
+    with shuffle_files_released(spark):
+        problems = [f"{r.table_name}: {r.rule} ({r.violations})" for r in broken.collect()]
     if problems:
         raise ValueError("load refused, nothing was published; " + "; ".join(problems))
     store.publish(staged, replace=truncate)

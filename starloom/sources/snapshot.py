@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.operators import facts
 from starloom.sources.contracts import SIDE_TABLES, SOURCE_TABLES, WAREHOUSE_TABLES
+from starloom.workspace import shuffle_files_released
 
 LOG_SCHEMA = "table string, paths array<string>, version bigint"
 MONTHLY = {"fact_sales"}
@@ -61,7 +62,8 @@ class SnapshotStore:
     def scan(self, table: str, paths: list[str]) -> DataFrame:
         schema = self.contracts[table].schema
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            # Seen to be empty when a query is planned, so that what is joined to it does not move.
+            return self.spark.createDataFrame([], schema).limit(0)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def stage(self, table: str, df: DataFrame) -> list[str]:
@@ -69,9 +71,11 @@ class SnapshotStore:
         path = f"{self.root}/{table}/{uuid.uuid4().hex}"
         df = self.contracts[table].conform(df)
         if table not in MONTHLY:
-            df.write.option("compression", "zstd").parquet(path)
+            with shuffle_files_released(self.spark):
+                df.write.option("compression", "zstd").parquet(path)
             return [path]
-        facts.by_month(df).write.partitionBy(facts.MONTH).option("compression", "zstd").parquet(path)
+        with shuffle_files_released(self.spark):
+            facts.by_month(df).write.partitionBy(facts.MONTH).option("compression", "zstd").parquet(path)
         months = self.spark.read.parquet(path).select(facts.MONTH).distinct().collect()
         return sorted(f"{path}/{facts.MONTH}={r[0]}" for r in months)
 
