@@ -461,8 +461,8 @@ def _joined(prints: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for p in prints])
 
 
-def meetings(rows: dict[str, np.ndarray], least: float, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For rows of ``banded`` in order of band and code, whole bands: node, other_node, more of pairs that may be alike.
+def meetings(rows: dict[str, np.ndarray], least: float, limit: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For rows of ``banded`` in order of band and code, whole bands: node, other_node, more, band of pairs that may be alike.
 
     The other is smaller. A node has its ``limit`` smallest others of each band, and ``more`` with the last of them: there may be others
     after it. With ``most``, others are smaller than that; with packed ``print``, pairs are alike. A pair that agrees in all of a
@@ -495,7 +495,7 @@ def meetings(rows: dict[str, np.ndarray], least: float, limit: int) -> Iterator[
                 own, other = own[alike], other[alike]
             found[own] += 1
             if len(own):
-                yield node[own], node[other], found[own] == limit
+                yield node[own], node[other], found[own] == limit, band[own]
         step += 1
 
 
@@ -508,8 +508,7 @@ def _met(least: float, limit: int):
         def pairs() -> Iterator[pa.RecordBatch]:
             rows = {c: (_joined if c == "print" else np.concatenate)([h[c] for h in held]) for c in held[0]}
             for made in meetings(rows, least, limit):
-                kinds = (pa.int64(), pa.int64(), pa.bool_())
-                yield pa.RecordBatch.from_arrays([pa.array(m, k) for m, k in zip(made, kinds)], ["node", "other_node", "more"])
+                yield pa.RecordBatch.from_arrays([pa.array(m) for m in made], ["node", "other_node", "more", "band"])
 
         for batch in batches:
             rows = {c: batch.column(c).to_numpy() for c in batch.schema.names if c != "print"}
@@ -543,24 +542,28 @@ def near_documents(prints: DataFrame, scratch: Workspace, *, least: float = 0.8)
     def meet(rows: DataFrame, limit: int) -> DataFrame:
         """Pairs of rows of bands, written."""
         together = rows.repartition("band").sortWithinPartitions("band", "code")
-        met = together.mapInArrow(_met(least, limit), "node long, other_node long, more boolean")
-        return scratch.save_and_release(met.groupBy("node", "other_node").agg(F.max("more").alias("more")), "pairs")
+        met = together.mapInArrow(_met(least, limit), "node long, other_node long, more boolean, band long")
+        return scratch.save_and_release(met, "pairs")
 
     own, other = (known.select(F.col("node").alias(node), F.col("print").alias(name)) for node, name in (("node", "own"), ("other_node", "other")))
-    pairs = stack_rows([meet(banded(known, least, t, ROUNDS), LIMIT) for t in range(ROUNDS)])
-    both = pairs.select("node", "other_node").distinct().join(own, "node").join(other, "other_node")
+    pairs = [meet(banded(known, least, t, ROUNDS), LIMIT) for t in range(ROUNDS)]
+    both = stack_rows(pairs).select("node", "other_node").distinct().join(own, "node").join(other, "other_node")
     close = both.mapInArrow(_verified(least), "node long, other_node long")
     first = scratch.save_and_release(close.groupBy("node").agg(F.min("other_node").alias("like")), "first")
-    # Nodes of which a band may have others that are smaller than the smallest found, after those that were looked at.
-    after = pairs.where("more").groupBy("node").agg(F.min("other_node").alias("after"))
-    open_nodes = after.join(first, "node", "left").withColumn("most", F.coalesce("like", "node")).where("after < most")
-    seeking = scratch.save_and_release(open_nodes.join(known, "node").select("node", "print", "most"), "seeking")
+
+    def left_open(met: DataFrame) -> DataFrame:
+        """Nodes and bands of a round that may have others which are smaller than the smallest found, after those that were looked at."""
+        told = met.where("more").join(first, "node", "left").withColumn("most", F.coalesce("like", "node"))
+        return scratch.save_and_release(told.where("other_node < most").select("node", "most", "band"), "open")
+
+    opened = [left_open(met) for met in pairs]
+    seeking = scratch.save_and_release(stack_rows(opened).select("node", "most").distinct(), "seeking")
     like = [first]
     if not seeking.isEmpty():
-        bounded = known.join(seeking.select("node", "most"), "node", "left").withColumn("most", F.coalesce("most", F.lit(0)))
+        bounded = known.join(seeking, "node", "left").withColumn("most", F.coalesce("most", F.lit(0)))
         for turn in range(ROUNDS):
             # Written, so that its size decides whether the rows of all bands are moved for this join.
-            bands = scratch.save_and_release(banded(seeking, least, turn, ROUNDS).select("band").distinct(), "bands")
+            bands = scratch.save_and_release(opened[turn].select("band").distinct(), "bands")
             rows = banded(bounded, least, turn, ROUNDS).join(bands, "band", "left_semi").withColumn("node", node_of("code"))
             found = meet(rows.join(known, "node").drop("node"), 1)
             like.append(found.groupBy("node").agg(F.min("other_node").alias("like")))

@@ -55,7 +55,7 @@ def test_meetings_equal_all_pairs():
 
     def got(limit, **more):
         made = list(ee.meetings(rows | more, 0.8, limit))
-        return {(int(a), int(b)): bool(c) for part in made for a, b, c in zip(*part)}
+        return {(int(a), int(b)): bool(c) for part in made for a, b, c, _ in zip(*part)}
 
     def want(told, limit, least_of=lambda i: i):
         chosen = {i: [j for j in range(least_of(i)) if told[i][j]][:limit] for i in range(len(n))}
